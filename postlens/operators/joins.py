@@ -1,0 +1,18 @@
+"""Broadcast with a check of the size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def hint_small(df: DataFrame, measured_by: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else unchanged, so that
+    Spark joins it by sorting and splits hot keys at run time.
+
+    ``measured_by`` is a cheaper table with as many rows. At most ``max_rows`` + 1 rows are counted.
+    """
+    counted = (df if measured_by is None else measured_by).limit(max_rows + 1).count()
+    return F.broadcast(df) if counted <= max_rows else df
