@@ -45,6 +45,12 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.withColumn("skills", F.array_join("skills", ",")).drop("customer")
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned postings in a table of their own, for queries that read them more than once."""
+    columns = ("job_id", "job_title", "experience_level", "job_type", "industry", "salary", "skills", "customer")
+    return sources.materialize(_clean(spark, sf_dir).select(*columns), "postings")
+
+
 def _stored_skill_stats(postings: DataFrame) -> DataFrame:
     return sources.materialize(O.skill_stats(postings), "skill_stats")
 
@@ -90,23 +96,22 @@ def _json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _skill_roadmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = _clean(spark, sf_dir)
+    postings = _stored(spark, sf_dir)
     people = sources.materialize(B.users(postings), "users")
     return O.skill_roadmap(people, _stored_skill_stats(postings), high=B.HIGH_ABOVE)
 
 
 def _role_roadmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = _clean(spark, sf_dir)
+    postings = _stored(spark, sf_dir)
     stats = _stored_skill_stats(postings)
     return O.role_roadmap(B.role_requests(postings), B.frameworks(spark), stats, default_role=B.DEFAULT_ROLE)
 
 
 def _what_if_rule(order: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        requests = sources.materialize(B.requests(_clean(spark, sf_dir)), "requests")
-        stats = O.skill_stats(_clean(spark, sf_dir)).withColumnRenamed("avg_salary", "importance")
-        vocabulary = sources.materialize(stats, "vocabulary")
-        return O.what_if(requests, vocabulary, O.pay_scorer(B.PAY), order=order)
+        postings = _stored(spark, sf_dir)
+        vocabulary = _stored_skill_stats(postings).withColumnRenamed("avg_salary", "importance")
+        return O.what_if(B.requests(postings), vocabulary, O.pay_scorer(B.PAY), order=order)
 
     return build
 

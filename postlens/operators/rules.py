@@ -93,14 +93,15 @@ def with_expected_salary(
         base = F.col("_rule_pay")
     else:
         base = _look_up(rules.base, F.col(c.title))
-    percent = _look_up(rules.level_percent, F.col(c.level))
+    scaled = base * _look_up(rules.level_percent, F.col(c.level))
     step = F.coalesce(_look_up(rules.type_step, F.col(c.job_type)), F.lit(0).cast("bigint"))
     # In hundredths until the rounding, so that a percentage leaves no fraction.
-    hundredths = base * percent + (_premium(F.col(c.skills), rules.tiers) + step) * 100
+    hundredths = scaled + (_premium(F.col(c.skills), rules.tiers) + step) * 100
     nearest = (F.bround(hundredths, -4) / 100).cast("bigint")
-    # greatest() skips nulls: without the test an unknown title would score the floor.
-    scored = df.withColumn(out, F.when(nearest.isNotNull(), F.greatest(nearest, F.lit(rules.floor).cast("bigint"))))
-    return scored.drop("_rule_title", "_rule_pay")
+    # greatest() skips nulls: without the test an unknown title would score the floor. The test reads
+    # the look-ups alone, since Spark would work out the premium once more for each mention of it.
+    pay = F.when(scaled.isNotNull(), F.greatest(nearest, F.lit(rules.floor).cast("bigint")))
+    return df.withColumn(out, pay).drop("_rule_title", "_rule_pay")
 
 
 def pay_scorer(
