@@ -14,13 +14,14 @@ def shared_dir(spark: SparkSession) -> str:
     Where that is unset, a local session gets a temporary folder; a cluster must name one, since a
     folder of one machine would be out of reach, or lost, for the others.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="postlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="postlens-"))
+        root = context.getCheckpointDir()
+    return f"{root.rstrip('/')}/{context.applicationId}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
