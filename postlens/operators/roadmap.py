@@ -50,12 +50,11 @@ def skill_roadmap(
         k + max_owned,
     )
     before, after = reason.split("{}")
+    # The ranking is named where it is read, not carried along as a column of every row.
     people = users.select(user_col, owned_skills(users, skills_col).alias("_own"))
-    asked = people.filter(F.size("_own") > 0).withColumn("_ranking", ranking)
-    steps = asked.select(
-        user_col, "_ranking", F.posexplode(lacking(F.col("_ranking.skill"), F.col("_own"), k)).alias("_pos", "skill")
-    )
-    pay = F.element_at("_ranking.avg_salary", F.array_position("_ranking.skill", F.col("skill")).cast("int"))
+    missing = lacking(ranking["skill"], F.col("_own"), k, if_none=False)
+    steps = people.select(user_col, F.posexplode(missing).alias("_pos", "skill"))
+    pay = F.element_at(ranking["avg_salary"], F.array_position(ranking["skill"], F.col("skill")).cast("int"))
     return steps.withColumn("target_avg_salary", pay).select(
         user_col,
         (F.col("_pos") + 1).cast("bigint").alias("step"),

@@ -48,11 +48,8 @@ def what_if(
     columns = requests.columns
     ready = requests.withColumn(skills_col, owned_skills(requests, skills_col))
     base = scorer(ready).select(*columns, F.col(score_col).alias("_base_score"))
-    tried = base.withColumn("_names", names).select(
-        *columns,
-        "_base_score",
-        F.posexplode(lacking(F.col("_names.skill"), F.col(skills_col), max_candidates)).alias("_pos", "_skill"),
-    )
+    candidates = lacking(names["skill"], F.col(skills_col), max_candidates)
+    tried = base.select(*columns, "_base_score", F.posexplode(candidates).alias("_pos", "_skill"))
     scored = scorer(tried.withColumn(skills_col, add_skill(F.col(skills_col), F.col("_skill"))))
     boost = F.col(score_col) - F.col("_base_score")
     one = F.array(F.struct(boost.alias("boost")))
