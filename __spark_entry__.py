@@ -19,7 +19,7 @@ import bindings as B  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 from postlens import operators as O  # noqa: E402
 from postlens import plans, sources  # noqa: E402
-from postlens.functions import decode_demand, encode_demand, parse_skill_list  # noqa: E402
+from postlens.functions import decode_demand, encode_demand, parse_skill_list, round_money  # noqa: E402
 
 # The view's own salary has nothing to do with its features and full-size trees would only learn
 # noise, so the registered forests are small and learn the rule-based salary.
@@ -116,6 +116,15 @@ def _what_if_rule(order: str) -> Query:
     return build
 
 
+def _what_if_rule_by_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = B.requests(_stored(spark, sf_dir))
+    vocabulary = O.category_values(requests, (), ("skills",)).select(F.col("value").alias("skill"))
+    longest = O.most_owned(requests)
+    return O.by_profile(
+        requests, lambda df: O.what_if(df, vocabulary, O.pay_scorer(B.PAY), max_owned=longest)
+    )
+
+
 def _features_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = _clean(spark, sf_dir)
     return O.features_long(postings, O.fit_features(postings))
@@ -136,7 +145,7 @@ def _salary_forest(rows: DataFrame):
 def _salary_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled(spark, sf_dir)
     scored = O.salary_scorer(*_salary_forest(rows))(B.requests(rows))
-    return scored.select("request_id", F.round("prediction", 2).alias("predicted_salary"))
+    return scored.select("request_id", round_money(F.col("prediction")).alias("predicted_salary"))
 
 
 def _demand_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +157,14 @@ def _demand_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_demand(scored, "prediction").select("request_id", "demand_score")
 
 
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _labelled(spark, sf_dir)
+    features, salary = _salary_forest(rows)
+    train, _ = O.split(rows)
+    models = O.Models(features, salary, O.fit_demand(train, features, trees=TREES, depth=DEPTH))
+    return O.predict(B.requests(rows), models)
+
+
 def _importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled(spark, sf_dir)
     features, model = _salary_forest(rows)
@@ -177,7 +194,7 @@ def queries() -> dict[str, Query]:
         "industry_metrics": _on_clean(O.industry_metrics),
         "salary_distribution": _on_clean(O.salary_distribution),
         "salary_distribution_filled": _on_clean(
-            lambda df: O.salary_distribution(df.filter(F.col("salary") >= 150000), fill=True)
+            lambda df: O.salary_distribution(df, B.WIDE_CUTS, B.WIDE_LABELS, fill=True)
         ),
         "salary_bands": _on_clean(lambda df: O.with_band(df).select("job_id", "salary_band")),
         "top_skills": _on_clean(O.top_skills),
@@ -206,6 +223,7 @@ def queries() -> dict[str, Query]:
         "skill_roadmap": _skill_roadmap,
         "role_roadmap": _role_roadmap,
         "what_if_rule": _what_if_rule("alphabetical"),
+        "what_if_rule_by_profile": _what_if_rule_by_profile,
         "what_if_rule_by_importance": _what_if_rule("importance"),
         "regression_report": _on_clean(
             lambda df: O.regression_report(B.scored_rows(df), "salary", "expected_salary")
@@ -224,6 +242,7 @@ def queries() -> dict[str, Query]:
         ),
         "salary_forest_predictions": _salary_predictions,
         "demand_forest_predictions": _demand_predictions,
+        "predictions": _predictions,
         "feature_importances": _importances,
         "top_features": lambda spark, sf_dir: O.top_features(_importances(spark, sf_dir)),
         "what_if_forest": _what_if_forest,

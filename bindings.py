@@ -25,6 +25,9 @@ PAY = PayRules(
     tiers=((8000, TIER_A), (4000, TIER_B)),
 )
 HIGH_ABOVE = 250000
+# No order costs as much as the last two bands ask.
+WIDE_CUTS = (60000, 120000, 240000, 600000, 900000)
+WIDE_LABELS = ("Under $60k", "$60k - $120k", "$120k - $240k", "$240k - $600k", "$600k - $900k", "Over $900k")
 DEFAULT_ROLE = "Analyst"
 FRAMEWORKS = {
     "Analyst": [

@@ -180,7 +180,9 @@ _BY_TITLE = f"""SELECT job_title, experience_level, {_MEAN} AS avg_salary, count
 _BY_INDUSTRY = f"""SELECT industry, count(job_id) AS job_count, {_MEAN} AS avg_salary,
   floor({_REMOTE} * 10000.0 / count(job_id) + 0.5) / 100 AS remote_percentage FROM postings GROUP BY industry"""
 _BY_BAND = f'SELECT {_BAND} AS salary_band, count(*) AS "count" FROM postings GROUP BY 1'
-_LABELS = "['Under $60k', '$60k - $90k', '$90k - $120k', '$120k - $150k', '$150k - $180k', 'Over $180k']"
+_WIDE_LABELS = (
+    "['Under $60k', '$60k - $120k', '$120k - $240k', '$240k - $600k', '$600k - $900k', 'Over $900k']"
+)
 
 ORACLES: dict[str, str] = {
     "clean_postings": f"WITH {_CLEAN} SELECT {_FLAT} FROM postings",
@@ -194,9 +196,10 @@ ORACLES: dict[str, str] = {
     "industry_metrics": f"WITH {_CLEAN} {_BY_INDUSTRY}",
     "salary_distribution": f"WITH {_CLEAN} {_BY_BAND}",
     "salary_distribution_filled": f"""WITH {_CLEAN},
-        expensive AS (SELECT {_BAND} AS salary_band FROM postings WHERE salary >= 150000)
-        SELECT label AS salary_band, count(salary_band) AS "count"
-        FROM (SELECT unnest({_LABELS}) AS label) LEFT JOIN expensive ON salary_band = label GROUP BY label""",
+        bands AS (SELECT unnest({_WIDE_LABELS}) AS label, unnest([0, 60000, 120000, 240000, 600000, 900000]) AS low,
+          unnest([60000, 120000, 240000, 600000, 900000, 'inf'::DOUBLE]) AS high)
+        SELECT label AS salary_band, count(job_title) AS "count"
+        FROM bands LEFT JOIN postings ON salary >= low AND salary < high GROUP BY label""",
     "salary_bands": f"WITH {_CLEAN} SELECT job_id, {_BAND} AS salary_band FROM postings",
     "top_skills": f"WITH {_SKILLS} SELECT * FROM skill_stats ORDER BY frequency DESC, skill LIMIT 15",
     "market_results": f"""WITH {_SKILLS}, overall AS ({_OVERALL}), titles AS ({_BY_TITLE}),
@@ -246,6 +249,7 @@ ORACLES: dict[str, str] = {
         JOIN steps l ON framework = CASE WHEN role IN (SELECT framework FROM frameworks) THEN role ELSE 'Analyst' END
         LEFT JOIN skill_stats s ON s.skill = l.skill""",
     "what_if_rule": _what_if("skill"),
+    "what_if_rule_by_profile": _what_if("skill"),
     "what_if_rule_by_importance": _what_if("avg_salary DESC, skill"),
     "regression_report": f"""WITH {_CLEAN}, paid AS (SELECT salary AS y, {_pay('skills')} AS p FROM postings)
         SELECT count(*) AS n, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,

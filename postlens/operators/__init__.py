@@ -24,7 +24,8 @@ from .metrics import (
     top_skills,
     with_band,
 )
-from .roadmap import frameworks_table, role_roadmap, skill_roadmap
+from .profiles import by_profile
+from .roadmap import frameworks_table, most_owned, role_roadmap, skill_roadmap
 from .rules import DemandRules, PayRules, pay_scorer, with_demand, with_expected_salary, with_skill_premium
 from .search import search_postings
 from .what_if import what_if
@@ -35,6 +36,7 @@ __all__ = [
     "Models",
     "PayRules",
     "accuracy",
+    "by_profile",
     "category_values",
     "classification_report",
     "clean",
@@ -48,6 +50,7 @@ __all__ = [
     "industry_metrics",
     "load_models",
     "market_tally",
+    "most_owned",
     "overall_stats",
     "pay_scorer",
     "predict",

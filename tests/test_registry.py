@@ -23,6 +23,7 @@ def test_every_oracle_has_a_query():
     assert {x for x in QUERIES if x not in ORACLES} == {
         "salary_forest_predictions",
         "demand_forest_predictions",
+        "predictions",
         "feature_importances",
         "top_features",
         "what_if_forest",

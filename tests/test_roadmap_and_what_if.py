@@ -146,3 +146,22 @@ def test_boost_is_the_difference_of_two_scores(spark, sf_dir):
     assert after.filter(F.col("prediction") - F.col("before") != F.col("boost_amount")).count() == 0
     assert after.filter(F.array_contains("skills", F.col("skill")) & (F.col("boost_amount") <= 500)).count() == 0
     requests.unpersist()
+
+
+def test_equal_requests_are_answered_once(spark):
+    rows = [request(str(i), ["SQL", "AWS"] if i % 2 else ["AWS", "SQL", None]) for i in range(20)]
+    rows += [request("null", None), request("none", []), request("other", ["Go"]), (None, *request("", ["Go"])[1:])]
+    rows += [("t", None, "Senior", "Hybrid", "Tech", []), ("e", "", "Senior", "Hybrid", "Tech", [])]
+    requests = spark.createDataFrame(rows, SCHEMA)
+    asked = []
+
+    def answer(df):
+        asked.append(df)
+        return O.what_if(df, words(spark, "Go", "Python"), O.pay_scorer(), max_owned=3)
+
+    got = rows_of(O.by_profile(requests, answer))
+    want = rows_of(answer(requests.filter("request_id is not null")))
+    assert sorted(x for x in got if x[0] is not None) == sorted(want)
+    assert [x[1:] for x in got if x[0] is None] == [x[1:] for x in want if x[0] == "other"]
+    # Two orders of one list, no skills twice, Go, a null title and an empty one.
+    assert asked[0].count() == 5
