@@ -49,8 +49,14 @@ def _read_indented(
     lines = spark.read.text(path, lineSep=end)
     # What is left around a record: the opening bracket of the array, a comma, its closing bracket.
     body = F.regexp_replace("value", r"^\s*[\[,]?\s*", "")
-    records = lines.select(body.alias("body")).filter(~F.col("body").isin("", "]") & ~F.col("body").rlike(r"^\]\s*$"))
-    parsed = records.select(F.from_json(F.concat("body", F.lit(end)), schema, options).alias("r"))
+    records = lines.select(body.alias("body"))
+    rest = F.col("body").rlike(r"^\]?\s*$")
+    # With another indent several records would pass for one and all but the first would be lost.
+    fits = F.col("body").rlike(r"^\{\s*?\n {%d}\"" % (2 * indent))
+    wrong = F.raise_error(F.lit(f"{path} is no JSON array indented by {indent}")).cast("string")
+    # The rest gets by without an error here too, as Spark may parse before it filters.
+    checked = F.when(fits, F.concat("body", F.lit(end))).when(~rest, wrong)
+    parsed = records.filter(~rest).select(F.from_json(checked, schema, options).alias("r"))
     return parsed.select("r.*")
 
 

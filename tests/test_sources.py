@@ -52,6 +52,13 @@ def test_read_indented_array(spark, tmp_path, indent, end):
     assert sources.corrupt_records(df).count() == 0
 
 
+@pytest.mark.parametrize("text", [json.dumps(RECORDS), json.dumps(RECORDS, indent=4), json.dumps([{}, *RECORDS], indent=2)])
+def test_wrong_indent_is_an_error(spark, tmp_path, text):
+    (tmp_path / "other.json").write_text(text)
+    with pytest.raises(Exception, match="no JSON array indented by 2"):
+        sources.read_postings(spark, str(tmp_path / "other.json"), indent=2).collect()
+
+
 def test_indented_array_is_read_by_many_tasks(spark, tmp_path):
     rows = [dict(RECORDS[0], job_id=str(i), company="c" * 50) for i in range(2000)]
     (tmp_path / "big.json").write_text(json.dumps(rows, indent=2))
