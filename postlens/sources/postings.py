@@ -56,8 +56,8 @@ def _read_indented(
     wrong = F.raise_error(F.lit(f"{path} is no JSON array indented by {indent}")).cast("string")
     # The rest gets by without an error here too, as Spark may parse before it filters.
     checked = F.when(fits, F.concat("body", F.lit(end))).when(~rest, wrong)
-    parsed = records.filter(~rest).select(F.from_json(checked, schema, options).alias("r"))
-    return parsed.select("r.*")
+    # Through inline(), since filters on a plain projection would be moved below it and parse again.
+    return records.filter(~rest).select(F.inline(F.array(F.from_json(checked, schema, options))))
 
 
 def corrupt_records(postings: DataFrame) -> DataFrame:
