@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.driver.memory", "4g")
         # Short queries: the quick compiler alone is faster than both.
@@ -18,7 +18,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
