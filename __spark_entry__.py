@@ -132,7 +132,8 @@ def _features_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored training rows with a salary that the features explain."""
-    rows = O.with_expected_salary(_clean(spark, sf_dir), B.PAY).withColumn("salary", F.col("expected_salary").cast("double"))
+    paid = O.with_expected_salary(_clean(spark, sf_dir), B.PAY)
+    rows = paid.withColumn("salary", F.col("expected_salary").cast("double"))
     return sources.materialize(sources.training_extract(rows, id_col="job_id"), "extract")
 
 

@@ -87,7 +87,8 @@ def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("c_custkey", "c_name", "c_mktsegment", "n_name", "r_name")
     )
     level = F.substring("o_orderpriority", 1, 1)
-    job_type = F.when(F.col("o_orderstatus") == "O", "Remote").when(F.col("o_orderstatus") == "P", "Hybrid").otherwise("Onsite")
+    status = F.col("o_orderstatus")
+    job_type = F.when(status == "O", "Remote").when(status == "P", "Hybrid").otherwise("Onsite")
     rows = (
         _table(spark, sf_dir, "orders")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))

@@ -35,7 +35,8 @@ def _averaged(rows: DataFrame, keys: list[str], blocks: int, id_col: str, by_lab
     draw different samples of it, and spread a profile held by a third of all rows over many tasks.
     """
     profile = [F.col(x) for x in keys]
-    profile.append(F.array_sort(F.array_distinct(F.array_compact(F.coalesce(COLUMNS.skills, F.array())))).alias(COLUMNS.skills))
+    skills = F.array_compact(F.coalesce(COLUMNS.skills, F.array()))
+    profile.append(F.array_sort(F.array_distinct(skills)).alias(COLUMNS.skills))
     keyed = rows.select(*profile, F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("_block"), _LABEL)
     groups = [*keys, COLUMNS.skills, "_block"]
     if by_label:
