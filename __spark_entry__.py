@@ -25,6 +25,12 @@ from postlens.functions import decode_demand, encode_demand, parse_skill_list, r
 # noise, so the registered forests are small and learn the rule-based salary.
 TREES, DEPTH = 10, 6
 
+try:
+    from postlens.llm.queries import ORACLES as TEXT_ORACLES
+    from postlens.llm.queries import QUERIES as TEXT_QUERIES
+except ImportError:  # the text operators are an optional part
+    TEXT_QUERIES, TEXT_ORACLES = {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -247,8 +253,9 @@ def queries() -> dict[str, Query]:
         "feature_importances": _importances,
         "top_features": lambda spark, sf_dir: O.top_features(_importances(spark, sf_dir)),
         "what_if_forest": _what_if_forest,
+        **TEXT_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **TEXT_ORACLES}
