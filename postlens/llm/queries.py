@@ -7,7 +7,17 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, token_files, toxicity, url_filter
+from . import (
+    embedding_dedup,
+    html_extract,
+    line_dedup,
+    mixing,
+    ngram_join,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filter,
+)
 
 RULES = (
     url_filter.Rule("block", "net/"),
@@ -33,6 +43,27 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_groups(read(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("piece_bpe_32k.model")
+
+    def scores() -> dict[str, float]:
+        return token_counts.zipf_scores(token_counts.sentencepiece_pieces(path))
+
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), scores)
+
+
+def embedding_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(read(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+def html_extract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(read(spark, sf_dir, "pages"))
+
+
 def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number in a url is the document the page shows, so that is the label of the page."""
     labels = read(spark, sf_dir, "labels")
@@ -89,7 +120,11 @@ FROM marked GROUP BY doc_id
 
 QUERIES = {
     "op1_line_dedup": line_dedup_query,
+    "op2_ngram_join": ngram_join_query,
+    "op3_token_counts": token_counts_query,
     "op4_url_filters": url_filter_query,
+    "op5_embedding_dedup": embedding_dedup_query,
+    "op6_html_extract": html_extract_query,
     "op8_token_files": token_files_query,
     "op9_source_mix": mixing_query,
     "op10_toxicity": toxicity_query,
