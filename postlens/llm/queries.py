@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    decontaminate,
     embedding_dedup,
     html_extract,
     line_dedup,
@@ -64,6 +65,10 @@ def html_extract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(read(spark, sf_dir, "pages"))
 
 
+def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number in a url is the document the page shows, so that is the label of the page."""
     labels = read(spark, sf_dir, "labels")
@@ -125,6 +130,7 @@ QUERIES = {
     "op4_url_filters": url_filter_query,
     "op5_embedding_dedup": embedding_dedup_query,
     "op6_html_extract": html_extract_query,
+    "op7_decontamination": decontaminate_query,
     "op8_token_files": token_files_query,
     "op9_source_mix": mixing_query,
     "op10_toxicity": toxicity_query,
