@@ -26,10 +26,12 @@ from postlens.functions import decode_demand, encode_demand, parse_skill_list, r
 TREES, DEPTH = 10, 6
 
 try:
-    from postlens.llm.queries import ORACLES as TEXT_ORACLES
-    from postlens.llm.queries import QUERIES as TEXT_QUERIES
+    import corpus_pipeline
+    from postlens.llm import queries as text
 except ImportError:  # the text operators are an optional part
     TEXT_QUERIES, TEXT_ORACLES = {}, {}
+else:
+    TEXT_QUERIES, TEXT_ORACLES = {**text.QUERIES, "pipeline": corpus_pipeline.run}, text.ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
