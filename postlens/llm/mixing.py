@@ -46,13 +46,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     level = (
         F.sum("source_size").over(everything) * float(share) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))
     ) / F.sum("_w").over(rest)
-    levels = ranked.withColumn("_full", F.col("_cap") / F.col("_w")).withColumn("_level", level)
-    # The first source that is not full at its own level sets the level of all behind it.
-    final = F.min(F.when(F.col("_level") <= F.col("_full"), F.col("_level"))).over(everything)
+    levels = ranked.withColumn("_level", level)
+    # It rises from source to source as long as they are full below it, and then falls: its peak is L.
+    final = F.max("_level").over(everything)
     return levels.withColumn("_final", final).select(
         "source",
         "source_size",
-        F.least("_cap", F.coalesce(F.col("_final") * F.col("_w"), F.col("_cap"))).alias("target"),
+        F.least("_cap", F.col("_final") * F.col("_w")).alias("target"),
     )
 
 
@@ -98,8 +98,7 @@ def _round_group(seed: int, last: bool):
         p = group["_p"].to_numpy(np.float64)
         rounded, held = pivotal(np.where(weight > 0, p, 0.0), np.maximum(weight, 1.0), fraction(draws))
         if last and held >= 0:
-            final = fraction(np.array([xxhash.xxh3_64_intdigest(f"{keys[held]}/last")], dtype=np.uint64))[0]
-            rounded[held], held = float(final < rounded[held]), -1
+            rounded[held], held = float(rounded[held] >= 0.5), -1
         group["_open"] = False
         if held >= 0:
             group.loc[held, "_open"] = True
@@ -127,9 +126,9 @@ def mix_sources(
     A document of a source asks for target / source_size copies: the whole part is taken, the rest is
     a probability. Inside buckets of about ``bucket_rows`` documents of one source, pivotal rounding
     settles all but at most one document while the words taken stay the same; the open ones of
-    ``fan_in`` buckets meet in the next round, until one is left, which is drawn. A source therefore
-    misses its target by less than one document, and no document is taken more than ``most`` times,
-    rounded up. Draws are hashes of the ids, so reruns agree however the table is partitioned.
+    ``fan_in`` buckets meet in the next round, until one is left, which goes to the nearer side. A
+    source therefore misses its target by half a document at most, and no document is taken more than
+    ``most`` times, rounded up. Draws are hashes of the ids, so reruns agree however the table is partitioned.
 
     Null text has size 0; documents of size 0 take the whole part of their copies, which are 0 words.
     Null sources are one source. Rows equal in id, source and size are settled together and get equal
