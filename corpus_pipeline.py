@@ -36,24 +36,27 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark passage go. A key from id and text stands for ids that are null."""
     key = F.xxhash64("doc_id", "text")
     hits = decontaminate.contaminated(docs.select(key.alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
-    leaks = materialize(hits.select(F.col("doc_id").alias("_key")).distinct(), "leaks")
-    return docs.join(leaks, key == F.col("_key"), "left_anti").select(docs.columns)
+    leaks = materialize(hits.select(F.col("doc_id").alias("_leak_key")).distinct(), "leaks")
+    return docs.join(leaks, key == leaks["_leak_key"], "left_anti").select([docs[c] for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: not at all, once, or more often."""
     mixed = mixing.mix_sources(docs)
     taken = mixed.filter(F.col("copies") > 0).select(
-        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), "copies"
+        F.col("doc_id").alias("_mix_id"),
+        F.col("source").alias("_mix_source"),
+        F.col("size").alias("_mix_size"),
+        F.col("copies").cast("int").alias("_mix_copies"),
     )
     taken = materialize(taken.distinct(), "mix_copies")
     same = (
-        docs["doc_id"].eqNullSafe(F.col("_mix_id"))
-        & docs["source"].eqNullSafe(F.col("_mix_source"))
-        & (mixing.word_count(docs["text"]) == F.col("_mix_size"))
+        docs["doc_id"].eqNullSafe(taken["_mix_id"])
+        & docs["source"].eqNullSafe(taken["_mix_source"])
+        & (mixing.word_count(docs["text"]) == taken["_mix_size"])
     )
-    repeated = docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), taken["copies"])))
-    return repeated.select([docs[c] for c in docs.columns])
+    row = F.struct(*[docs[c] for c in docs.columns])
+    return docs.join(taken, same).select(F.explode(F.array_repeat(row, taken["_mix_copies"])).alias("_doc")).select("_doc.*")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
