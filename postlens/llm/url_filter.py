@@ -106,7 +106,7 @@ def judge_urls(
     host with as many segments are siblings, and those whose share of bad labels does not differ from
     the share of all siblings (two-proportion z below ``same_z``) are merged into one branch. The bad
     share of a branch is smoothed by ``prior_weight`` pages with the share of the whole table; from
-    ``block_from`` on its pages are blocked.
+    ``block_from`` on its pages are blocked. A branch without labels has no share and is allowed.
 
     ``labels`` holds ``label_id`` and a boolean ``bad_col``; a repeated id is bad if one of its rows
     is, and null ids or labels say nothing. ``label_key`` is the expression over ``pages`` that names
@@ -144,7 +144,8 @@ def judge_urls(
         .select("_host", "_template", "_branch", "_n", "_b")
     )
     judged = branches.groupBy("_host", "_branch").agg(F.sum("_n").alias("_bn"), F.sum("_b").alias("_bb"))
-    share = (F.col("_bb") + prior_weight * total) / (F.col("_bn") + prior_weight)
+    smoothed = (F.col("_bb") + prior_weight * total) / (F.col("_bn") + prior_weight)
+    share = F.when(F.col("_bn") > 0, smoothed)
     verdicts = branches.join(judged, ["_host", "_branch"]).select("_host", "_template", share.alias("bad_share"))
     rule = matching_rule(F.col("_host"), F.col("_path"), rules)
     learned = F.when(F.col("bad_share") >= block_from, "block").otherwise("allow")
