@@ -88,38 +88,88 @@ def common_length(a: tuple[bytes, ...], b: list[bytes]) -> int:
     return len(a) - state.bit_count()
 
 
-def _segments(columns: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(positions with a column, their half passages, number of half passages)."""
-    at = np.flatnonzero(columns >= 0)
-    return at, at // half, max(1, -(-len(columns) // half))
+Piece = tuple[int, int, list[bytes]]
 
 
-def _half_sums(columns: np.ndarray, half: int, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums of the words' weighted rows over half passages; two neighbours make a passage."""
-    at, segment, n = _segments(columns, half)
-    sums = np.zeros((n, weighted.shape[1]), dtype=np.float32)
-    if len(at):
-        starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-        sums[segment[starts]] = np.add.reduceat(weighted[columns[at]], starts, axis=0)
-    return sums, at, segment
+def _pieces(docs: list[list[bytes]], half: int, limit: int = 65_536) -> Iterator[list[Piece]]:
+    """Groups of (document, first word, words) of about ``limit`` words at most.
 
-
-def _passages(sums: np.ndarray) -> np.ndarray:
-    return sums[:-1] + sums[1:] if len(sums) > 1 else sums
+    A longer document is cut where halves begin; its pieces share one half, so that each of its
+    passages lies in exactly one of them.
+    """
+    step = max(half, limit // half * half)
+    group: list[Piece] = []
+    held = 0
+    for doc, words in enumerate(docs):
+        start = 0
+        while True:
+            piece = words[start : start + step + half]
+            if group and held + len(piece) > limit:
+                yield group
+                group, held = [], 0
+            group.append((doc, start, piece))
+            held += len(piece)
+            start += step
+            if start + half >= len(words):
+                break
+    if group:
+        yield group
+
+
+def _text_pieces(batches: Iterable[pa.RecordBatch], half: int) -> Iterator[list[Piece]]:
+    for part in slices(batches):
+        yield from _pieces([plain_words(x) for x in part["_text"]], half)
+
+
+class _Halves:
+    """Half passages of a few pieces in a row; two neighbours of one piece make a passage."""
+
+    def __init__(self, known: _Columns, pieces: list[Piece], half: int):
+        docs = [words for _, _, words in pieces]
+        lengths = np.array([len(x) for x in docs], dtype=np.int64)
+        self.per_doc = np.maximum(1, -(-lengths // half))
+        self.first = np.cumsum(self.per_doc) - self.per_doc
+        self.n = int(self.per_doc.sum())
+        columns = np.concatenate([known.of(x) for x in docs])
+        place = np.arange(len(columns)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at = np.flatnonzero(columns >= 0)
+        self.columns = columns[at]
+        self.segment = (place // half + np.repeat(self.first, lengths))[at]
+        # A passage starts at every half but the last of a document, or at the only one.
+        last = np.zeros(self.n, dtype=bool)
+        last[self.first + self.per_doc - 1] = True
+        alone = np.repeat(self.per_doc, self.per_doc) == 1
+        self.joined = np.flatnonzero(~last)
+        self.starts = ~last | alone
+
+    def passages(self, weighted: np.ndarray) -> np.ndarray:
+        """Sum of the words' rows over the passage that starts at each half; zeros where none does."""
+        sums = np.zeros((self.n, weighted.shape[1]), dtype=np.float32)
+        if len(self.columns):
+            runs = np.flatnonzero(np.concatenate([[True], self.segment[1:] != self.segment[:-1]]))
+            sums[self.segment[runs]] = np.add.reduceat(weighted[self.columns], runs, axis=0)
+        made = sums.copy()
+        made[self.joined] += sums[self.joined + 1]
+        made[~self.starts] = 0
+        return made
+
+    def around(self, made: np.ndarray) -> np.ndarray:
+        """Sum of the passages that each half lies in."""
+        out = made.copy()
+        out[self.joined + 1] += made[self.joined]
+        return out
 
 
 def _frequencies(columns: dict[bytes, int], width: int, half: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, df = _Columns(columns), np.zeros(width, np.int64)
-        for part in slices(batches):
-            for text in part["_text"]:
-                cols = known.of(plain_words(text))
-                at, segment, n = _segments(cols, half)
-                # A half lies in two passages; a word counts once in each passage that has it.
-                both = np.concatenate([segment, segment - 1])
-                inside = (both >= 0) & (both < max(1, n - 1))
-                pairs = both * width + np.concatenate([cols[at], cols[at]])
-                df += np.bincount(np.unique(pairs[inside]) % width, minlength=width)
+        for pieces in _text_pieces(batches, half):
+            halves = _Halves(known, pieces, half)
+            # A half lies in its own passage and in the one before; a word counts once in each.
+            both = np.concatenate([halves.segment, halves.segment - 1])
+            inside = np.concatenate([halves.starts[halves.segment], np.isin(halves.segment - 1, halves.joined)])
+            pairs = (both * width + np.concatenate([halves.columns, halves.columns]))[inside]
+            df += np.bincount(np.unique(pairs) % width, minlength=width)
         used = np.flatnonzero(df)
         out = [pa.array(used, pa.int64()), pa.array(df[used], pa.int64())]
         yield pa.RecordBatch.from_arrays(out, names=["column", "df"])
@@ -132,31 +182,15 @@ def _range_finder(columns: dict[bytes, int], width: int, half: int, idf: np.ndar
         known = _Columns(columns)
         weighted = _random_block(width, rank, seed) * idf[:, None]
         total = np.zeros((width, rank), dtype=np.float64)
-        rows, values, held = [], [], 0
-
-        def fold():
-            column, value = np.concatenate(rows), np.concatenate(values)
-            order = np.argsort(column, kind="stable")
-            starts = np.flatnonzero(np.concatenate([[True], column[order][1:] != column[order][:-1]]))
-            total[column[order][starts]] += np.add.reduceat(value[order], starts, axis=0)
-
-        for part in slices(batches):
-            for text in part["_text"]:
-                cols = known.of(plain_words(text))
-                sums, at, segment = _half_sums(cols, half, weighted)
-                made = _passages(sums)
-                # A word is in the passage that starts at its half and in the one before.
-                around = np.zeros((len(sums), rank), dtype=np.float32)
-                around[: len(made)] += made
-                around[1:] += made[: len(sums) - 1] if len(sums) > 1 else 0
-                rows.append(cols[at])
-                values.append(around[segment])
-                held += len(at)
-                if held > 200_000:
-                    fold()
-                    rows, values, held = [], [], 0
-        if held:
-            fold()
+        for pieces in _text_pieces(batches, half):
+            halves = _Halves(known, pieces, half)
+            if not len(halves.columns):
+                continue
+            around = halves.around(halves.passages(weighted))
+            order = np.argsort(halves.columns, kind="stable")
+            column = halves.columns[order]
+            runs = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
+            total[column[runs]] += np.add.reduceat(around[halves.segment[order]], runs, axis=0)
         total *= idf[:, None]
         for stripe in range(0, width, _STRIPE):
             data = total[stripe : stripe + _STRIPE].tobytes()
@@ -174,38 +208,42 @@ def _search(
     columns: dict[bytes, int], half: int, basis: np.ndarray, items: list[Item], latent: np.ndarray, near: np.ndarray,
     verbatim: float, reworded: float,
 ):
+    def compare(item: Item, around: list[bytes]) -> float:
+        """Share of the item that is found, 0 if that is too little."""
+        if sum((item.counts & Counter(around)).values()) < reworded * len(item.words):
+            return 0.0
+        ratio = common_length(item.words, around) / len(item.words)
+        if ratio >= verbatim:
+            return ratio
+        told = bool(item.answer) and common_length(item.answer, around) == len(item.answer)
+        return ratio if ratio >= reworded and (told or not item.answer) else 0.0
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Columns(columns)
         for part in slices(batches):
-            docs, found_items, best, close = [], [], [], []
-            for doc_id, text in zip(part["_id"], part["_text"]):
-                words = plain_words(text)
-                cols = known.of(words)
-                made = _passages(_half_sums(cols, half, basis)[0])
-                norms = np.linalg.norm(made, axis=1, keepdims=True)
-                cosines = (made / np.maximum(norms, 1e-12)) @ latent.T
+            docs = [plain_words(x) for x in part["_text"]]
+            hits: dict[tuple[int, int], tuple[float, float]] = {}
+            for pieces in _pieces(docs, half):
+                halves = _Halves(known, pieces, half)
+                made = halves.passages(basis)
+                norms = np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-12)
+                cosines = (made / norms) @ latent.T
                 places, which = np.nonzero(cosines >= near[None, :])
-                if not len(places):
-                    continue
-                hits: dict[int, tuple[float, float]] = {}
-                for place, i in zip(places.tolist(), which.tolist()):
-                    item = items[i]
-                    if hits.get(item.item_id, (0.0, 0.0))[0] >= 1.0:
-                        continue
-                    around = words[max(0, (place - 1) * half) : (place + 3) * half]
-                    shared = sum((item.counts & Counter(around)).values())
-                    if shared < reworded * len(item.words):
-                        continue
-                    ratio = common_length(item.words, around) / len(item.words)
-                    if ratio < verbatim:
-                        told = common_length(item.answer, around) if item.answer else 0
-                        if ratio < reworded or told < len(item.answer):
-                            continue
-                    hits[item.item_id] = max(hits.get(item.item_id, (0.0, 0.0)), (ratio, float(cosines[place, i])))
-                for item_id, (ratio, cosine) in sorted(hits.items()):
-                    docs.append(doc_id), found_items.append(item_id), best.append(ratio), close.append(cosine)
+                owners = np.searchsorted(halves.first, places, side="right") - 1
+                for owner, place, i in zip(owners.tolist(), places.tolist(), which.tolist()):
+                    doc, offset, _ = pieces[owner]
+                    item, start = items[i], offset + (place - int(halves.first[owner])) * half
+                    best = hits.get((doc, item.item_id), (0.0, 0.0))
+                    if best[0] < 1.0:
+                        ratio = compare(item, docs[doc][max(0, start - half) : start + 3 * half])
+                        if ratio > 0:
+                            hits[doc, item.item_id] = max(best, (ratio, float(cosines[place, i])))
+            found = sorted(hits.items())
+            ids = [part["_id"][doc] for (doc, _), _ in found]
+            rest = [[item for (_, item), _ in found], [x for _, (x, _) in found], [x for _, (_, x) in found]]
+            types = (pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(found_items, pa.int64()), pa.array(best, pa.float64()), pa.array(close, pa.float64())],
+                [pa.array(ids, pa.int64()), *(pa.array(x, t) for x, t in zip(rest, types))],
                 names=["doc_id", "item_id", "common", "cosine"],
             )
 

@@ -178,6 +178,23 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0
 
 
+def test_pieces_hold_every_passage_once():
+    rng = np.random.default_rng(3)
+    docs = [[b"%d" % i for i in rng.integers(0, 40, n)] for n in (0, 1, 23, 24, 25, 48, 49, 500, 96, 97, 120, 3)]
+    known = decontaminate._Columns({b"%d" % i: i for i in range(30)})
+    weighted = rng.standard_normal((30, 4)).astype(np.float32)
+    whole = decontaminate._Halves(known, [(i, 0, x) for i, x in enumerate(docs)], 24)
+    made, around = np.zeros(4), np.zeros((30, 4))
+    for pieces in decontaminate._pieces(docs, 24, limit=50):
+        assert sum(len(x) for _, _, x in pieces) <= 50 + 24
+        halves = decontaminate._Halves(known, pieces, 24)
+        made += halves.passages(weighted).sum(axis=0)
+        np.add.at(around, halves.columns, halves.around(halves.passages(weighted))[halves.segment])
+    expected = np.zeros((30, 4))
+    np.add.at(expected, whole.columns, whole.around(whole.passages(weighted))[whole.segment])
+    assert np.allclose(made, whole.passages(weighted).sum(axis=0), atol=1e-3) and np.allclose(around, expected, atol=1e-3)
+
+
 def test_answer_decides_on_reworded_passages(spark):
     rng = np.random.default_rng(10)
     words = [f"w{i}" for i in range(40)]
