@@ -293,7 +293,7 @@ def ngram_groups(
     block_shingles: int = 2_000_000,
     hot_share: int = 8,
     cell_queries: int = 1024,
-    cell_sets: int = 8192,
+    cell_sets: int = 4096,
 ) -> DataFrame:
     """(id, n_shingles, component_id) for each row of ``docs``.
 

@@ -31,6 +31,8 @@ END_ID = 2
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Texts are long: a Python worker should get few of them at a time.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

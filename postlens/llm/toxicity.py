@@ -6,7 +6,6 @@ from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -113,8 +112,8 @@ def fit_model(
     if n == 0 or ones in (0, n):
         return ToxicityModel(np.empty(0, np.int32), np.empty(0), -5.0 if ones == 0 else 5.0)
     lengths = np.array([len(x) for x in slots])
-    flat = np.concatenate([np.asarray(x, np.int64) for x in slots])
-    row = np.repeat(np.arange(n), lengths)
+    flat = np.concatenate([np.asarray(x, np.int32) for x in slots])
+    row = np.repeat(np.arange(n, dtype=np.int32), lengths)
     size = 1 << _SPACE_BITS
     with_one = np.bincount(flat, weights=labels[row], minlength=size)
     with_any = np.bincount(flat, minlength=size).astype(np.float64)
@@ -124,8 +123,9 @@ def fit_model(
     z[with_any == 0] = 0
     kept = np.flatnonzero(np.abs(z) >= least_z)
     kept = np.sort(kept[np.argsort(-np.abs(z[kept]), kind="stable")][:max_slots])
-    place = np.full(size, -1, dtype=np.int64)
+    place = np.full(size, -1, dtype=np.int32)
     place[kept] = np.arange(len(kept))
+    del with_one, with_any, share1, share0, pooled, z
 
     def compact(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = place[values]
@@ -196,14 +196,23 @@ def train_toxicity(
             )
 
     joined = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text")
-    rows = joined.mapInArrow(features, "id long, label int, slots array<int>, twin array<int>").toPandas()
-    rows = rows.sort_values(["id", "label"], kind="mergesort")
-    slots = [np.asarray(x, np.int64) for x in rows["slots"]]
-    order = sorted(range(len(slots)), key=lambda i: (rows["id"].iloc[i], slots[i].tobytes()))
-    twins = [None if x is None or (np.isscalar(x) and pd.isna(x)) else np.asarray(x, np.int64) for x in rows["twin"]]
-    return fit_model(
-        [slots[i] for i in order], rows["label"].to_numpy()[order], [twins[i] for i in order], **params
-    )
+    made = joined.mapInArrow(features, "id long, label int, slots array<int>, twin array<int>").toArrow()
+    ids, marks = made.column("id").to_numpy(), made.column("label").to_numpy()
+    slots, twins = _lists(made.column("slots")), _lists(made.column("twin"))
+    # The same order on every run, whatever order the tasks' rows came in.
+    digests = [xxhash.xxh3_64_intdigest(x.tobytes()) for x in slots]
+    order = sorted(range(len(slots)), key=lambda i: (ids[i], marks[i], digests[i]))
+    return fit_model([slots[i] for i in order], marks[order], [twins[i] for i in order], **params)
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray | None]:
+    """Views of the lists in an Arrow column, None where it is null."""
+    out: list[np.ndarray | None] = []
+    for chunk in column.chunks:
+        values, offsets = chunk.values.to_numpy(zero_copy_only=False), chunk.offsets.to_numpy()
+        for i, known in enumerate(chunk.is_valid().to_pylist()):
+            out.append(values[offsets[i] : offsets[i + 1]] if known else None)
+    return out
 
 
 def score_toxicity(
