@@ -21,9 +21,9 @@ from postlens import operators as O  # noqa: E402
 from postlens import plans, sources  # noqa: E402
 from postlens.functions import decode_demand, encode_demand, parse_skill_list, round_money  # noqa: E402
 
-# The view's own salary has nothing to do with its features and full-size trees would only learn
-# noise, so the registered forests are small and learn the rule-based salary.
-TREES, DEPTH = 10, 6
+# Equal profiles are averaged into this many weighted rows before the full-size forests are trained.
+BLOCKS = 8
+_fitted: dict[tuple[str, str], tuple[str, str]] = {}
 
 try:
     import corpus_pipeline
@@ -126,16 +126,96 @@ def _what_if_rule(order: str) -> Query:
 
 def _what_if_rule_by_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = B.requests(_stored(spark, sf_dir))
-    vocabulary = O.category_values(requests, (), ("skills",)).select(F.col("value").alias("skill"))
-    longest = O.most_owned(requests)
-    return O.by_profile(
-        requests, lambda df: O.what_if(df, vocabulary, O.pay_scorer(B.PAY), max_owned=longest)
-    )
+    return O.by_profile(requests, lambda df: O.what_if(df, _vocabulary(requests), O.pay_scorer(B.PAY)))
+
+
+def _vocabulary(rows: DataFrame) -> DataFrame:
+    return O.category_values(rows, (), ("skills",)).select(F.col("value").alias("skill"))
+
+
+def _roadmap_of_some(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A statistics table with repeats and missing frequencies, and people who know a few skills."""
+    postings = _stored(spark, sf_dir)
+    stats = _stored_skill_stats(postings)
+    again = stats.withColumn("frequency", F.col("frequency") - 1).unionByName(stats).unionByName(stats)
+    unknown = stats.withColumn("frequency", F.lit(None).cast("bigint"))
+    return O.skill_roadmap(B.some_users(postings), again.unionByName(unknown), high=B.HIGH_ABOVE)
+
+
+def _boost_text(answers: DataFrame) -> DataFrame:
+    """Answers with their boosts as text, which any engine can compare."""
+    one = lambda x: F.concat(x["skill"], F.lit(":"), x["boost_amount"].cast("bigint").cast("string"))
+    return answers.withColumn("boosts", F.array_join(F.transform("boosts", one), "|"))
+
+
+def _answers_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = B.requests(_stored(spark, sf_dir))
+    demand = lambda df: O.with_demand(df, B.DEMAND)
+    return _boost_text(O.predict_with_boosts(requests, _vocabulary(requests), O.pay_scorer(B.PAY), demand))
+
+
+def _nested_role_roadmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = O.nested_roadmap(_role_roadmap(spark, sf_dir))
+    return nested.withColumn("skills", F.array_join(F.transform("skills", lambda x: x["skill"]), ","))
+
+
+def _array_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as indented arrays and read with the default settings."""
+    path = f"{sources.shared_dir(spark)}/arrays-{uuid4().hex}"
+    raw = B.raw_postings(spark, sf_dir).drop("customer")
+
+    def written(name):
+        one = F.to_json(F.array(name))
+        return F.concat(F.lit(f'    "{name}": '), one.substr(F.lit(2), F.length(one) - 2))
+
+    fields = [written(name) for name in raw.columns]
+    record = F.concat(F.lit("  {\n"), F.concat_ws(",\n", *fields), F.lit("\n  }"))
+    # One file for each array of some thousand records.
+    group = F.pmod(F.xxhash64("job_id"), F.lit(raw.count() // 4000 + 1)).alias("file")
+    arrays = raw.select(record.alias("value"), group).groupBy("file").agg(F.collect_list("value").alias("records"))
+    text = F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]"))
+    arrays.select("file", text.alias("value")).write.partitionBy("file").text(path)
+    return _flat(O.clean(sources.read_postings(spark, path)))
+
+
+def _parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sources.shared_dir(spark)}/parquet-{uuid4().hex}"
+    sources.write_result(B.raw_postings(spark, sf_dir).drop("customer"), path, "parquet")
+    return _flat(O.clean(sources.read_postings(spark, path, fmt="parquet")))
+
+
+def _expected_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pay rules as a table that repeats titles with lower pay."""
+    rows = [(title, pay - less) for title, pay in B.PAY.base.items() for less in (0, 5000)]
+    base = spark.createDataFrame(rows, "title string, base_pay bigint")
+    rules = O.PayRules(base=base, tiers=B.PAY.tiers)
+    return O.with_expected_salary(_clean(spark, sf_dir), rules).select("job_id", "expected_salary")
+
+
+def _odd(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(O.clean(B.odd_postings(B.raw_postings(spark, sf_dir))))
+
+
+def _with_pay(df: DataFrame) -> DataFrame:
+    paid = O.with_expected_salary(df, B.odd_pay())
+    return O.with_skill_premium(paid, B.PAY.tiers).select("job_id", "job_title", "expected_salary", "skill_premium")
+
+
+def _unknown_predictions(build: Callable[[DataFrame, str, str], DataFrame]) -> Query:
+    """On demand labels and a second opinion that is missing where the level is."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        both = O.with_demand(B.raw_postings(spark, sf_dir), B.SHIFTED_DEMAND, out="other_demand")
+        odd = O.clean(B.odd_postings(both))
+        known = F.when(F.col("experience_level").isNotNull(), F.col("other_demand"))
+        return build(odd.withColumn("other_demand", known), "demand_score", "other_demand")
+
+    return run
 
 
 def _features_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = _clean(spark, sf_dir)
-    return O.features_long(postings, O.fit_features(postings))
+    return O.features_long(postings, O.category_values(postings))
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,46 +225,96 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.materialize(sources.training_extract(rows, id_col="job_id"), "extract")
 
 
-def _salary_forest(rows: DataFrame):
+def _fit_once(kind: str, fit: Callable[[DataFrame, str], None]):
+    """(rows, models) of a table folder, fitted by the first query that asks, then loaded."""
+
+    def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, O.Models]:
+        key = (f"{spark.sparkContext.applicationId}/{kind}", sf_dir)
+        if key not in _fitted:
+            rows, out = _labelled(spark, sf_dir), f"{sources.shared_dir(spark)}/{kind}-{uuid4().hex}"
+            rows_path = f"{out}/rows"
+            sources.write_result(rows, rows_path, "parquet")
+            fit(spark.read.parquet(rows_path), out)
+            _fitted[key] = (rows_path, f"{out}/models")
+        rows_path, models = _fitted[key]
+        return spark.read.parquet(rows_path), O.load_models(models)
+
+    return load
+
+
+_forests = _fit_once("forests", lambda rows, out: plans.train(rows, out, blocks=BLOCKS))
+
+
+def _fit_tree(rows: DataFrame, out: str) -> None:
+    """One tree of depth 2 on all rows, which SQL can fit as well; it learns the skills' premium."""
     features = O.fit_features(rows)
-    train, _ = O.split(rows)
-    return features, O.fit_salary(train, features, trees=TREES, depth=DEPTH)
+    paid = O.with_skill_premium(rows, B.PAY.tiers)
+    exact = {"trees": 1, "depth": 2, "bootstrap": False}
+    salary = O.fit_salary(paid, features, label="skill_premium", **exact)
+    O.save_models(O.Models(features, salary, O.fit_demand(paid, features, **exact)), f"{out}/models")
 
 
-def _salary_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _labelled(spark, sf_dir)
-    scored = O.salary_scorer(*_salary_forest(rows))(B.requests(rows))
-    return scored.select("request_id", round_money(F.col("prediction")).alias("predicted_salary"))
+_tree = _fit_once("tree", _fit_tree)
+
+
+def _salary_predictions(fitted) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, models = fitted(spark, sf_dir)
+        scored = O.salary_scorer(models.features, models.salary)(B.requests(rows))
+        return scored.select("request_id", round_money(F.col("prediction")).alias("predicted_salary"))
+
+    return build
 
 
 def _demand_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _labelled(spark, sf_dir)
-    features = O.fit_features(rows)
-    train, _ = O.split(rows)
-    model = O.fit_demand(train, features, trees=TREES, depth=DEPTH)
-    scored = model.transform(features.transform(B.requests(rows)))
+    rows, models = _forests(spark, sf_dir)
+    scored = models.demand.transform(models.features.transform(B.requests(rows)))
     return decode_demand(scored, "prediction").select("request_id", "demand_score")
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _labelled(spark, sf_dir)
-    features, salary = _salary_forest(rows)
-    train, _ = O.split(rows)
-    models = O.Models(features, salary, O.fit_demand(train, features, trees=TREES, depth=DEPTH))
+    rows, models = _forests(spark, sf_dir)
     return O.predict(B.requests(rows), models)
 
 
-def _importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _labelled(spark, sf_dir)
-    features, model = _salary_forest(rows)
-    return O.feature_importances(model, features, rows)
+def _importances(fitted) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, models = fitted(spark, sf_dir)
+        return O.feature_importances(models.salary, models.features, rows).drop("position")
+
+    return build
+
+
+def _rounded_importances(build: Query) -> Query:
+    return lambda spark, sf_dir: build(spark, sf_dir).withColumn("importance", F.round("importance", 6))
+
+
+def _what_if_forest(fitted) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, models = fitted(spark, sf_dir)
+        return O.what_if(B.requests(rows), _vocabulary(rows), O.salary_scorer(models.features, models.salary))
+
+    return build
+
 
+def _forest_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for the full-size forests whatever trees they grew."""
+    rows, models = _forests(spark, sf_dir)
+    answers = O.predict(B.requests(rows), models).join(rows.select("job_id", "salary"), F.col("request_id") == F.col("job_id"))
+    quality = O.regression_report(answers, "salary", "predicted_salary")
+    whole = F.col("predicted_salary").isNotNull() & F.col("demand_score").isin("Low", "Medium", "High")
+    parts = O.feature_importances(models.salary, models.features, rows).agg(
+        F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("importance_sum")
+    )
+    counted = answers.agg(F.count_distinct("request_id").alias("requests"), F.count_if(whole).alias("answered"))
+    return counted.crossJoin(parts).crossJoin(quality.select((F.col("r2") > 0.9).alias("good_fit")))
 
-def _what_if_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _labelled(spark, sf_dir)
-    features, model = _salary_forest(rows)
-    vocabulary = O.category_values(rows, (), ("skills",)).select(F.col("value").alias("skill"))
-    return O.what_if(B.requests(rows), vocabulary, O.salary_scorer(features, model))
+
+def drop_stored(spark: SparkSession) -> None:
+    """Removes what queries have stored for themselves; models that were fitted are fitted anew."""
+    sources.remove_tables(spark)
+    for key in [k for k in _fitted if k[0].startswith(spark.sparkContext.applicationId)]:
+        del _fitted[key]
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -249,12 +379,37 @@ def queries() -> dict[str, Query]:
                 "job_id", "demand_code", "decoded"
             )
         ),
-        "salary_forest_predictions": _salary_predictions,
+        "salary_forest_predictions": _salary_predictions(_forests),
         "demand_forest_predictions": _demand_predictions,
         "predictions": _predictions,
-        "feature_importances": _importances,
-        "top_features": lambda spark, sf_dir: O.top_features(_importances(spark, sf_dir)),
-        "what_if_forest": _what_if_forest,
+        "feature_importances": _importances(_forests),
+        "top_features": lambda spark, sf_dir: O.top_features(_importances(_forests)(spark, sf_dir)),
+        "what_if_forest": _what_if_forest(_forests),
+        "forest_facts": _forest_facts,
+        "tree_predictions": _salary_predictions(_tree),
+        "tree_importances": _rounded_importances(_importances(_tree)),
+        "tree_top_features": lambda spark, sf_dir: O.top_features(
+            _rounded_importances(_importances(_tree))(spark, sf_dir), k=2
+        ),
+        "tree_what_if": _what_if_forest(_tree),
+        "skill_roadmap_repeats": _roadmap_of_some,
+        "answers_rule": _answers_rule,
+        "nested_role_roadmap": _nested_role_roadmap,
+        "array_round_trip": _array_round_trip,
+        "parquet_round_trip": _parquet_round_trip,
+        "expected_salary_table": _expected_from_table,
+        "odd_clean": _odd(_flat),
+        "odd_overall_stats": _odd(O.overall_stats),
+        "odd_salary_by_title_exp": _odd(O.salary_by_title_exp),
+        "odd_skills_analysis": _odd(O.skill_stats),
+        "odd_industry_metrics": _odd(O.industry_metrics),
+        "odd_salary_distribution": _odd(O.salary_distribution),
+        "odd_pay": _odd(_with_pay),
+        "odd_search_percent": lambda spark, sf_dir: _flat(
+            O.search_postings(B.odd_postings(B.raw_postings(spark, sf_dir)), title="0% b")
+        ),
+        "odd_accuracy": _unknown_predictions(O.accuracy),
+        "odd_classification_report": _unknown_predictions(O.classification_report),
         **TEXT_QUERIES,
     }
 

@@ -114,6 +114,49 @@ def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_demand(rows, DEMAND)
 
 
+def some_users(postings: DataFrame) -> DataFrame:
+    """People who know about a third of their brands, picked by a hash of customer and brand."""
+    known = postings.select("customer", F.explode("skills").alias("skill")).distinct()
+    digit = F.conv(F.substring(F.md5(F.concat_ws("/", F.col("customer").cast("string"), "skill")), 1, 4), 16, 10)
+    return (
+        known.filter(digit.cast("int") % 3 == 0)
+        .groupBy(F.col("customer").alias("user_id"))
+        .agg(F.sort_array(F.collect_list("skill")).alias("skills"))
+    )
+
+
+def odd_postings(postings: DataFrame) -> DataFrame:
+    """The raw postings with, by fixed residues of the order's number, null levels, ids and titles, empty
+    and repeated skills, a percent sign in the title, and salaries of four decimals."""
+    number = F.col("job_id").cast("bigint")
+
+    def every(n):
+        return number % n == 0
+
+    percent = every(37)
+    return (
+        postings.withColumn("experience_level", F.when(~every(17), F.col("experience_level")))
+        .withColumn("salary", F.col("salary") + (number % 10000) / F.lit(10000.0))
+        .withColumn(
+            "skills",
+            F.when(every(29), F.array().cast("array<string>"))
+            .when(every(31), F.concat("skills", "skills"))
+            .otherwise(F.col("skills")),
+        )
+        .withColumn(
+            "job_title",
+            F.when(percent, F.concat(F.lit("100% "), "job_title")).when(~every(23), F.col("job_title")),
+        )
+        .withColumn("job_id", F.when(percent | ~every(19), F.col("job_id")))
+    )
+
+
+def odd_pay() -> PayRules:
+    """Base pay that leaves fractions of 100, and steps that meet the floor."""
+    base = {"AUTOMOBILE": 95130, "BUILDING": 85055, "FURNITURE": 21017, "HOUSEHOLD": 105250, "MACHINERY": 125199}
+    return PayRules(base=base, tiers=PAY.tiers)
+
+
 def text_salaries(postings: DataFrame) -> DataFrame:
     """Salaries as text; those of one title in one industry are no numbers."""
     broken = (F.col("job_title") == "BUILDING") & (F.col("industry") == "ASIA")
@@ -135,19 +178,18 @@ def role_requests(postings: DataFrame) -> DataFrame:
 
 
 def users(postings: DataFrame) -> DataFrame:
-    """One person for each customer: the first 1 to 8 brands of their postings as a comma list with
-    stray blanks; some know nothing, some everything, some a skill nobody asks for."""
+    """One person for each customer: all brands of their postings as a comma list with stray blanks;
+    some know nothing, some also a skill nobody asks for."""
     known = (
         postings.select("customer", F.explode("skills").alias("skill"))
         .groupBy("customer")
         .agg(F.sort_array(F.collect_set("skill")).alias("all_skills"))
     )
-    first = F.slice("all_skills", F.lit(1), (F.col("customer") % 8 + 1).cast("int"))
     listed = (
         F.when(F.col("customer") % 11 == 0, F.lit(" , "))
         .when(F.col("customer") % 13 == 0, F.array_join("all_skills", ","))
-        .when(F.col("customer") % 17 == 0, F.concat(F.lit("Cobol,, "), F.array_join(first, " , ")))
-        .otherwise(F.array_join(first, " , "))
+        .when(F.col("customer") % 17 == 0, F.concat(F.lit("Cobol,, "), F.array_join("all_skills", " , ")))
+        .otherwise(F.array_join("all_skills", " , "))
     )
     return known.select(F.col("customer").alias("user_id"), listed.alias("skills"))
 

@@ -35,15 +35,15 @@ raw AS (
 
 _CLEAN = f"""{_RAW},
 postings AS (
-  SELECT *, CAST(floor(salary * 100 + 0.5) AS BIGINT) AS cents FROM raw
+  SELECT *, CAST(CAST(salary AS DECIMAL(28,6)) * 1000000 AS HUGEINT) AS millionths FROM raw
   WHERE job_title IS NOT NULL AND salary IS NOT NULL AND NOT isnan(salary) AND skills IS NOT NULL
 )"""
 
-_MEAN = "floor(CAST(sum(cents) AS DOUBLE) / count(cents) + 0.5) / 100"
+_MEAN = "CAST((2 * sum(millionths) + 10000 * count(millionths)) // (20000 * count(millionths)) AS DOUBLE) / 100"
 _REMOTE = "CAST(count(*) FILTER (WHERE job_type = 'Remote') AS DOUBLE)"
 
 _SKILLS = f"""{_CLEAN},
-listed AS (SELECT job_id, cents, unnest(skills) AS skill FROM postings),
+listed AS (SELECT job_id, millionths, unnest(skills) AS skill FROM postings),
 skill_stats AS (
   SELECT skill, count(job_id) AS frequency, {_MEAN} AS avg_salary FROM listed GROUP BY skill
 )"""
@@ -104,8 +104,8 @@ users AS (
   SELECT customer AS user_id,
     CASE WHEN customer % 11 = 0 THEN ' , '
       WHEN customer % 13 = 0 THEN array_to_string(all_skills, ',')
-      WHEN customer % 17 = 0 THEN 'Cobol,, ' || array_to_string(all_skills[1:customer % 8 + 1], ' , ')
-      ELSE array_to_string(all_skills[1:customer % 8 + 1], ' , ') END AS skills
+      WHEN customer % 17 = 0 THEN 'Cobol,, ' || array_to_string(all_skills, ' , ')
+      ELSE array_to_string(all_skills, ' , ') END AS skills
   FROM known
 ),
 parsed AS (
@@ -184,6 +184,118 @@ _WIDE_LABELS = (
     "['Under $60k', '$60k - $120k', '$120k - $240k', '$240k - $600k', '$600k - $900k', 'Over $900k']"
 )
 
+# The raw postings with nulls, repeats and fractions by residues of the order's number.
+_ODD = f"""{_RAW},
+odd AS (
+  SELECT * EXCLUDE (n) REPLACE (
+      CASE WHEN n % 37 = 0 OR n % 19 <> 0 THEN job_id END AS job_id,
+      CASE WHEN n % 37 = 0 THEN '100% ' || job_title WHEN n % 23 <> 0 THEN job_title END AS job_title,
+      CASE WHEN n % 17 <> 0 THEN experience_level END AS experience_level,
+      salary + (n % 10000) / 10000.0::DOUBLE AS salary,
+      CASE WHEN n % 29 = 0 THEN [] WHEN n % 31 = 0 AND skills IS NOT NULL THEN list_concat(skills, skills) ELSE skills END AS skills)
+  FROM (SELECT *, CAST(job_id AS BIGINT) AS n FROM raw)
+),
+postings AS (
+  SELECT *, CAST(CAST(salary AS DECIMAL(28,6)) * 1000000 AS HUGEINT) AS millionths FROM odd
+  WHERE job_title IS NOT NULL AND salary IS NOT NULL AND skills IS NOT NULL
+)"""
+_ODD_SKILLS = f"""{_ODD},
+listed AS (SELECT job_id, millionths, unnest(skills) AS skill FROM postings),
+skill_stats AS (SELECT skill, count(job_id) AS frequency, {_MEAN} AS avg_salary FROM listed GROUP BY skill)"""
+
+_ODD_PAY = f"""CASE WHEN job_title NOT LIKE '100%' AND experience_level IS NOT NULL THEN CAST(greatest(30000, 100 * round_even((
+      (CASE job_title WHEN 'AUTOMOBILE' THEN 95130 WHEN 'BUILDING' THEN 85055 WHEN 'FURNITURE' THEN 21017
+        WHEN 'HOUSEHOLD' THEN 105250 WHEN 'MACHINERY' THEN 125199 END)
+      * (CASE experience_level WHEN 'Entry-level' THEN 70 WHEN 'Mid-level' THEN 100 WHEN 'Senior' THEN 140
+        WHEN 'Lead' THEN 170 END)
+      + 100 * ({_premium('skills')} + (CASE job_type WHEN 'Remote' THEN 5000 WHEN 'Onsite' THEN -3000 ELSE 0 END))
+    ) / 10000, 0)) AS BIGINT) END"""
+
+_ODD_REPORT = _PER_CLASS.replace(_CLEAN, f"""{_ODD.replace('postings AS (', 'whole AS (')},
+postings AS (
+  SELECT * REPLACE (CASE WHEN experience_level IS NOT NULL THEN other_demand END AS other_demand) FROM whole
+)""")
+
+# A regression tree of depth 2 on the premium of the skills, fitted on all postings.
+_TREE = f"""{_FEATURES},
+target AS (SELECT job_id, CAST({_premium('skills')} AS DOUBLE) AS y FROM postings),
+names AS (SELECT DISTINCT feature FROM features),
+total AS (SELECT count(*) AS n, sum(y) AS s FROM target),
+first_gains AS (
+  SELECT feature, s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) - s * s / n AS gain
+  FROM (SELECT feature, count(*) AS n1, sum(y) AS s1 FROM features JOIN target USING (job_id) GROUP BY feature), total
+  WHERE n1 < n
+),
+first_split AS (SELECT feature AS f1, gain FROM first_gains ORDER BY gain DESC, feature LIMIT 1),
+sided AS (
+  SELECT job_id, y, job_id IN (SELECT job_id FROM features WHERE feature = (SELECT f1 FROM first_split)) AS side
+  FROM target
+),
+side_total AS (SELECT side, count(*) AS n, sum(y) AS s FROM sided GROUP BY side),
+second_gains AS (
+  SELECT side, feature, s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) - s * s / n AS gain
+  FROM (SELECT side, feature, count(*) AS n1, sum(y) AS s1 FROM features JOIN sided USING (job_id) GROUP BY ALL)
+  JOIN side_total USING (side) WHERE n1 < n
+),
+second_split AS (
+  SELECT side, feature AS f2, gain FROM second_gains
+  QUALIFY row_number() OVER (PARTITION BY side ORDER BY gain DESC, feature) = 1
+),
+leaves AS (
+  SELECT side, job_id IN (SELECT job_id FROM features f WHERE f.feature = f2) AS second, avg(y) AS mean
+  FROM sided JOIN second_split USING (side) GROUP BY ALL
+),
+gains AS (
+  SELECT feature, sum(gain) AS gain FROM (
+    SELECT f1 AS feature, gain FROM first_split UNION ALL SELECT f2, gain FROM second_split) GROUP BY feature
+),
+importances AS (
+  SELECT n.feature, round(coalesce(gain, 0) / (SELECT sum(gain) FROM gains), 6) AS importance
+  FROM names n LEFT JOIN gains g ON n.feature = g.feature
+)"""
+_TREE_WHAT_IF = f"""WITH {_TREE},
+skills_in_order AS (SELECT list(DISTINCT skill ORDER BY skill) AS all_skills FROM (SELECT unnest(skills) AS skill FROM postings)),
+own AS (SELECT job_id, list(feature) AS have FROM features GROUP BY job_id),
+pairs AS (
+  SELECT job_id, have, unnest(candidates) AS skill, unnest(range(1, len(candidates) + 1)) AS pos FROM (
+    SELECT p.job_id, have, [s FOR s IN all_skills IF NOT list_contains(p.skills, s)][1:15] AS candidates
+    FROM postings p JOIN own USING (job_id), skills_in_order)
+),
+both_ways AS (
+  SELECT job_id, skill, pos, have, list_append(have, skill) AS more FROM pairs
+),
+sides AS (
+  SELECT *, list_contains(have, f1) AS a, list_contains(more, f1) AS b FROM both_ways, first_split
+),
+scored AS (
+  SELECT s.job_id AS request_id, s.skill, s.pos, lb.mean - la.mean AS boost
+  FROM sides s
+  JOIN second_split sa ON sa.side = s.a JOIN leaves la ON la.side = s.a AND la.second = list_contains(s.have, sa.f2)
+  JOIN second_split sb ON sb.side = s.b JOIN leaves lb ON lb.side = s.b AND lb.second = list_contains(s.more, sb.f2)
+),
+ranked AS (
+  SELECT request_id, skill, pos, CAST(round(CAST(boost AS DECIMAL(28,6)), 2) AS DOUBLE) AS boost_amount
+  FROM scored WHERE boost > 500
+)
+SELECT request_id, CAST(row_number() OVER w AS BIGINT) AS rank, skill, boost_amount FROM ranked
+WINDOW w AS (PARTITION BY request_id ORDER BY boost_amount DESC, pos)
+QUALIFY row_number() OVER w <= 3"""
+
+_ROLE_ROADMAP = f"""WITH {_SKILLS}, {_FRAMEWORKS},
+        asked AS (
+          SELECT job_id AS request_id, CASE experience_level WHEN 'Lead' THEN 'Builder' WHEN 'Senior' THEN 'Modeler'
+            WHEN 'Mid-level' THEN 'Analyst' ELSE 'Poet' END AS role
+          FROM postings
+        ),
+        steps AS (
+          SELECT *, unnest(base_skills) AS skill, unnest(range(1, len(base_skills) + 1)) AS skill_pos FROM frameworks
+        )
+        SELECT request_id, role, CAST(step AS BIGINT) AS step, title, description, l.skill,
+          CAST(skill_pos AS BIGINT) AS skill_pos, frequency, avg_salary
+        FROM asked
+        JOIN steps l ON framework = CASE WHEN role IN (SELECT framework FROM frameworks) THEN role ELSE 'Analyst' END
+        LEFT JOIN skill_stats s ON s.skill = l.skill"""
+
 ORACLES: dict[str, str] = {
     "clean_postings": f"WITH {_CLEAN} SELECT {_FLAT} FROM postings",
     "clean_text_salary": f"""WITH {_CLEAN} SELECT {_FLAT} FROM postings
@@ -234,20 +346,9 @@ ORACLES: dict[str, str] = {
           'Expands market capability, average salary is $' || format('{{:,.2f}}', avg_salary) || '.' AS reason,
           CASE WHEN avg_salary > 250000 THEN 'High' ELSE 'Medium' END AS priority
         FROM steps WHERE step <= 5""",
-    "role_roadmap": f"""WITH {_SKILLS}, {_FRAMEWORKS},
-        asked AS (
-          SELECT job_id AS request_id, CASE experience_level WHEN 'Lead' THEN 'Builder' WHEN 'Senior' THEN 'Modeler'
-            WHEN 'Mid-level' THEN 'Analyst' ELSE 'Poet' END AS role
-          FROM postings
-        ),
-        steps AS (
-          SELECT *, unnest(base_skills) AS skill, unnest(range(1, len(base_skills) + 1)) AS skill_pos FROM frameworks
-        )
-        SELECT request_id, role, CAST(step AS BIGINT) AS step, title, description, l.skill,
-          CAST(skill_pos AS BIGINT) AS skill_pos, frequency, avg_salary
-        FROM asked
-        JOIN steps l ON framework = CASE WHEN role IN (SELECT framework FROM frameworks) THEN role ELSE 'Analyst' END
-        LEFT JOIN skill_stats s ON s.skill = l.skill""",
+    "role_roadmap": _ROLE_ROADMAP,
+    "nested_role_roadmap": f"""WITH long AS ({_ROLE_ROADMAP}) SELECT request_id, role, step, title, description,
+        string_agg(skill, ',' ORDER BY skill_pos) AS skills FROM long GROUP BY ALL""",
     "what_if_rule": _what_if("skill"),
     "what_if_rule_by_profile": _what_if("skill"),
     "what_if_rule_by_importance": _what_if("avg_salary DESC, skill"),
@@ -266,4 +367,53 @@ ORACLES: dict[str, str] = {
           SELECT job_id, demand_score, CASE demand_score WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 END AS code
           FROM postings)
         SELECT job_id, CAST(code AS DOUBLE) AS demand_code, demand_score AS decoded FROM coded""",
+    "forest_facts": f"""WITH {_FEATURES} SELECT count(DISTINCT p.job_id) AS requests, count(DISTINCT p.job_id) AS answered,
+        (SELECT count(DISTINCT feature) FROM features) AS features, CAST(1 AS DOUBLE) AS importance_sum, true AS good_fit
+        FROM postings p""",
+    "tree_predictions": f"""WITH {_TREE} SELECT s.job_id AS request_id,
+        CAST(round(CAST(mean AS DECIMAL(28,6)), 2) AS DOUBLE) AS predicted_salary
+        FROM sided s JOIN second_split t USING (side)
+        JOIN leaves l ON l.side = s.side
+          AND l.second = (s.job_id IN (SELECT job_id FROM features f WHERE f.feature = t.f2))""",
+    "tree_importances": f"WITH {_TREE} SELECT feature, importance FROM importances",
+    "tree_top_features": f"""WITH {_TREE} SELECT feature, importance FROM importances
+        ORDER BY importance DESC, feature LIMIT 2""",
+    "tree_what_if": _TREE_WHAT_IF,
+    "skill_roadmap_repeats": f"""WITH {_SKILLS},
+        known AS (SELECT DISTINCT customer, skill FROM (SELECT customer, unnest(skills) AS skill FROM postings)),
+        few AS (
+          SELECT customer AS user_id, list(skill) AS own FROM known
+          WHERE CAST('0x' || substr(md5(customer || '/' || skill), 1, 4) AS INT) % 3 = 0 GROUP BY customer
+        ),
+        steps AS (
+          SELECT user_id, skill, avg_salary,
+            row_number() OVER (PARTITION BY user_id ORDER BY frequency DESC, skill) AS step
+          FROM few, skill_stats WHERE NOT list_contains(own, skill)
+        )
+        SELECT user_id, CAST(step AS BIGINT) AS step, skill, avg_salary AS target_avg_salary,
+          'Expands market capability, average salary is $' || format('{{:,.2f}}', avg_salary) || '.' AS reason,
+          CASE WHEN avg_salary > 250000 THEN 'High' ELSE 'Medium' END AS priority
+        FROM steps WHERE step <= 5""",
+    "answers_rule": f"""WITH boosts AS ({_what_if("skill")}),
+        listed AS (SELECT request_id, string_agg(skill || ':' || boost_amount, '|' ORDER BY rank) AS boosts FROM boosts GROUP BY 1),
+        {_CLEAN}
+        SELECT job_id AS request_id, {_pay("skills")} AS predicted_salary, demand_score, coalesce(boosts, '') AS boosts
+        FROM postings LEFT JOIN listed ON job_id = request_id""",
+    "array_round_trip": f"WITH {_CLEAN} SELECT {_FLAT} FROM postings",
+    "parquet_round_trip": f"WITH {_CLEAN} SELECT {_FLAT} FROM postings",
+    "expected_salary_table": f"WITH {_CLEAN} SELECT job_id, {_pay('skills')} AS expected_salary FROM postings",
+    "odd_clean": f"WITH {_ODD} SELECT {_FLAT} FROM postings",
+    "odd_overall_stats": f"WITH {_ODD} {_OVERALL}",
+    "odd_salary_by_title_exp": f"WITH {_ODD} {_BY_TITLE}",
+    "odd_skills_analysis": f"WITH {_ODD_SKILLS} SELECT * FROM skill_stats",
+    "odd_industry_metrics": f"WITH {_ODD} {_BY_INDUSTRY}",
+    "odd_salary_distribution": f"WITH {_ODD} {_BY_BAND}",
+    "odd_pay": f"""WITH {_ODD} SELECT job_id, job_title, {_ODD_PAY} AS expected_salary,
+        CAST({_premium('skills')} AS BIGINT) AS skill_premium FROM postings""",
+    "odd_search_percent": f"""WITH {_ODD} SELECT {_FLAT} FROM odd WHERE contains(lower(job_title), '0% b')
+        ORDER BY job_id LIMIT 40""",
+    "odd_accuracy": f"""WITH {_ODD} SELECT count(*) AS n,
+        round(avg(CASE WHEN experience_level IS NOT NULL AND demand_score = other_demand THEN 1.0 ELSE 0.0 END), 6)
+          AS accuracy FROM postings""",
+    "odd_classification_report": _ODD_REPORT,
 }

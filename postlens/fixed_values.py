@@ -35,6 +35,7 @@ TOP_SKILLS = 15
 SEARCH_LIMIT = 40
 ROADMAP_STEPS = 5
 ROADMAP_HIGH_ABOVE = 115000
+ROADMAP_REASON = "Expands market capability, average salary is {}."
 WHAT_IF_CANDIDATES = 15
 WHAT_IF_MIN_GAIN = 500
 WHAT_IF_BEST = 3
@@ -50,6 +51,8 @@ TEST_PERCENT = 20
 HOT_SKILLS = ("Python", "PySpark", "Kubernetes", "React")
 BUSY_LEVELS = ("Entry-level", "Mid-level")
 BUSY_INDUSTRIES = ("Tech", "Finance")
+REMOTE_POINTS, HOT_SKILL_POINTS, LEVEL_POINTS, INDUSTRY_POINTS = 2, 2, 1, 1
+HIGH_FROM, MEDIUM_FROM = 5, 3
 
 # --- Fixed values: expected pay ---
 BASE_PAY = {

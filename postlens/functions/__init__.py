@@ -1,8 +1,8 @@
 from .bands import band, band_rank
 from .labels import decode_demand, demand_code, demand_label, encode_demand
-from .money import format_money, mean_money, money_sums, round_money, share, to_cents
-from .ranking import ranked_head
-from .skills import add_skill, has_any, lacking, owned_skills, parse_skill_list
+from .money import format_money, mean_money, money_sums, round_money, share
+from .ranking import ranked, with_missing_ranks
+from .skills import add_skill, has_any, owned_skills, parse_skill_list
 
 __all__ = [
     "add_skill",
@@ -14,13 +14,12 @@ __all__ = [
     "encode_demand",
     "format_money",
     "has_any",
-    "lacking",
     "mean_money",
     "money_sums",
     "owned_skills",
     "parse_skill_list",
-    "ranked_head",
+    "ranked",
     "round_money",
     "share",
-    "to_cents",
+    "with_missing_ranks",
 ]

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import DEMAND_LABELS
 
 
-def demand_code(label: Column) -> Column:
+def demand_code(label: Column, labels: Sequence[str] = DEMAND_LABELS) -> Column:
     """Position of the label as double; null for any other text."""
-    chain = F.when(label == DEMAND_LABELS[0], F.lit(0.0))
-    for code, name in enumerate(DEMAND_LABELS[1:], start=1):
+    chain = F.when(label == labels[0], F.lit(0.0))
+    for code, name in enumerate(labels[1:], start=1):
         chain = chain.when(label == name, F.lit(float(code)))
     return chain
 
 
-def demand_label(code: Column) -> Column:
+def demand_label(code: Column, labels: Sequence[str] = DEMAND_LABELS) -> Column:
     """Label at the position ``code``; null outside the list."""
-    return F.get(F.array(*[F.lit(x) for x in DEMAND_LABELS]), code.cast("int"))
+    return F.get(F.array(*[F.lit(x) for x in labels]), code.cast("int"))
 
 
 def encode_demand(df: DataFrame, label_col: str = "demand_score", out: str = "demand_code") -> DataFrame:

@@ -1,7 +1,9 @@
 """Money arithmetic whose result does not depend on how rows are partitioned.
 
-A mean of doubles changes in its last digits with the order of addition. Here every amount becomes
-whole cents and the sums are integers, so a mean is the same on 8 cores and on 8,000.
+A mean of doubles changes in its last digits with the order of addition. Here every amount is a decimal
+with six places, the sums are exact, and the mean is rounded once, at the end, so it is the same on 8
+cores and on 8,000. NaN, infinity and amounts of 1e22 and more are no such decimals: a mean that
+they are part of is NaN.
 """
 
 from __future__ import annotations
@@ -9,45 +11,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Above this many dollars a double no longer holds cents; such amounts are summed as doubles.
-_CENTS_BELOW = 9.0e13
-# Cents are summed as high and low parts: neither overflows a long below 4e12 rows at that limit.
-_LOW_BITS = 20
-
-
-def to_cents(amount: Column) -> Column:
-    """Whole cents as bigint, halves away from zero."""
-    up = F.floor(F.abs(amount) * 100 + F.lit(0.5))
-    return F.when(amount < 0, -up).otherwise(up)
+_EXACT = "decimal(28,6)"
 
 
 def round_money(amount: Column) -> Column:
-    """Two decimals, halves away from zero; amounts too large to hold cents stay as they are."""
-    return F.when(F.abs(amount) < _CENTS_BELOW, to_cents(amount) / F.lit(100.0)).otherwise(amount)
+    """Two decimals, halves away from zero; what holds no cents stays as it is."""
+    return F.coalesce(F.round(amount.try_cast(_EXACT), 2).cast("double"), amount)
 
 
 def money_sums(amount: Column, prefix: str = "pay") -> list[Column]:
     """Aggregates that ``mean_money`` needs. All of them add up, so partial sums can be merged."""
-    in_range = F.abs(amount) < _CENTS_BELOW
-    cents = F.when(in_range, to_cents(amount))
+    exact = amount.try_cast(_EXACT)
     return [
-        F.sum(F.shiftright(cents, _LOW_BITS)).alias(f"{prefix}_high"),
-        F.sum(cents.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).alias(f"{prefix}_low"),
-        F.sum(F.when(~in_range, amount)).alias(f"{prefix}_beyond"),
-        F.count(amount).alias(f"{prefix}_n"),
+        F.sum(exact).alias(f"{prefix}_sum"),
+        F.count(exact).alias(f"{prefix}_n"),
+        F.count_if(amount.isNotNull() & exact.isNull()).alias(f"{prefix}_odd"),
     ]
 
 
 def mean_money(prefix: str = "pay") -> Column:
-    """Mean in two decimals from the columns of ``money_sums``; null for no amounts."""
-    high, low, beyond = (
-        F.coalesce(F.col(f"{prefix}_{part}").cast("double"), F.lit(0.0)) for part in ("high", "low", "beyond")
-    )
-    total_cents = high * F.lit(float(1 << _LOW_BITS)) + low + beyond * 100
-    mean_cents = F.try_divide(total_cents, F.col(f"{prefix}_n"))
-    whole = F.floor(F.abs(mean_cents) + F.lit(0.5)).cast("double")
-    rounded = F.when(mean_cents < 0, -whole).otherwise(whole)
-    return F.when(F.abs(mean_cents) < _CENTS_BELOW * 100, rounded).otherwise(mean_cents) / F.lit(100.0)
+    """Mean in two decimals, halves away from zero, from the columns of ``money_sums``; null for no
+    amounts. In whole millionths, since a decimal quotient would be rounded twice."""
+    n = f"cast(nullif({prefix}_n, 0) AS decimal(20,0))"
+    above = f"(2 * cast(abs({prefix}_sum) * 1000000 AS decimal(38,0)) + 10000 * {n})"
+    below = f"(20000 * {n})"
+    cents = F.expr(f"cast(({above} - {above} % {below}) / {below} AS double)")
+    mean = F.when(F.col(f"{prefix}_sum") < 0, -cents).otherwise(cents) / F.lit(100.0)
+    return F.when(F.col(f"{prefix}_odd") > 0, F.lit(float("nan"))).otherwise(mean)
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -1,22 +1,50 @@
-"""The head of a ranked table as one value that every row of another table can read."""
+"""Ranks of a table's rows, and the first ranks that a list lacks."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialize
 
-def ranked_head(table: DataFrame, order: list[tuple[str, bool]], carry: list[str], n: int) -> Column:
-    """Scalar subquery: struct of one array per ``carry`` column, over the first ``n`` rows.
 
-    ``order`` lists (column, descending). The rows are found by a distributed top-n, and only those
-    ``n`` reach the driver. A join of every user with every skill is thereby avoided: each row of
-    the big table works out its own answer from the short list, without a shuffle.
+def ranked(table: DataFrame, key: str, order: list[tuple[str, bool]], carry: list[str] | None = None) -> DataFrame:
+    """(key, ``carry``, rank) with ranks from 1 on, for the distinct keys of ``table``.
+
+    ``order`` lists (column, descending). Rows without a key, or whose ordering columns are null or
+    NaN, have no rank; of rows that repeat a key the first in the order counts. The table is sorted in
+    ranges, each numbered by its own task; only one count per range passes through a single task.
+    """
+    names = list(dict.fromkeys([key, *[x for x, _ in order], *(carry or [])]))
+    usable = F.col(key).isNotNull()
+    for name, _ in order:
+        kind = table.schema[name].dataType.typeName()
+        usable = usable & F.col(name).isNotNull() & (~F.isnan(name) if kind in ("double", "float") else F.lit(True))
+    keys = [F.desc(x) if down else F.asc(x) for x, down in order]
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*keys, *[F.col(x) for x in names]))
+    rows = table.filter(usable).select(*names).withColumn("_n", first).filter(F.col("_n") == 1).drop("_n")
+    parts = rows.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
+    # Stored, since another run could cut the ranges elsewhere.
+    parts = materialize(parts, "ranges")
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_c"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*keys, key))
+    placed = parts.withColumn("_own", own).join(starts, "_part")
+    rank = (F.col("_start") + F.col("_own")).cast("int").alias("rank")
+    return materialize(placed.select(*names, rank), "ranked")
+
+
+def with_missing_ranks(people: DataFrame, ranks: DataFrame, id_col: str, own: str, key: str, n: int) -> DataFrame:
+    """``people`` with ``_missing``: the first ``n`` ranks that none of their ``own`` keys has.
+
+    Someone with m ranked keys finds their answer within the first n + m ranks, and keys without a
+    rank do not lengthen it. Lists of ranks are as long as one person's list; ranks beyond the table
+    are left to the join that turns them into names. ``id_col`` must be unique.
     """
-    keys = [F.desc(name) if down else F.asc(name) for name, down in order]
-    # -1 keeps the rows in rank order below: descending keys must be numbers.
-    sort_keys = [(-F.col(name) if down else F.col(name)).alias(f"_k{i}") for i, (name, down) in enumerate(order)]
-    top = table.orderBy(*keys).limit(n)
-    rows = F.sort_array(F.collect_list(F.struct(*sort_keys, *[F.col(c).alias(f"_v_{c}") for c in carry])))
-    packed = top.agg(rows.alias("rows"))
-    return packed.select(F.struct(*[F.col(f"rows._v_{c}").alias(c) for c in carry])).scalar()
+    held = people.select(id_col, F.explode(F.array_distinct(own)).alias(key)).join(ranks.select(key, "rank"), key)
+    lists = held.groupBy(F.col(id_col).alias("_holder")).agg(F.collect_set("rank").alias("_ranks"))
+    have = F.coalesce("_ranks", F.array().cast("array<int>"))
+    missing = F.slice(F.array_except(F.sequence(F.lit(1), F.size(have) + n), have), 1, n)
+    joined = people.join(lists, F.col(id_col) == F.col("_holder"), "left")
+    return joined.withColumn("_missing", missing).drop("_holder", "_ranks")

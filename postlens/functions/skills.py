@@ -34,17 +34,6 @@ def has_any(skills: Column, names: Iterable[str]) -> Column:
     return F.coalesce(F.arrays_overlap(skills, F.array(*wanted)), F.lit(False))
 
 
-def lacking(names: Column, own: Column, n: int, if_none: bool = True) -> Column:
-    """First ``n`` of the ordered ``names`` that are not in ``own``; none for an empty ``own`` unless
-    ``if_none``.
-
-    Whatever ``own`` holds, they lie within the first ``n + size(own)`` names, so the rest of a long
-    list is never looked at.
-    """
-    wanted = F.lit(n) if if_none else F.when(F.size(own) > 0, n).otherwise(0)
-    return F.slice(F.array_except(F.slice(names, F.lit(1), F.size(own) + n), own), F.lit(1), wanted)
-
-
 def add_skill(skills: Column, skill: Column) -> Column:
     """The list with one more skill; unchanged where ``skill`` is null."""
     return F.when(skill.isNull(), skills).otherwise(F.array_append(skills, skill))

@@ -25,10 +25,10 @@ from .metrics import (
     with_band,
 )
 from .profiles import by_profile
-from .roadmap import frameworks_table, most_owned, role_roadmap, skill_roadmap
+from .roadmap import frameworks_table, nested_roadmap, role_roadmap, skill_roadmap
 from .rules import DemandRules, PayRules, pay_scorer, with_demand, with_expected_salary, with_skill_premium
 from .search import search_postings
-from .what_if import what_if
+from .what_if import predict_with_boosts, what_if
 
 __all__ = [
     "DemandRules",
@@ -50,10 +50,11 @@ __all__ = [
     "industry_metrics",
     "load_models",
     "market_tally",
-    "most_owned",
+    "nested_roadmap",
     "overall_stats",
     "pay_scorer",
     "predict",
+    "predict_with_boosts",
     "regression_report",
     "rejected",
     "results_from_tally",

@@ -45,10 +45,11 @@ def classification_report(
     (in f1_score, as it is printed), ``macro avg`` and ``weighted avg``.
 
     The rows are first counted by (label, prediction); all that follows works on those few counts.
-    A class listed in ``classes`` appears even without rows. Zero denominators give 0.
+    A class listed in ``classes`` appears even without rows. Zero denominators give 0. A row without a
+    prediction counts as a miss of its label.
     """
     counts = (
-        df.filter(F.col(label).isNotNull() & F.col(pred).isNotNull())
+        df.filter(F.col(label).isNotNull())
         .groupBy(F.col(label).alias("y"), F.col(pred).alias("p"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -65,7 +66,7 @@ def classification_report(
                 seen(F.col("p"), zero, n, zero),
             )
         ).alias("s")
-    ).select("s.*")
+    ).select("s.*").filter(F.col("class").isNotNull())
     listed = df.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(x) for x in classes])).alias("class"),
         zero.alias("support"),

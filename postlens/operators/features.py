@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -13,7 +14,6 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ from ..fixed_values import CATEGORICAL, TEST_PERCENT
 from ..schema import COLUMNS
 
 FEATURES = "features"
-# More levels than this make no useful one-hot vector and would not fit the driver either.
+# Default bound of the levels that reach the driver; see fit_features.
 MAX_LEVELS = 1_000_000
 
 
@@ -49,6 +49,8 @@ class FeatureModel:
 
     stages: PipelineModel
     names: tuple[str, ...]
+    cols: tuple[str, ...] = ()
+    skills_col: str = COLUMNS.skills
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``features`` and nothing else."""
@@ -64,28 +66,37 @@ class FeatureModel:
     @classmethod
     def from_stages(cls, stages: PipelineModel) -> FeatureModel:
         names: list[str] = []
+        cols: list[str] = []
+        skills_col = COLUMNS.skills
         for stage in stages.stages:
             if isinstance(stage, StringIndexerModel):
+                cols.append(stage.getInputCol())
                 names += [f"{stage.getInputCol()}_{label}" for label in stage.labels]
             elif isinstance(stage, CountVectorizerModel):
                 names += stage.vocabulary
-        return cls(stages, tuple(names))
+            elif isinstance(stage, SQLTransformer):
+                skills_col = re.search(r"coalesce\(`(.*?)`, ", stage.getStatement()).group(1)
+        return cls(stages, tuple(names), tuple(cols), skills_col)
 
 
 def fit_features(
     df: DataFrame,
     cols: Sequence[str] = CATEGORICAL,
     skills_col: str = COLUMNS.skills,
-    levels: Mapping[str, Sequence[str]] | None = None,
+    levels: Mapping[str, Sequence[str]] | DataFrame | None = None,
+    max_levels: int = MAX_LEVELS,
 ) -> FeatureModel:
     """One-hot categories ++ multi-hot skills, levels sorted; unknown and null levels give zeros.
 
-    The levels come from one scan, or from ``levels`` (field -> values) if they are known already.
+    The levels come from one scan, or from ``levels`` if they are known already, as field -> values or
+    as a table like that of ``category_values``. They reach the driver, so more than ``max_levels`` of
+    them fail: group rare ones before training.
     """
-    if levels is None:
-        found = category_values(df, cols, (skills_col,)).limit(MAX_LEVELS + 1).collect()
-        if len(found) > MAX_LEVELS:
-            raise ValueError(f"more than {MAX_LEVELS} distinct levels: group rare ones before training")
+    if levels is None or isinstance(levels, DataFrame):
+        table = category_values(df, cols, (skills_col,)) if levels is None else levels.orderBy("field", "value")
+        found = table.limit(max_levels + 1).collect()
+        if len(found) > max_levels:
+            raise ValueError(f"more than {max_levels} distinct levels: group rare ones before training")
         levels = {}
         for field, value in found:
             levels.setdefault(field, []).append(value)
@@ -118,20 +129,36 @@ def fit_features(
     return FeatureModel.from_stages(Pipeline(stages=stages).fit(df))
 
 
-def features_long(df: DataFrame, model: FeatureModel, id_col: str = COLUMNS.job_id) -> DataFrame:
-    """The non-zero features of each row as (id, feature, value)."""
-    names = F.array(*[F.lit(x) for x in model.names])
-    pairs = F.arrays_zip(names.alias("feature"), vector_to_array(FEATURES).alias("value"))
-    set_ones = F.filter(pairs, lambda x: x["value"] != 0)
-    return model.transform(df).select(id_col, F.explode(set_ones).alias("f")).select(id_col, "f.feature", "f.value")
+def features_long(
+    df: DataFrame,
+    levels: DataFrame,
+    id_col: str = COLUMNS.job_id,
+    cols: Sequence[str] = CATEGORICAL,
+    skills_col: str = COLUMNS.skills,
+) -> DataFrame:
+    """The non-zero features of each row as (id, feature, value), with the names of ``fit_features``.
+
+    ``levels`` is a table (field, value) like that of ``category_values``; what it lacks has no
+    feature. A row meets only its own values, so the work grows with the rows and not with the number
+    of features.
+    """
+    own = F.array_distinct(F.coalesce(F.col(skills_col).cast("array<string>"), F.array().cast("array<string>")))
+    pairs = [F.array(F.struct(F.lit(x).alias("field"), F.col(x).cast("string").alias("value"))) for x in cols]
+    skills = F.transform(own, lambda x: F.struct(F.lit(skills_col).alias("field"), x.alias("value")))
+    found = df.select(id_col, F.explode(F.concat(*pairs, skills)).alias("f")).select(id_col, "f.field", "f.value")
+    name = F.when(F.col("field") == skills_col, F.col("value")).otherwise(F.concat_ws("_", "field", "value"))
+    known = levels.select("field", "value").distinct()
+    return found.join(known, ["field", "value"]).select(id_col, name.alias("feature"), F.lit(1.0).alias("value"))
 
 
 def with_split(
     df: DataFrame, id_col: str = COLUMNS.job_id, pct: int = TEST_PERCENT, out: str = "split"
 ) -> DataFrame:
     """Marks each row ``test`` (about ``pct`` percent) or ``train`` by a hash of its id, so a row
-    stays on its side however the table is partitioned or extended."""
-    digits = F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 8)
+    stays on its side however the table is partitioned or extended. A row without an id goes by a hash
+    of all its columns."""
+    row = F.to_json(F.struct(*[F.col(x) for x in df.columns]))
+    digits = F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), row)), 1, 8)
     bucket = F.conv(digits, 16, 10).cast("bigint") % 100
     return df.withColumn(out, F.when(bucket < pct, "test").otherwise("train"))
 

@@ -11,7 +11,7 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed_values import CATEGORICAL, FOREST_DEPTH, FOREST_SEED, FOREST_TREES, TOP_DRIVERS
+from ..fixed_values import FOREST_DEPTH, FOREST_SEED, FOREST_TREES, TOP_DRIVERS
 from ..functions.labels import demand_code, demand_label
 from ..functions.money import round_money
 from ..schema import COLUMNS
@@ -27,7 +27,7 @@ class Models:
     demand: RandomForestClassificationModel
 
 
-def _averaged(rows: DataFrame, keys: list[str], blocks: int, id_col: str, by_label: bool) -> DataFrame:
+def _averaged(rows: DataFrame, keys: list[str], skills_col: str, blocks: int, id_col: str, by_label: bool) -> DataFrame:
     """One weighted row for each distinct profile and block of ids.
 
     Rows of one profile have the same features, so no split can part them: only their mean label and
@@ -35,10 +35,10 @@ def _averaged(rows: DataFrame, keys: list[str], blocks: int, id_col: str, by_lab
     draw different samples of it, and spread a profile held by a third of all rows over many tasks.
     """
     profile = [F.col(x) for x in keys]
-    skills = F.array_compact(F.coalesce(COLUMNS.skills, F.array()))
-    profile.append(F.array_sort(F.array_distinct(skills)).alias(COLUMNS.skills))
+    skills = F.array_compact(F.coalesce(skills_col, F.array()))
+    profile.append(F.array_sort(F.array_distinct(skills)).alias(skills_col))
     keyed = rows.select(*profile, F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("_block"), _LABEL)
-    groups = [*keys, COLUMNS.skills, "_block"]
+    groups = [*keys, skills_col, "_block"]
     if by_label:
         return keyed.groupBy(*groups, _LABEL).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
     return keyed.groupBy(*groups).agg(F.avg(_LABEL).alias(_LABEL), F.count(F.lit(1)).cast("double").alias(_WEIGHT))
@@ -49,7 +49,7 @@ def _training_rows(
 ) -> DataFrame:
     rows = df.withColumn(_LABEL, label).filter(F.col(_LABEL).isNotNull())
     if blocks:
-        rows = _averaged(rows, [x for x in CATEGORICAL if x in df.columns], blocks, id_col, by_label)
+        rows = _averaged(rows, list(features.cols), features.skills_col, blocks, id_col, by_label)
     else:
         rows = rows.withColumn(_WEIGHT, F.lit(1.0))
     # Declared binary, every feature has one known split. Spark would otherwise look for split
@@ -114,14 +114,16 @@ def fit_demand(
 
 
 def feature_importances(model: RandomForestRegressionModel, features: FeatureModel, df: DataFrame) -> DataFrame:
-    """(feature, importance) in feature order, one row for each slot; they sum to 1."""
+    """(position, feature, importance) in feature order, one row for each slot; they sum to 1."""
     values = model.featureImportances.toArray()
-    table = pa.table({"feature": list(features.names), "importance": values.astype(float)})
+    positions = range(1, len(features.names) + 1)
+    columns = {"position": positions, "feature": list(features.names), "importance": values.astype(float)}
+    table = pa.table({k: pa.array(v) for k, v in columns.items()})
     return df.sparkSession.createDataFrame(table)
 
 
 def top_features(importances: DataFrame, k: int = TOP_DRIVERS) -> DataFrame:
-    return importances.orderBy(F.desc("importance"), "feature").limit(k)
+    return importances.select("feature", "importance").orderBy(F.desc("importance"), "feature").limit(k)
 
 
 def predict(requests: DataFrame, models: Models, request_col: str = "request_id") -> DataFrame:

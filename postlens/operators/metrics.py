@@ -29,9 +29,9 @@ def _tally(grouped: GroupedData, amount: Column, has_id: Column, remote: Column)
     )
 
 
-def _tally_by(df: DataFrame, keys: Sequence[str], c: Columns, measure: str | None = None) -> DataFrame:
+def _tally_by(df: DataFrame, keys: Sequence[str], c: Columns, measure: str | None = None, remote: str = REMOTE) -> DataFrame:
     return _tally(
-        df.groupBy(*keys), F.col(measure or c.salary), F.col(c.job_id).isNotNull(), F.col(c.job_type) == REMOTE
+        df.groupBy(*keys), F.col(measure or c.salary), F.col(c.job_id).isNotNull(), F.col(c.job_type) == remote
     )
 
 
@@ -76,9 +76,9 @@ def _bands(counts: DataFrame, labels: Sequence[str], fill: bool) -> DataFrame:
 # ---- one result each -------------------------------------------------------------------------
 
 
-def overall_stats(df: DataFrame, c: Columns = COLUMNS) -> DataFrame:
+def overall_stats(df: DataFrame, c: Columns = COLUMNS, remote: str = REMOTE) -> DataFrame:
     """One row: postings, mean salary (null if none) and remote share (0 if none)."""
-    return _overall(_tally_by(df, [], c))
+    return _overall(_tally_by(df, [], c, remote=remote))
 
 
 def group_stats(
@@ -102,9 +102,9 @@ def top_skills(df: DataFrame, n: int = TOP_SKILLS, c: Columns = COLUMNS) -> Data
     return skill_stats(df, c).limit(n)
 
 
-def industry_metrics(df: DataFrame, c: Columns = COLUMNS) -> DataFrame:
+def industry_metrics(df: DataFrame, c: Columns = COLUMNS, remote: str = REMOTE) -> DataFrame:
     """Postings, mean salary and remote share of each industry, largest first."""
-    return _industries(_tally_by(df, [c.industry], c), c.industry)
+    return _industries(_tally_by(df, [c.industry], c, remote=remote), c.industry)
 
 
 def with_band(
@@ -139,6 +139,7 @@ def market_tally(
     cuts: Sequence[float] = BAND_CUTS,
     labels: Sequence[str] = BAND_LABELS,
     c: Columns = COLUMNS,
+    remote: str = REMOTE,
 ) -> DataFrame:
     """Long table that holds all five statistics, from one scan and one shuffle.
 
@@ -160,7 +161,7 @@ def market_tally(
         c.level,
         F.col(c.salary).alias("amount"),
         F.col(c.job_id).isNotNull().alias("has_id"),
-        (F.col(c.job_type) == REMOTE).alias("remote"),
+        (F.col(c.job_type) == remote).alias("remote"),
     ).select(
         F.least("pos", F.lit(_SKILL)).alias("result"),
         "key",
@@ -183,7 +184,7 @@ def results_from_tally(
     # The overall row is summed once more, so that no postings still give one row.
     columns = [x for x in tally.columns if x not in ("result", "key", "key2")]
     sums = [F.sum(x).alias(x) for x in columns]
-    overall = part(_OVERALL).agg(*sums).fillna(0, subset=[_ROWS, _IDS, _REMOTE, "pay_n"])
+    overall = part(_OVERALL).agg(*sums).fillna(0, subset=[_ROWS, _IDS, _REMOTE, "pay_n", "pay_odd"])
     bands = part(_BAND).select(F.col("key").alias("salary_band"), F.col(_ROWS).alias("count"))
     return {
         "overall_stats": _overall(overall),

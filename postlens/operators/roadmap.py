@@ -8,20 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed_values import DEFAULT_ROLE, ROADMAP_HIGH_ABOVE, ROADMAP_STEPS, ROLE_FRAMEWORKS
+from ..fixed_values import DEFAULT_ROLE, ROADMAP_HIGH_ABOVE, ROADMAP_REASON, ROADMAP_STEPS, ROLE_FRAMEWORKS
 from ..functions.money import format_money
-from ..functions.ranking import ranked_head
-from ..functions.skills import lacking, owned_skills
-from .joins import hint_small
-
-REASON = "Expands market capability, average salary is {}."
-
-
-def most_owned(people: DataFrame, skills_col: str = "skills") -> int:
-    """Length of the longest skill list: one scan of one column."""
-    longest = people.agg(F.max(F.size(owned_skills(people, skills_col)))).first()[0]
-    return max(longest or 0, 0)
-
+from ..functions.ranking import ranked, with_missing_ranks
+from ..functions.skills import owned_skills
 
 def skill_roadmap(
     users: DataFrame,
@@ -30,32 +20,21 @@ def skill_roadmap(
     high: float = ROADMAP_HIGH_ABOVE,
     user_col: str = "user_id",
     skills_col: str = "skills",
-    max_owned: int | None = None,
-    reason: str = REASON,
+    reason: str = ROADMAP_REASON,
 ) -> DataFrame:
     """For each user the ``k`` most frequent skills they lack, as numbered steps.
 
-    ``skills_col`` is an array or a comma list. Users without skills get no rows. Someone with n
-    skills finds their answer within the first k + n skills of the ranking, so only the first
-    k + ``max_owned`` of it are handed to the tasks; the users are neither shuffled nor paired with
-    the whole skill table. ``max_owned`` must be at least the longest skill list; left out, it is
-    looked up. ``skill_stats`` should be a stored result: it is read when the query runs.
+    ``skills_col`` is an array or a comma list; ``user_col`` must be unique. Users without skills get
+    no rows. Repeated skills of ``skill_stats`` count once, and skills without a frequency not at all.
+    Users meet the ranked table by the skills they own and by the ranks they lack, so neither side is
+    paired with the whole of the other and nothing is handed to the tasks in full.
     """
-    if max_owned is None:
-        max_owned = most_owned(users, skills_col)
-    ranking = ranked_head(
-        skill_stats.filter(F.col("skill").isNotNull()),
-        [("frequency", True), ("skill", False)],
-        ["skill", "avg_salary"],
-        k + max_owned,
-    )
+    ranks = ranked(skill_stats, "skill", [("frequency", True), ("skill", False)], ["avg_salary"])
+    people = users.select(user_col, owned_skills(users, skills_col).alias("_own")).filter(F.size("_own") > 0)
+    lacked = with_missing_ranks(people, ranks, user_col, "_own", "skill", k)
+    steps = lacked.select(user_col, F.posexplode("_missing").alias("_pos", "rank")).join(ranks, "rank")
     before, after = reason.split("{}")
-    # The ranking is named where it is read, not carried along as a column of every row.
-    people = users.select(user_col, owned_skills(users, skills_col).alias("_own"))
-    missing = lacking(ranking["skill"], F.col("_own"), k, if_none=False)
-    steps = people.select(user_col, F.posexplode(missing).alias("_pos", "skill"))
-    pay = F.element_at(ranking["avg_salary"], F.array_position(ranking["skill"], F.col("skill")).cast("int"))
-    return steps.withColumn("target_avg_salary", pay).select(
+    return steps.withColumn("target_avg_salary", F.col("avg_salary")).select(
         user_col,
         (F.col("_pos") + 1).cast("bigint").alias("step"),
         "skill",
@@ -107,12 +86,10 @@ def role_roadmap(
     milestones = listed.join(skill_stats.select("skill", "frequency", "avg_salary"), "skill", "left")
     known = steps.select("_framework").distinct()
     framework = F.coalesce("_framework", F.lit(default_role))
-    placed = requests.select(request_col, "role").join(
-        hint_small(known), F.col("role") == F.col("_framework"), "left"
-    )
+    placed = requests.select(request_col, "role").join(known, F.col("role") == F.col("_framework"), "left")
     return (
         placed.withColumn("_framework", framework)
-        .join(hint_small(milestones, measured_by=listed), "_framework", "left")
+        .join(milestones, "_framework", "left")
         .select(
             request_col,
             "role",
@@ -125,3 +102,14 @@ def role_roadmap(
             "avg_salary",
         )
     )
+
+
+def nested_roadmap(roadmap: DataFrame, request_col: str = "request_id") -> DataFrame:
+    """``role_roadmap`` with one row for each milestone and its skills as an ordered array."""
+    skill = F.when(F.col("skill").isNotNull(), F.struct("skill_pos", "skill", "frequency", "avg_salary"))
+    listed = F.array_sort(F.collect_list(skill)).alias("listed")
+    grouped = roadmap.groupBy(request_col, "role", "step", "title", "description").agg(listed)
+    return grouped.select(
+        request_col, "role", "step", "title", "description",
+        F.transform("listed", lambda x: F.struct(x["skill"].alias("skill"), x["frequency"].alias("frequency"), x["avg_salary"].alias("avg_salary"))).alias("skills"),
+    )

@@ -18,13 +18,20 @@ class DemandRules:
     hot_skills: Sequence[str] = V.HOT_SKILLS
     levels: Sequence[str] = V.BUSY_LEVELS
     industries: Sequence[str] = V.BUSY_INDUSTRIES
-    high_from: int = 5
-    medium_from: int = 3
+    high_from: int = V.HIGH_FROM
+    medium_from: int = V.MEDIUM_FROM
+    remote: str = V.REMOTE
+    remote_points: int = V.REMOTE_POINTS
+    hot_skill_points: int = V.HOT_SKILL_POINTS
+    level_points: int = V.LEVEL_POINTS
+    industry_points: int = V.INDUSTRY_POINTS
+    labels: Sequence[str] = V.DEMAND_LABELS
 
 
 @dataclass(frozen=True)
 class PayRules:
-    """``base`` may be a dict or, for a long list of titles, a DataFrame (title, base_pay)."""
+    """``base`` may be a dict or, for a long list of titles, a DataFrame (title, base_pay); of rows that
+    repeat a title the highest pay counts."""
 
     base: Mapping[str, int] | DataFrame = field(default_factory=lambda: V.BASE_PAY)
     level_percent: Mapping[str, int] = field(default_factory=lambda: V.LEVEL_PERCENT)
@@ -50,12 +57,12 @@ def with_demand(
 ) -> DataFrame:
     """High, Medium or Low from points for remote work, hot skills, level and industry."""
     points = (
-        _points(F.col(c.job_type) == V.REMOTE, 2)
-        + _points(has_any(F.col(c.skills), rules.hot_skills), 2)
-        + _points(F.col(c.level).isin(*rules.levels), 1)
-        + _points(F.col(c.industry).isin(*rules.industries), 1)
+        _points(F.col(c.job_type) == rules.remote, rules.remote_points)
+        + _points(has_any(F.col(c.skills), rules.hot_skills), rules.hot_skill_points)
+        + _points(F.col(c.level).isin(*rules.levels), rules.level_points)
+        + _points(F.col(c.industry).isin(*rules.industries), rules.industry_points)
     )
-    low, medium, high = V.DEMAND_LABELS
+    low, medium, high = rules.labels
     label = F.when(points >= rules.high_from, high).when(points >= rules.medium_from, medium).otherwise(low)
     return df.withColumn(out, label)
 
@@ -88,7 +95,7 @@ def with_expected_salary(
     even), at least ``floor``. Whole numbers throughout. Null for a title or level without a rule."""
     if isinstance(rules.base, DataFrame):
         title, pay = rules.base.columns
-        table = rules.base.select(F.col(title).alias("_rule_title"), F.col(pay).cast("bigint").alias("_rule_pay"))
+        table = rules.base.groupBy(F.col(title).alias("_rule_title")).agg(F.max(pay).cast("bigint").alias("_rule_pay"))
         df = df.join(table, F.col(c.title) == F.col("_rule_title"), "left")
         base = F.col("_rule_pay")
     else:

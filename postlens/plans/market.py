@@ -6,11 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..fixed_values import EXTRACT_COLUMNS
 from ..operators.clean import clean
 from ..operators.metrics import market_tally, results_from_tally
+from ..schema import COLUMNS, Columns
 from ..sources.postings import training_extract
 from ..sources.results import write_result
-from ..sources.shared import materialize
+from ..sources.shared import materialize, temporary_tables
 
 
 @dataclass(frozen=True)
@@ -19,17 +21,23 @@ class MarketRun:
     extract_path: str
 
 
-def record_market(raw: DataFrame, out_dir: str, fmt: str = "json", extract_fmt: str = "parquet") -> MarketRun:
+def record_market(
+    raw: DataFrame, out_dir: str, fmt: str = "json", extract_fmt: str = "parquet", c: Columns = COLUMNS
+) -> MarketRun:
     """Cleans ``raw`` and writes the five results and the training extract below ``out_dir``.
 
-    The input is read twice, however large: once for all five results, once for the extract, which
-    is written by the tasks that read it. Nothing is cached, so there is nothing to lose or spill.
+    The input is read once, by the tasks that write the extract; the results come from the extract.
+    Nothing is cached, so there is nothing to lose or spill.
     """
-    postings = clean(raw)
-    tally = materialize(market_tally(postings), "market_tally")
-    for name, result in results_from_tally(tally).items():
-        write_result(result, f"{out_dir}/{name}", fmt)
     extract_path = f"{out_dir}/ml_training_data"
+    ours = {v: k for k, v in vars(COLUMNS).items()}
+    columns = [getattr(c, ours[x]) if x in ours else x for x in EXTRACT_COLUMNS]
     # The id goes along, because the split into training and test rows needs one.
-    write_result(training_extract(postings, id_col="job_id"), extract_path, extract_fmt)
+    extract = training_extract(clean(raw, c=c), c.job_id, [x for x in columns if x in raw.columns])
+    write_result(extract, extract_path, extract_fmt)
+    postings = raw.sparkSession.read.format(extract_fmt).schema(extract.schema).load(extract_path)
+    with temporary_tables(raw.sparkSession):
+        tally = materialize(market_tally(postings, c=c), "market_tally")
+        for name, result in results_from_tally(tally, c=c).items():
+            write_result(result, f"{out_dir}/{name}", fmt)
     return MarketRun(out_dir, extract_path)

@@ -55,5 +55,5 @@ RESULT_SCHEMAS = {
     "industry_metrics": "industry string, job_count long, avg_salary double, remote_percentage double",
     "salary_distribution": "salary_band string, count long",
     "metadata_options": "field string, value string",
-    "feature_importances": "feature string, importance double",
+    "feature_importances": "position long, feature string, importance double",
 }

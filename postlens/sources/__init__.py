@@ -1,6 +1,6 @@
 from .postings import corrupt_records, read_postings, training_extract
 from .results import insights, read_result, write_result
-from .shared import materialize, shared_dir
+from .shared import materialize, remove_tables, shared_dir, temporary_tables
 
 __all__ = [
     "corrupt_records",
@@ -8,7 +8,9 @@ __all__ = [
     "materialize",
     "read_postings",
     "read_result",
+    "remove_tables",
     "shared_dir",
+    "temporary_tables",
     "training_extract",
     "write_result",
 ]

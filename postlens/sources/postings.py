@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,15 +17,15 @@ def read_postings(
     path: str,
     fmt: str = "json",
     multi_line: bool = True,
-    indent: int | None = None,
+    indent: int | None = 2,
     keep_corrupt: bool = False,
 ) -> DataFrame:
     """Postings from JSON or Parquet. A missing path fails at once.
 
-    JSON comes as one array (``multi_line``) or as one object per line. Spark reads a multi-line
-    array in a single task, whatever its size. If the array is pretty-printed with a known
-    ``indent``, pass it: records are then told apart by the line that closes them, and a large file
-    is read by many tasks.
+    JSON comes as one array (``multi_line``) or as one object per line. An array is taken to be
+    pretty-printed with ``indent`` spaces: records are told apart by the line that closes them, and a
+    large file is read by many tasks; another indent fails. ``indent=None`` reads any array, but in a
+    single task, whatever its size.
 
     The schema is declared, so there is no inference pass; ``salary`` stays text until ``clean``.
     Records that do not parse have nulls, and their text in ``_corrupt_record`` if ``keep_corrupt``.
@@ -70,6 +72,8 @@ def corrupt_records(postings: DataFrame) -> DataFrame:
     return bad.select(F.col(CORRUPT).alias("record"))
 
 
-def training_extract(df: DataFrame, id_col: str | None = None) -> DataFrame:
-    """The eight columns that training reads, after ``id_col`` if that is wanted."""
-    return df.select(*([id_col] if id_col else []), *EXTRACT_COLUMNS)
+def training_extract(
+    df: DataFrame, id_col: str | None = None, columns: Sequence[str] = EXTRACT_COLUMNS
+) -> DataFrame:
+    """The columns that training reads, after ``id_col`` if that is wanted."""
+    return df.select(*([id_col] if id_col else []), *columns)

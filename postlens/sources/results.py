@@ -31,6 +31,7 @@ def _in_order(df: DataFrame, name: str) -> DataFrame:
         "industry_metrics": [F.desc("job_count"), "industry"],
         "salary_distribution": [band_rank(F.col("salary_band"), BAND_LABELS), "salary_band"],
         "metadata_options": ["field", "value"],
+        "feature_importances": ["position"],
     }
     return df.orderBy(*orders[name]) if name in orders else df
 

@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open_scopes: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for the tables of this application, below ``spark.checkpoint.dir``.
 
-    Where that is unset, a local session gets a temporary folder; a cluster must name one, since a
-    folder of one machine would be out of reach, or lost, for the others.
+    Where that is unset, a session on one machine uses a folder beside its warehouse; a cluster must
+    name one, since a folder of one machine would be out of reach, or lost, for the others.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="postlens-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        context.setCheckpointDir(f"{warehouse.rstrip('/')}/_tables")
         root = context.getCheckpointDir()
+    root = root if "://" in root or not root.startswith("file:") else Path(root.removeprefix("file:")).as_uri()
     return f"{root.rstrip('/')}/{context.applicationId}"
 
 
@@ -28,8 +34,35 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Writes ``df`` once and reads it back.
 
     What is read later does not depend on any executor that took part in the work, and the file sizes
-    tell Catalyst how large the table is, so it broadcasts the table only if that fits.
+    tell Catalyst how large the table is, so it broadcasts the table only if that fits. Inside
+    ``temporary_tables`` the files are removed at its end; otherwise they stay until
+    ``remove_tables``, since a result that is not computed yet may read them.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end, the tables that were stored inside."""
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        for path in made:
+            _remove(spark, path)
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Removes all tables that this application has stored, when its results have been taken."""
+    _remove(spark, shared_dir(spark))

@@ -38,10 +38,37 @@ def test_features(postings):
     got = model.transform(asked).orderBy("job_id").select(vector_to_array("features"))
     assert [x[0] for x in rows_of(got)] == [[1, 0, 1, 0, 1], [0, 0, 0, 0, 0]]
     assert model.transform(asked).columns == asked.columns + ["features"]
-    long = O.features_long(asked, model)
+    levels = [("job_title", "A"), ("job_title", "B"), ("job_type", "Remote"), ("skills", "x"), ("skills", "y")]
+    long = O.features_long(asked, spark_of(asked).createDataFrame(levels, "field string, value string"))
+    assert "vector" not in long._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(rows_of(long)) == [("1", "job_title_A", 1.0), ("1", "job_type_Remote", 1.0), ("1", "y", 1.0)]
 
 
+def spark_of(df):
+    return df.sparkSession
+
+
+def test_blocks_use_the_fitted_columns(spark):
+    rows = [("1", "A", ["x"], 10.0), ("2", "B", ["y"], 20.0), ("3", "A", None, 10.0), ("4", "B", ["x"], 20.0)]
+    df = spark.createDataFrame(rows, "job_id string, title string, tools array<string>, salary double")
+    features = O.fit_features(df, cols=("title",), skills_col="tools")
+    assert (features.cols, features.skills_col) == (("title",), "tools")
+    exact = {"trees": 1, "depth": 2, "bootstrap": False}
+    for blocks in (None, 2):
+        model = O.fit_salary(df, features, blocks=blocks, **exact)
+        got = O.salary_scorer(features, model)(df).select("job_id", "prediction")
+        assert sorted(rows_of(got)) == [("1", 10.0), ("2", 20.0), ("3", 10.0), ("4", 20.0)]
+    with pytest.raises(ValueError):
+        O.fit_features(df, cols=("title",), skills_col="tools", max_levels=2)
+
+
+def test_missing_predictions_are_misses(spark):
+    df = spark.createDataFrame([("High", "High"), ("High", None), ("Low", "Low")], "label string, prediction string")
+    report = {r["class"]: r for r in O.classification_report(df).collect()}
+    assert report["High"].support == 2 and report["High"].recall == 0.5 and None not in report
+    assert rows_of(O.accuracy(df)) == [(3, report["accuracy"].f1_score)]
+
+
 def test_split_is_stable(spark):
     df = spark.range(2000).select(F.col("id").cast("string").alias("job_id"))
     train, test = O.split(df)
@@ -49,7 +76,8 @@ def test_split_is_stable(spark):
     assert 320 < test.count() < 480
     again = O.split(df.repartition(7))[1]
     assert sorted(rows_of(test)) == sorted(rows_of(again))
-    assert O.split(spark.createDataFrame([(None,)], "job_id string"))[0].count() == 1
+    unnamed = spark.range(500).select(F.lit(None).cast("string").alias("job_id"), "id")
+    assert 50 < O.split(unnamed)[1].count() < 150
 
 
 @pytest.fixture(scope="module")
@@ -78,7 +106,8 @@ def test_training_learns_the_rules(run):
 def test_importances(run):
     result, _ = run
     table = rows_of(result.importances)
-    assert [x[0] for x in table] == list(result.models.features.names)
+    assert [x[:2] for x in table] == list(enumerate(result.models.features.names, 1))
+    table = [x[1:] for x in table]
     assert sum(x[1] for x in table) == pytest.approx(1)
     top = rows_of(O.top_features(result.importances))
     assert top == sorted(table, key=lambda x: (-x[1], x[0]))[:4]
@@ -123,7 +152,7 @@ def test_averaging_keeps_every_row(postings):
     from postlens.operators.forest import _averaged
 
     df = postings(*[posting(str(i), salary=float(i), skills=["a", "b"] if i % 2 else ["b", "a", "a"]) for i in range(50)])
-    rows = _averaged(df.withColumn("_label", F.col("salary")), ["job_title"], 4, "job_id", False).collect()
+    rows = _averaged(df.withColumn("_label", F.col("salary")), ["job_title"], "skills", 4, "job_id", False).collect()
     assert len(rows) <= 4
     assert sum(x._weight for x in rows) == 50
     assert sum(x._weight * x._label for x in rows) == pytest.approx(sum(range(50)))
@@ -135,7 +164,7 @@ def test_rare_skill_can_split(spark, postings):
     df = postings(*plain, posting("x", skills=["a", "rare"], salary=900000.0), posting("y", skills=["a", "rare"], salary=900000.0))
     features = O.fit_features(df)
     model = O.fit_salary(df, features, trees=5, depth=3, seed=1, subsamplingRate=1.0)
-    importances = dict(rows_of(O.feature_importances(model, features, df)))
+    importances = {r.feature: r.importance for r in O.feature_importances(model, features, df).collect()}
     assert importances["rare"] > 0.9
 
 

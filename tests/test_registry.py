@@ -20,7 +20,8 @@ def tables(sf_dir):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert {x for x in QUERIES if x not in ORACLES} == {
+    ours = {x for x in QUERIES if not x.startswith("op") and x != "pipeline"}
+    assert {x for x in ours if x not in ORACLES} == {
         "salary_forest_predictions",
         "demand_forest_predictions",
         "predictions",
@@ -30,7 +31,7 @@ def test_every_oracle_has_a_query():
     }
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(x for x in ORACLES if not x.startswith("op")))
 def test_query_equals_oracle(spark, sf_dir, tables, name):
     result = QUERIES[name](spark, sf_dir)
     answer = tables.execute(ORACLES[name])
@@ -41,7 +42,7 @@ def test_query_equals_oracle(spark, sf_dir, tables, name):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(x for x in set(QUERIES) - set(ORACLES) if not x.startswith("op") and x != "pipeline"))
 def test_other_queries_run(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 

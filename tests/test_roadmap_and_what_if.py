@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from postlens import operators as O
 from postlens.fixed_values import DEFAULT_ROLE, ROLE_FRAMEWORKS
-from postlens.operators.joins import hint_small
 
 STATS = [("SQL", 9, 115000.0), ("Go", 7, 115000.01), ("Ada", 7, 1234567.5), ("C", 2, 1.0), ("R", 1, 2.0)]
 
@@ -45,11 +44,44 @@ def test_skill_roadmap_equals_brute_force(spark):
     assert sorted(got) == sorted(want)
 
 
-def test_skill_roadmap_does_not_shuffle_users(spark, stats):
-    users = spark.range(100).select(F.col("id").alias("user_id"), F.array(F.lit("SQL")).alias("skills"))
-    plan = O.skill_roadmap(users, stats, max_owned=1)._jdf.queryExecution().executedPlan().toString()
-    main = plan.split("Subquery")[0]
-    assert "Join" not in plan and "hashpartitioning" not in main
+def test_ranking_ignores_repeats_and_missing_keys(spark):
+    """Repeated skills, null and NaN keys neither use up the answer nor come first."""
+    nan = float("nan")
+    table = [("AWS", 9, 1.0), *[("AWS", 8, 2.0)] * 5, ("Go", 5, 3.0), ("SQL", None, 4.0), (None, 7, 5.0), ("C", 4, 6.0)]
+    stats = spark.createDataFrame(table, "skill string, frequency bigint, avg_salary double")
+    users = spark.createDataFrame([(1, ["x"] * 10 + ["Go"]), (2, ["AWS", "C"])], "user_id bigint, skills array<string>")
+    got = rows_of(O.skill_roadmap(users, stats, k=2).select("user_id", "step", "skill", "target_avg_salary"))
+    assert sorted(got) == [(1, 1, "AWS", 1.0), (1, 2, "C", 6.0), (2, 1, "Go", 3.0)]
+    ranked = [("AWS", None), ("Go", nan), ("PySpark", 0.2), ("Python", 0.5), ("Python", 0.5), ("Python", 0.1), ("Docker", 0.4)]
+    vocabulary = spark.createDataFrame(ranked, "skill string, importance double")
+    requests = spark.createDataFrame([request("1", ["SQL"])], SCHEMA)
+    got = O.what_if(requests, vocabulary, O.pay_scorer(), max_candidates=2, order="importance")
+    assert rows_of(got.orderBy("rank")) == [("1", 1, "Python", 4000), ("1", 2, "Docker", 4000)]
+
+
+def test_lists_longer_than_the_vocabulary(spark, stats):
+    own = [f"x{i}" for i in range(5000)]
+    users = spark.createDataFrame([(1, own), (2, own + ["SQL"])], "user_id bigint, skills array<string>")
+    names = [r.skill for r in stats.orderBy(F.desc("frequency"), "skill").collect()]
+    got = rows_of(O.skill_roadmap(users, stats).select("user_id", "step", "skill"))
+    want = [(1, i, x) for i, x in enumerate(names[:5], 1)]
+    want += [(2, i, x) for i, x in enumerate([x for x in names if x != "SQL"][:5], 1)]
+    assert sorted(got) == sorted(want)
+
+
+def test_answers_hold_salary_demand_and_boosts(spark):
+    requests = spark.createDataFrame([request("1", ["SQL"]), request("2", ["AWS", "Go"])], SCHEMA)
+    got = O.predict_with_boosts(requests, words(spark, "Go", "AWS"), O.pay_scorer(), O.with_demand).orderBy("request_id")
+    first, second = got.collect()
+    assert [tuple(x) for x in first.boosts] == [("AWS", 8000), ("Go", 8000)] and second.boosts == []
+    assert second.predicted_salary - first.predicted_salary == 16000 and first.demand_score in ("Low", "Medium", "High")
+
+
+def test_nested_roadmap(spark, stats):
+    requests = spark.createDataFrame([("1", "A")], "request_id string, role string")
+    frameworks = O.frameworks_table(spark, {"A": [("t1", "d1", ["Missing", "SQL"]), ("t2", "d2", [])]})
+    nested = O.nested_roadmap(O.role_roadmap(requests, frameworks, stats, default_role="A")).orderBy("step").collect()
+    assert [[x.skill for x in r.skills] for r in nested] == [["Missing", "SQL"], []]
 
 
 def test_role_roadmap(spark, stats):
@@ -81,12 +113,8 @@ def test_built_in_frameworks(spark, stats):
     assert {x.title for x in got.collect()} == {x[0] for x in ROLE_FRAMEWORKS[DEFAULT_ROLE]}
 
 
-def test_broadcast_only_below_the_bound(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString()
-
-    assert hinted(hint_small(spark.range(5), max_rows=5))
-    assert not hinted(hint_small(spark.range(6), max_rows=5))
+def request(name, skills, title="Data Engineer", level="Senior"):
+    return (name, title, level, "Hybrid", "Tech", skills)
 
 
 SCHEMA = (
@@ -157,7 +185,7 @@ def test_equal_requests_are_answered_once(spark):
 
     def answer(df):
         asked.append(df)
-        return O.what_if(df, words(spark, "Go", "Python"), O.pay_scorer(), max_owned=3)
+        return O.what_if(df, words(spark, "Go", "Python"), O.pay_scorer())
 
     got = rows_of(O.by_profile(requests, answer))
     want = rows_of(answer(requests.filter("request_id is not null")))

@@ -101,3 +101,17 @@ def test_has_any_is_never_null(spark):
     df = spark.createDataFrame([([None, "a"],), (None,), (["b"],)], "s array<string>")
     assert [x[0] for x in rows_of(df.select(has_any(F.col("s"), ["b"])))] == [False, False, True]
     assert [x[0] for x in rows_of(df.select(has_any(F.col("s"), [])))] == [False, False, False]
+
+
+def test_pay_table_may_repeat_titles(postings, spark):
+    base = spark.createDataFrame([("Data Engineer", 100000), ("Data Engineer", 90000)], "title string, pay bigint")
+    df = postings(posting("1"), posting("2"))
+    got = O.with_expected_salary(df, O.PayRules(base=base)).select("job_id", "expected_salary").orderBy("job_id")
+    want = O.with_expected_salary(df).select("job_id", "expected_salary").orderBy("job_id")
+    assert rows_of(got) == rows_of(want)
+
+
+def test_demand_rules_are_arguments(postings):
+    rules = O.DemandRules(remote="Anywhere", remote_points=9, labels=("l", "m", "h"))
+    df = postings(posting("1", job_type="Anywhere"), posting("2", skills=[], industry="x", experience_level="x"))
+    assert [r.demand_score for r in O.with_demand(df, rules).orderBy("job_id").collect()] == ["h", "l"]

@@ -31,7 +31,7 @@ WANT = [
 def test_read_json_array_and_lines(spark, tmp_path):
     (tmp_path / "array.json").write_text(json.dumps(RECORDS))
     (tmp_path / "lines.json").write_text("\n".join(json.dumps(x) for x in RECORDS))
-    assert text_of(sources.read_postings(spark, str(tmp_path / "array.json"))) == WANT
+    assert text_of(sources.read_postings(spark, str(tmp_path / "array.json"), indent=None)) == WANT
     lines = sources.read_postings(spark, str(tmp_path / "lines.json"), multi_line=False)
     assert text_of(lines) == WANT
     assert lines.schema == RAW_SCHEMA
@@ -130,3 +130,32 @@ def test_shared_dir_is_the_one_the_session_names(spark):
     assert folder.endswith(spark.sparkContext.applicationId)
     table = sources.materialize(spark.range(10), "ten")
     assert table.count() == 10 and folder in table.inputFiles()[0]
+
+
+def test_plans_take_other_column_names(spark, postings, tmp_path):
+    from postlens.schema import Columns
+
+    c = Columns(job_id="id", title="role", level="rank", job_type="kind", salary="pay", skills="tools", industry="field")
+    names = {"job_id": "id", "job_title": "role", "experience_level": "rank", "job_type": "kind"}
+    names |= {"salary": "pay", "skills": "tools", "industry": "field"}
+    rows = [posting(str(i), job_title="AB"[i % 2], skills=["x"] if i % 3 else ["y"], salary=100.0 + i % 2) for i in range(60)]
+    df = postings(*rows)
+    run = plans.record_market(df.withColumnsRenamed(names), str(tmp_path / "a"), c=c)
+    plain = plans.record_market(df, str(tmp_path / "b"))
+    for folder in ("overall_stats", "skills_analysis", "salary_distribution"):
+        read = [sorted(rows_of(spark.read.json(f"{r.results_dir}/{folder}"))) for r in (run, plain)]
+        assert read[0] == read[1]
+    trained = plans.train(spark.read.parquet(run.extract_path), trees=2, depth=2, c=c)
+    assert "role_A" in trained.models.features.names
+
+
+def test_nothing_temporary_is_left(spark, postings, tmp_path):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    folder = Path(urlparse(sources.shared_dir(spark)).path)
+    before = set(folder.glob("*"))
+    plans.record_market(postings(posting("1")), str(tmp_path / "m"))
+    with sources.temporary_tables(spark):
+        assert sources.materialize(spark.range(5)).count() == 5
+    assert set(folder.glob("*")) == before
