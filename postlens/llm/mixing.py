@@ -115,7 +115,7 @@ def mix_sources(
     share: float = 1.5,
     most: float = 2.0,
     seed: int = 17,
-    bucket_rows: int = 20_000,
+    bucket_rows: int = 2_000,
     fan_in: int = 256,
     id_col: str = "doc_id",
     text_col: str = "text",
