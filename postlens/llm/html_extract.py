@@ -264,7 +264,7 @@ def extract_pages(
     min_pages: int = 16,
     noise_below: float = 0.1,
     site_from: float = 0.3,
-    group_pages: int = 1000,
+    group_pages: int = 250,
 ) -> DataFrame:
     """(id, url, text, n_chars) for each row of ``pages``.
 
