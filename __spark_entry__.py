@@ -372,6 +372,9 @@ def queries() -> dict[str, Query]:
             lambda df: O.classification_report(B.scored_rows(df), "demand_score", "other_demand")
         ),
         "category_values": _on_clean(O.category_values),
+        "category_lists": _on_clean(
+            lambda df: O.category_lists(O.category_values(df)).withColumn("values", F.array_join("values", ","))
+        ),
         "features_long": _features_long,
         "train_test_split": _on_clean(lambda df: O.with_split(df).select("job_id", "split")),
         "demand_codes": _on_clean(

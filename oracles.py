@@ -359,6 +359,8 @@ ORACLES: dict[str, str] = {
         round(avg(CASE WHEN demand_score = other_demand THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM postings""",
     "classification_report": _PER_CLASS,
     "category_values": f"WITH {_VALUES} SELECT field, value FROM found",
+    "category_lists": f"""WITH {_VALUES} SELECT field, string_agg(value, ',' ORDER BY value) AS "values"
+        FROM found GROUP BY field""",
     "features_long": f"WITH {_FEATURES} SELECT job_id, feature, CAST(1 AS DOUBLE) AS value FROM features",
     "train_test_split": f"""WITH {_CLEAN} SELECT job_id,
         CASE WHEN CAST('0x' || substr(md5(job_id), 1, 8) AS BIGINT) % 100 < 20 THEN 'test' ELSE 'train' END AS split

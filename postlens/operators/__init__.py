@@ -1,6 +1,6 @@
 from .clean import clean, rejected
 from .evaluate import accuracy, classification_report, regression_report
-from .features import FeatureModel, category_values, features_long, fit_features, split, with_split
+from .features import FeatureModel, category_lists, category_values, features_long, fit_features, split, with_split
 from .forest import (
     Models,
     feature_importances,
@@ -37,6 +37,7 @@ __all__ = [
     "PayRules",
     "accuracy",
     "by_profile",
+    "category_lists",
     "category_values",
     "classification_report",
     "clean",

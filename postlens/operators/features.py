@@ -43,6 +43,11 @@ def category_values(
     )
 
 
+def category_lists(values: DataFrame) -> DataFrame:
+    """``category_values`` with one row for each field and its values as one sorted array."""
+    return values.groupBy("field").agg(F.sort_array(F.collect_list("value")).alias("values"))
+
+
 @dataclass(frozen=True)
 class FeatureModel:
     """Fitted feature stages and the names of the vector's slots, in order."""
