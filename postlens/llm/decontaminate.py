@@ -9,6 +9,7 @@ with it word by word.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -21,17 +22,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import materialize
-from .common import slices
+from .common import REMEMBERED, slices
 
 _PUNCTUATION = b".,;:!?\"'()[]{}"
 _LOWER = bytes(range(256)).lower()
+_ASCII = bytes(range(128))
 _SLOTS = 1 << 16
 _STRIPE = 1024
 
 
+def _fold(text: bytes) -> bytes:
+    """Case-folded and composed; some marks are composed to ASCII ones."""
+    folded = unicodedata.normalize("NFC", text.decode("utf-8", "surrogateescape")).casefold()
+    return unicodedata.normalize("NFC", folded).encode("utf-8", "surrogateescape").translate(None, _PUNCTUATION)
+
+
+class _FoldedChars(dict):
+    """Bytes of each character and of its folded form; None if it may join the character before it."""
+
+    def __missing__(self, char: str) -> tuple[bytes, bytes] | None:
+        text = char.encode("utf-8", "surrogateescape")
+        joins = unicodedata.category(char)[0] == "M" or "\u1100" <= char <= "\u11ff"
+        value = self[char] = None if joins else (text, _fold(text))
+        return value
+
+
+class _FoldedWords(dict):
+    """Folded form of each word beyond ASCII, made once for each distinct word of a task."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        value = self[word] = _fold(word)
+        return value
+
+
+_FOLDED_CHARS, _FOLDED_WORDS = _FoldedChars(), _FoldedWords()
+
+
 def plain_words(text: bytes | None) -> list[bytes]:
-    """Lower-cased words without punctuation marks."""
-    return text.translate(_LOWER, _PUNCTUATION).split() if text else []
+    """Words without case, in composed form and without punctuation marks."""
+    if not text:
+        return []
+    plain = text.translate(_LOWER, _PUNCTUATION)
+    if plain.isascii():
+        return plain.split()
+    changes = [_FOLDED_CHARS[x] for x in set(plain.translate(None, _ASCII).decode("utf-8", "surrogateescape"))]
+    if None in changes:
+        return [x for w in plain.split() if (x := w if w.isascii() else _FOLDED_WORDS[w])]
+    for char, folded in changes:
+        if char != folded:
+            plain = plain.replace(char, folded)
+    return plain.split()
 
 
 def _slot(word: bytes) -> int:

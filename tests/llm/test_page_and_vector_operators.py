@@ -2,6 +2,7 @@
 
 import html
 import re
+import unicodedata
 
 import duckdb
 import numpy as np
@@ -207,6 +208,19 @@ def test_answer_decides_on_reworded_passages(spark):
     assert [(r.doc_id, r.item_id) for r in got] == [(101, 1)]
 
 
+def test_case_of_accented_words(spark):
+    text = "ciónmiírr éenaitreoiaux ñezll straße œuvre ångström σοφός привет ýta ñasquera dość größe"
+    decomposed = unicodedata.normalize("NFD", text.upper())
+    docs = [(1, text.upper()), (2, decomposed), (3, text.title()), (4, "ÉENAITREOIAUX autre chose"), (5, text)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for item in (text, text.upper(), decomposed):
+        bench = spark.createDataFrame([(1, item, "DOŚĆ größe")], "item_id long, text string, answer string")
+        got = decontaminate.contaminated(df, bench, item_answer="answer").collect()
+        assert sorted((r.doc_id, r.common) for r in got) == [(1, 1.0), (2, 1.0), (3, 1.0), (5, 1.0)]
+    odd = [None, b"", b"\xff\xc3 A\xff", "a\u037e \u037e É.".encode()]
+    assert [decontaminate.plain_words(x) for x in odd] == [[], [], [b"\xff\xc3", b"a\xff"], [b"a", "é".encode()]]
+
+
 def test_common_length():
     rng = np.random.default_rng(1)
     for _ in range(50):
