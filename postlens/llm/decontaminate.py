@@ -100,20 +100,23 @@ class Item:
     counts: Counter = field(compare=False)
 
 
-def _items(rows: Iterable[tuple[int, str | None, str | None]], width: int) -> list[Item]:
+def _items(rows: Iterable[tuple[int, str | None, str | None]], width: int, verbatim: float) -> list[Item]:
     out = []
     for item_id, text, answer in rows:
         words = plain_words((text or "").encode())
         if answer is None:
             # Without an answer of its own, an item's last sentence takes its place.
             last = (text or "").rstrip().rstrip(".!?").replace("!", ".").replace("?", ".").rpartition(".")[2]
-            answer = last
-        reply = tuple(plain_words(answer.encode()))
-        out += [
-            Item(item_id, part, reply, Counter(part))
-            for part in (tuple(words[i : i + width]) for i in range(0, len(words), width))
-            if len(part) * 2 > width or len(words) <= width
-        ]
+            reply = tuple(plain_words(last.encode()))
+            if len(reply) > verbatim * len(words):
+                # Whoever has all of that has the item: its end has to do.
+                reply = reply[-max(1, len(words) // 4) :]
+        else:
+            reply = tuple(plain_words(answer.encode()))
+        # Parts begin at every quarter of a passage, so that any excerpt nearly fills one; the last ends with the item.
+        starts = [*range(0, max(0, len(words) - width), max(1, width // 4)), max(0, len(words) - width)]
+        parts = (tuple(words[i : i + width]) for i in starts)
+        out += [Item(item_id, part, reply, Counter(part)) for part in parts if part]
     return out
 
 
@@ -316,7 +319,8 @@ def contaminated(
     item can fill, as a root. A candidate counts if the longest common subsequence of the item and
     the passage's surroundings is at least ``verbatim`` of the item, or at least ``reworded`` while
     the whole answer occurs too, in order. An item without an answer column answers with its last
-    sentence. Items longer than a passage are searched by parts.
+    sentence, or with its last quarter if that sentence is more than ``verbatim`` of it. Items longer
+    than a passage are searched by parts that overlap by three quarters, up to the last word.
 
     Null and empty documents and items match nothing; a document without an id is searched but its
     rows carry a null id; repeated rows give repeated rows; an empty benchmark or table gives none.
@@ -332,7 +336,7 @@ def contaminated(
     asked = benchmark.filter(F.col(item_id).isNotNull()).select(
         F.col(item_id).cast("bigint"), F.col(item_text).cast("string"), answer
     )
-    items = _items(sorted(set(map(tuple, asked.collect())), key=repr), width)
+    items = _items(sorted(set(map(tuple, asked.collect())), key=repr), width, verbatim)
     empty = spark.createDataFrame([], "doc_id long, item_id long, common double, cosine double")
     used = sorted({w for item in items for w in item.words})
     if not used:

@@ -208,6 +208,25 @@ def test_answer_decides_on_reworded_passages(spark):
     assert [(r.doc_id, r.item_id) for r in got] == [(101, 1)]
 
 
+def test_excerpts_of_long_items_and_items_of_one_sentence(spark):
+    rng = np.random.default_rng(12)
+    word = [f"w{i}" for i in range(3000)]
+    long, middle, single = (list(rng.choice(word, n, replace=False)) for n in (130, 66, 30))
+    filler = [(10_000 + i, " ".join(rng.choice(word, 150))) for i in range(1000)]
+    docs = [(1000 + at, long[at : at + n]) for at, n in ((12, 70), (14, 60), (0, 48), (82, 48), (36, 48), (60, 70))]
+    docs += [(2000, middle[20:]), (2001, middle[:48]), (2002, middle[9:57])]
+    # Two of three words stay, with the last ones in 3000 only.
+    docs += [(3000, [x if i % 3 or i > 22 else "other" for i, x in enumerate(single)])]
+    docs += [(3001, [x if i % 3 != 2 else "other" for i, x in enumerate(single)])]
+    before = " ".join(rng.choice(word, 17))
+    df = spark.createDataFrame(filler + [(i, f"{before} {' '.join(x)} {before}") for i, x in docs], "doc_id long, text string")
+    bench = [(1, " ".join(long)), (2, " ".join(middle)), (3, " ".join(single) + ".")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert got == {(i, i // 1000) for i, _ in docs if i != 3001}
+    items = decontaminate._items([(1, "A b c d e f g h. I", None), (2, "A b c d e f g h.", None), (3, "A b c d", "A b c d")], 48, 0.75)
+    assert [x.answer for x in items] == [(b"i",), (b"g", b"h"), (b"a", b"b", b"c", b"d")]
+
+
 def test_case_of_accented_words(spark):
     text = "ciónmiírr éenaitreoiaux ñezll straße œuvre ångström σοφός привет ýta ñasquera dość größe"
     decomposed = unicodedata.normalize("NFD", text.upper())
