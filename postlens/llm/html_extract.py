@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -110,39 +111,44 @@ def parse(html: str | None) -> Node:
     return Dom(html or "").root
 
 
-def _text_of(node: Node) -> str:
+def _is_noise(node: Node, inside: bool) -> bool:
+    """Never part of the main text; ``inside`` says whether the node lies in a marked main part."""
+    return node.noise or (node.tag == "header" and not inside)
+
+
+def _text_of(node: Node, cut: Callable[[Node], bool] = lambda x: x.tag in NO_TEXT) -> str:
     parts, todo = [], [node]
     while todo:
         item = todo.pop()
         if isinstance(item, str):
             parts.append(item)
-        elif item.tag not in NO_TEXT:
+        elif not cut(item):
             todo.extend(reversed(item.children))
     return " ".join("".join(parts).split())
 
 
-def style_nodes(root: Node) -> Iterator[tuple[str, Node]]:
-    """(path of keys, node) of every block of the page, parents first."""
-    todo = [("", root)]
+def style_nodes(root: Node) -> Iterator[tuple[str, Node, bool]]:
+    """(path of keys, node, whether its children lie in a main part) of every block outside noise, parents first."""
+    todo = [("", root, False)]
     while todo:
-        path, node = todo.pop()
+        path, node, inside = todo.pop()
+        inside = inside or node.main
         for child in reversed(node.children):
-            if not isinstance(child, str):
-                inside = f"{path}/{child.key}" if child.tag in BLOCKS else path
-                todo.append((inside, child))
+            if not isinstance(child, str) and not _is_noise(child, inside):
+                todo.append((f"{path}/{child.key}" if child.tag in BLOCKS else path, child, inside))
         if node.tag in BLOCKS:
-            yield path, node
+            yield path, node, inside
 
 
 def _features(root: Node) -> Iterator[tuple[str, int, int]]:
     """(path, kind, hash): kind 0 for the order of the blocks inside, kind 1 for text of a leaf."""
-    for path, node in style_nodes(root):
-        blocks = [x.key for x in node.children if not isinstance(x, str) and x.tag in BLOCKS]
+    for path, node, inside in style_nodes(root):
+        blocks = [x.key for x in node.children if not isinstance(x, str) and x.tag in BLOCKS and not _is_noise(x, inside)]
         # Repeats of one block are one style: three paragraphs look like four.
         order = [x for i, x in enumerate(blocks) if i == 0 or x != blocks[i - 1]]
         yield path, 0, xxhash.xxh3_64_intdigest(" ".join(order))
         if not blocks:
-            text = _text_of(node)
+            text = _text_of(node, lambda x: _is_noise(x, inside))
             if text:
                 yield path, 1, xxhash.xxh3_64_intdigest(text)
 
@@ -179,11 +185,12 @@ def main_text(root: Node, weak: frozenset[str] = frozenset()) -> str:
     """Text blocks in page order, without parts that hold no main text and without ``weak`` paths.
 
     If the page marks its article, only what lies in it counts; if not, its main container; if there
-    is none, the whole body.
+    is none, the whole body. Weak paths cut parts of a marked article, but neither all of it nor all
+    its text: if nothing were left, they do not count.
     """
     blocks: list[list[str]] = [[]]
 
-    def collect(path: str, node: Node, inside: bool) -> None:
+    def collect(path: str, node: Node, inside: bool, weak: frozenset[str]) -> None:
         todo: list[tuple[str, Node | str | None, bool]] = [(path, node, inside)]
         while todo:
             path, item, inside = todo.pop()
@@ -191,7 +198,7 @@ def main_text(root: Node, weak: frozenset[str] = frozenset()) -> str:
                 blocks.append([])
             elif isinstance(item, str):
                 blocks[-1].append(item)
-            elif item.noise or (item.tag == "header" and not inside) or (path in weak and item.tag in BLOCKS):
+            elif _is_noise(item, inside) or (item is not node and path in weak and item.tag in BLOCKS):
                 if item.tag in BLOCKS:
                     blocks.append([])
                 elif item.tag not in UNSEEN:
@@ -207,7 +214,7 @@ def main_text(root: Node, weak: frozenset[str] = frozenset()) -> str:
                     key = not isinstance(child, str) and child.tag in BLOCKS
                     todo.append((f"{path}/{child.key}" if key else path, child, inside or item.main))
 
-    def outermost(test) -> list[tuple[str, Node]]:
+    def outermost(test, weak: frozenset[str]) -> list[tuple[str, Node]]:
         found, todo = [], [("", root)]
         while todo:
             path, node = todo.pop()
@@ -221,24 +228,37 @@ def main_text(root: Node, weak: frozenset[str] = frozenset()) -> str:
                     todo.append((f"{path}/{child.key}" if child.tag in BLOCKS else path, child))
         return found
 
-    for test in (lambda x: x.tag == "article", lambda x: x.tag == "main" or x.main, lambda x: x is root):
-        places = outermost(test)
+    def joined() -> str:
+        lines = (" ".join("".join(x).split()) for x in blocks)
+        return "\n\n".join(x for x in lines if x)
+
+    tests = (lambda x: x.tag == "article", lambda x: x.tag == "main" or x.main, lambda x: x is root)
+    for test in tests:
+        marked = test is tests[0]
+        places = outermost(test, frozenset() if marked else weak)
         if any(_text_of(node) for _, node in places):
             for path, node in places:
-                collect(path, node, test(node) and node is not root)
+                collect(path, node, test(node) and node is not root, weak)
+            if marked and weak and not joined():
+                for path, node in places:
+                    collect(path, node, True, frozenset())
             break
-    joined = (" ".join("".join(x).split()) for x in blocks)
-    return "\n\n".join(x for x in joined if x)
+    return joined()
 
 
 def _stats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
-        hosts, paths, kinds, hashes = [], [], [], []
-        for host, html in zip(part["_host"], part["_html"]):
-            for path, kind, value in set(_features(parse(html))):
-                hosts.append(host), paths.append(path), kinds.append(kind), hashes.append(value - (1 << 63))
-        arrays = [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(kinds, pa.int32()), pa.array(hashes, pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["host", "path", "kind", "hash"])
+        roots = [parse(x) for x in part["_html"]]
+        # Pages of a host with one main text are copies, whatever stands around it.
+        copies = [xxhash.xxh3_64_intdigest(main_text(x)) - (1 << 63) for x in roots]
+        styles = [sorted((path, kind, value - (1 << 63)) for path, kind, value in set(_features(x))) for x in roots]
+        flat = [x for page in styles for x in page]
+        kinds = (pa.string(), pa.int32(), pa.int64())
+        columns = [pa.array([x[i] for x in flat], kind) for i, kind in enumerate(kinds)]
+        values = pa.StructArray.from_arrays(columns, ["path", "kind", "hash"])
+        starts = pa.array(np.cumsum([0, *map(len, styles)]), pa.int32())
+        arrays = [pa.array(part["_host"], pa.string()), pa.array(copies, pa.int64()), pa.ListArray.from_arrays(starts, values)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["host", "copy", "styles"])
 
 
 def _extract(keep: list[str], min_pages: int, noise_below: float, site_from: float):
@@ -270,20 +290,27 @@ def extract_pages(
 
     The DOMs of a host's pages merge into a style tree: blocks with the same chain of tags, classes
     and ids are one node. Entropies over the host's pages give each node an importance
-    (``importances``); branches of a host with at least ``min_pages`` pages whose importance is below
+    (``importances``); branches on at least ``min_pages`` pages of a host whose importance is below
     ``noise_below`` are cut out of each page, unless no node of the site reaches ``site_from``. Parts
-    that name themselves as menus, adverts, forms, comments and so on are cut on every host.
+    that name themselves as menus, adverts, forms, comments and so on are cut on every host and are
+    no nodes of the tree. Pages of a host with the same main text, before branches are cut, count as
+    one page. A marked article is never cut as a whole, nor all its text.
 
     Null html is empty; a page without main text gets an empty text. Pages without a host share one
     tree. Repeated rows and null ids are rows like any other. White space is what Unicode calls so.
 
-    Node counts are combined in the map tasks. Pages travel once, dealt by host and a salt so that a
+    Copies and node counts are combined in the map tasks. Pages travel once, dealt by host and a salt so that a
     group holds about ``group_pages`` of them; the small tree of the host goes to each of its groups.
     """
     rows = pages.select(
         F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"), url_host(F.col(url_col)).alias("_host")
     )
-    counted = rows.select("_host", "_html").mapInArrow(_stats, "host string, path string, kind int, hash long")
+    parsed = rows.select("_host", "_html").mapInArrow(
+        _stats, "host string, copy long, styles array<struct<path: string, kind: int, hash: long>>"
+    )
+    # Of copies that differ in their styles, the same one counts in every run.
+    single = parsed.groupBy("host", "copy").agg(F.min("styles").alias("styles"))
+    counted = single.select("host", F.explode("styles").alias("style")).select("host", "style.*")
     counts = counted.groupBy("host", "path", "kind", "hash").agg(F.count("*").alias("c"))
     nodes = counts.groupBy("host", "path", "kind").agg(
         F.sum("c").alias("pages"), F.sum(F.col("c") * F.ln("c")).alias("same"), F.max("c").alias("most")

@@ -97,6 +97,35 @@ def test_site_style_tree_cuts_what_all_pages_share(spark):
     assert html_extract.extract_pages(pages_of(spark, [])).count() == 0
 
 
+def test_copies_and_noise_do_not_cut_articles(spark):
+    page = "<body><div class=ad><p>Advert {ad}</p></div><header><p>{ad}</p></header>{text}<footer>{ad}</footer></body>"
+    article = "<article><h1>Title {n}</h1><p>Text {n}</p><div class=ad>Buy {ad}</div></article>"
+    want, rows = {}, []
+
+    def add(host, text, ad, expected):
+        want[len(rows)] = expected
+        rows.append((len(rows), f"http://{host}/{len(rows)}", page.format(text=text, ad=ad)))
+
+    for i in range(40):
+        add("one.com", article.format(n="one", ad=i), i, "Title one\n\nText one")
+        add("plain.com", "<p>Same everywhere</p>", i, "Same everywhere")
+        add("side.com", article.format(n="one", ad=i) + f"<div id=x><p>{i}</p></div>", i, "Title one\n\nText one")
+        add("mixed.com", f"<div>Own text {i}<div class=ad>{i}</div></div><p>Slogan</p>", i, f"Own text {i}")
+    for i in range(600):
+        n = i if i < 30 else "copy"
+        add("copies.com", article.format(n=n, ad=i), i, f"Title {n}\n\nText {n}")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages_of(spark, rows), group_pages=70).collect()}
+    assert got == want
+
+
+def test_weak_paths_leave_a_marked_article():
+    root = html_extract.parse("<body><div><article><p class=x>Note</p><p>Text</p></article></div><p>Other</p></body>")
+    paths = {"/body", "/body/div", "/body/div/article"}
+    assert html_extract.main_text(root, frozenset(paths)) == "Note\n\nText"
+    assert html_extract.main_text(root, frozenset(paths | {"/body/div/article/p.x"})) == "Text"
+    assert html_extract.main_text(root, frozenset(paths | {"/body/div/article/p.x", "/body/div/article/p"})) == "Note\n\nText"
+
+
 def test_pages_of_the_tables(spark, sf_dir):
     pages = queries.read(spark, sf_dir, "pages")
     got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
