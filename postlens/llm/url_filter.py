@@ -53,37 +53,48 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def path_templates(
-    pages: DataFrame, max_children: int = 24, min_pages: int = 8, max_distinct_share: float = 0.5, depth: int = 8
+    pages: DataFrame, min_pages: int = 8, max_distinct_share: float = 0.5, stored_levels: int = 8
 ) -> DataFrame:
     """Adds ``_template`` to rows with ``_host`` and ``_path``.
 
-    Level by level, the children of a node of the host's path tree become one wildcard if there are
-    more than ``max_children`` of them, or if the node has at least ``min_pages`` pages and at least
-    ``max_distinct_share`` as many different children as pages. What lies below ``depth`` segments
-    becomes one trailing ``**``. Empty segments do not count, so a trailing slash changes nothing.
+    Level by level, the rare children of a node of the host's path tree, those with so few pages that
+    one child a page is a share of at least ``max_distinct_share``, become one wildcard if together
+    they have at least ``min_pages`` pages. Every other child stays a branch of its own, however many
+    there are. Empty segments do not count, so a trailing slash changes nothing.
+
+    Every ``stored_levels`` levels the rows are stored, and levels end where no node has enough pages
+    for a wildcard; what lies deeper stays as it is.
     """
     segments = F.filter(F.split("_path", "/"), lambda x: x != "")
     rows = pages.withColumn("_segments", segments).withColumn("_template", F.lit(""))
     deepest = rows.agg(F.max(F.size("_segments"))).first()[0] or 0
-    for level in range(min(depth, deepest)):
+    for level in range(deepest):
         segment = F.get("_segments", F.lit(level))
+        if level and level % stored_levels == 0:
+            rows = materialize(rows, "url_levels")
+            busy = rows.filter(segment.isNotNull()).groupBy("_host", "_template").count().filter(F.col("count") >= min_pages)
+            if busy.isEmpty():
+                rest = F.array_join(F.slice("_segments", level + 1, deepest), "/")
+                whole = F.when(segment.isNull(), F.col("_template")).otherwise(F.concat("_template", F.lit("/"), rest))
+                rows = rows.withColumn("_template", whole)
+                break
         children = rows.filter(segment.isNotNull()).groupBy("_host", "_template", segment.alias("_segment")).count()
-        nodes = children.groupBy("_host", "_template").agg(F.count("*").alias("_kids"), F.sum("count").alias("_pages"))
-        many = (F.col("_kids") > max_children) | (
-            (F.col("_pages") >= min_pages) & (F.col("_kids") >= F.col("_pages") * max_distinct_share)
-        )
+        rare = F.col("count") * max_distinct_share <= 1
+        nodes = children.filter(rare).groupBy("_host", "_template").agg(F.sum("count").alias("_pages"))
         # Stored, so that Catalyst knows its size and can split the join where a host is frequent.
-        wild = materialize(nodes.filter(many).select("_host", "_template", F.lit(True).alias("_wild")), "wild_nodes")
-        step = F.when(F.col("_wild"), F.lit(WILD)).otherwise(segment)
-        rows = rows.join(wild, ["_host", "_template"], "left").withColumn(
+        wild = nodes.filter(F.col("_pages") >= min_pages).select("_host", "_template", F.lit(True).alias("_wild"))
+        wild = materialize(wild, "wild_nodes")
+        kept = children.filter(~rare).join(wild, ["_host", "_template"], "left_semi")
+        kept = materialize(kept.select("_host", "_template", "_segment", F.lit(True).alias("_kept")), "kept_children")
+        rows = rows.withColumn("_segment", segment).join(wild, ["_host", "_template"], "left")
+        rows = rows.join(kept, ["_host", "_template", "_segment"], "left")
+        step = F.when(F.col("_wild") & F.col("_kept").isNull(), F.lit(WILD)).otherwise(F.col("_segment"))
+        rows = rows.withColumn(
             "_template",
-            F.when(segment.isNull(), F.col("_template")).otherwise(F.concat("_template", F.lit("/"), step)),
+            F.when(F.col("_segment").isNull(), F.col("_template")).otherwise(F.concat("_template", F.lit("/"), step)),
         )
-        rows = rows.drop("_wild")
-    deeper = F.size("_segments") > depth
-    return rows.withColumn(
-        "_template", F.when(deeper, F.concat("_template", F.lit("/**"))).otherwise(F.col("_template"))
-    ).drop("_segments")
+        rows = rows.drop("_wild", "_kept", "_segment")
+    return rows.drop("_segments")
 
 
 def judge_urls(

@@ -62,6 +62,25 @@ def test_alike_branches_are_merged(spark):
     assert len({r.bad_share for r in got}) == 1 and {r.template for r in got} == {"/a/*", "/b/*", "/c/*"}
 
 
+@pytest.mark.parametrize("sections", [24, 40])
+def test_bad_section_among_many(spark, sections):
+    """Also below eight segments, and where rare children lie beside it."""
+    names = ["spam", *(f"s{i}" for i in range(1, sections))]
+    rows = [(i, f"http://big.com/{names[i % sections]}/{i}", None) for i in range(40 * sections)]
+    deep = "http://deep.com/" + "d/" * 9
+    rows += [(10_000 + i, deep + f"{names[i % 2]}/{i}", None) for i in range(80)]
+    rows += [(20_000 + i, f"http://deep.com/{'d/' * 12}once/{'e/' * 9}", None) for i in range(2)]
+    rows += [(30_000 + i, f"http://big.com/rare{i}/{i}", None) for i in range(30)]
+    labels = spark.createDataFrame([(i, "/spam/" in u) for i, u, _ in rows], "doc_id long, bad boolean")
+    got = url_filter.judge_urls(pages_of(spark, rows), labels, ()).collect()
+    urls = {i: u for i, u, _ in rows}
+    assert len(got) == len(rows)
+    assert all(r.verdict == ("block" if "/spam/" in urls[r.page_id] else "allow") for r in got)
+    template = {r.page_id: r.template for r in got}
+    assert template[0] == "/spam/*" and template[1] == "/s1/*" and template[30_000] == "/*/*"
+    assert template[10_000] == "/d" * 9 + "/spam/*" and template[20_000] == "/d" * 12 + "/once" + "/e" * 9
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p>";</script></head><body>
 <div class="cookie-notice">We use cookies</div><header><h2>Site</h2></header><nav><ul><li><a href=x>One</a></li></ul></nav>
 <aside>Side</aside><article><h1>Title {n} &amp; more</h1><p><b>First   line
