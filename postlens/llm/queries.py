@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    byte_bpe,
     decontaminate,
     embedding_dedup,
     html_extract,
@@ -18,6 +19,7 @@ from . import (
     token_files,
     toxicity,
     url_filter,
+    whitening,
 )
 
 RULES = (
@@ -102,6 +104,25 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(read(spark, sf_dir, "embeddings"), components=4)
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode_documents(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    both = byte_bpe.decode_documents(encoded, byte_bpe.token_bytes(spark, path))
+    return both.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 LINE_DEDUP_SQL = """
 WITH lines AS (
     SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos
@@ -136,5 +157,7 @@ QUERIES = {
     "op8_token_files": token_files_query,
     "op9_source_mix": mixing_query,
     "op10_toxicity": toxicity_query,
+    "op11_whitening": whitening_query,
+    "op12_byte_bpe": byte_bpe_query,
 }
 ORACLES = {"op1_line_dedup": LINE_DEDUP_SQL}
