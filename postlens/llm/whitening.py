@@ -79,7 +79,7 @@ def minres(apply: Apply, shifts: np.ndarray, right: np.ndarray, away: np.ndarray
 
 
 def jacobi_davidson(
-    apply: Apply, d: int, k: int, size: float, precision: float = 16 * np.finfo(float).eps, inner: int = 12, rounds: int = 200,
+    apply: Apply, d: int, k: int, size: float, precision: float = 16 * np.finfo(float).eps, inner: int = 6, rounds: int = 200,
     seed: int = 11,
 ) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` largest eigenvalues, falling, and eigenvectors of a positive semidefinite matrix.
@@ -90,7 +90,8 @@ def jacobi_davidson(
     value lies below the locked ones.
     """
     k = min(k, d)
-    width, most = min(d, k + 4), min(d, 6 * (k + 4))
+    # Spare vectors cost no further passes, and with them fewer rounds are needed.
+    width, most = min(d, k + 12), min(d, 6 * (k + 12))
     tolerance = precision * size
     locked, values = np.empty((d, 0)), np.empty(0)
     space = _orthonormal(np.random.default_rng(seed).standard_normal((d, width)), locked)
@@ -120,9 +121,9 @@ def jacobi_davidson(
             # The space is whole: what is left of the residuals is rounding.
             locked, values = np.column_stack([locked, space]), np.concatenate([values, theta])
             break
-        if space.shape[1] + k > most:
+        if space.shape[1] + 2 * (k + 4) > most and most < d:
             space, image, theta, rest = (x[..., :width] for x in (space, image, theta, rest))
-        open_ = max(1, min(k - len(values), len(theta)))
+        open_ = max(1, min(k + 4 - len(values), len(theta)))
         away = np.column_stack([locked, space[:, :open_]])
         steps = minres(apply, theta[:open_], -rest[:, :open_], away, inner, goal)
         goal = max(goal / 4, 1e-4)
