@@ -11,6 +11,7 @@ from . import (
     byte_bpe,
     decontaminate,
     embedding_dedup,
+    hard_negatives,
     html_extract,
     line_dedup,
     mixing,
@@ -123,6 +124,12 @@ def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hard_negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 LINE_DEDUP_SQL = """
 WITH lines AS (
     SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos
@@ -146,6 +153,31 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+HARD_NEGATIVES_SQL = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * v::DOUBLE) for v in embedding] AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len([v for v in embedding if v IS NULL OR NOT isfinite(v)]) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+    FROM rows a, rows b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+fits AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+     AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM fits WHERE rank <= 5
+"""
+
 QUERIES = {
     "op1_line_dedup": line_dedup_query,
     "op2_ngram_join": ngram_join_query,
@@ -159,5 +191,6 @@ QUERIES = {
     "op10_toxicity": toxicity_query,
     "op11_whitening": whitening_query,
     "op12_byte_bpe": byte_bpe_query,
+    "op13_hard_negatives": hard_negatives_query,
 }
-ORACLES = {"op1_line_dedup": LINE_DEDUP_SQL}
+ORACLES = {"op1_line_dedup": LINE_DEDUP_SQL, "op13_hard_negatives": HARD_NEGATIVES_SQL}
