@@ -19,6 +19,7 @@ import bindings as B  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 from postlens import operators as O  # noqa: E402
 from postlens import plans, sources  # noqa: E402
+from postlens.fixed_values import FOREST_DEPTH  # noqa: E402
 from postlens.functions import decode_demand, encode_demand, parse_skill_list, round_money  # noqa: E402
 
 # Equal profiles are averaged into this many weighted rows before the full-size forests are trained.
@@ -257,6 +258,68 @@ def _fit_tree(rows: DataFrame, out: str) -> None:
 _tree = _fit_once("tree", _fit_tree)
 
 
+def _fit_bagged(rows: DataFrame, out: str) -> None:
+    """Three bagged trees of depth 2 on one row a posting, which SQL can fit as well."""
+    features = O.fit_features(rows)
+    paid = O.with_skill_premium(rows, B.PAY.tiers)
+    sizes = {"trees": 3, "depth": 2}
+    salary = O.fit_bagged_salary(paid, features, label="skill_premium", **sizes)
+    O.save_models(O.Models(features, salary, O.fit_bagged_demand(paid, features, **sizes)), f"{out}/models")
+
+
+_bagged = _fit_once("bagged", _fit_bagged)
+
+
+def _nodes(spark: SparkSession, sf_dir: str, kind: str, model: str = "salary") -> DataFrame:
+    """Node table of a model that ``_fit_once`` has saved."""
+    return O.forest_nodes(spark, f"{_saved(spark, sf_dir, kind)}/{model}")
+
+
+def _saved(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    return _fitted[f"{spark.sparkContext.applicationId}/{kind}", sf_dir][1]
+
+
+def _node_predictions(fitted, kind: str, depth: int) -> Query:
+    """Predictions by walking the saved node tables down."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, models = fitted(spark, sf_dir)
+        salary, demand = (_nodes(spark, sf_dir, kind, x) for x in ("salary", "demand"))
+        return O.predict_by_nodes(B.requests(rows), models.features, salary, demand, depth)
+
+    return build
+
+
+def _nodes_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the full-size forests answer each request as their node tables do."""
+    rows, models = _forests(spark, sf_dir)
+    walked = _node_predictions(_forests, "forests", FOREST_DEPTH)(spark, sf_dir).select(
+        F.col("request_id").alias("_id"), F.struct("predicted_salary", "demand_score").alias("walked")
+    )
+    answers = O.predict(B.requests(rows), models).select("request_id", F.struct("predicted_salary", "demand_score").alias("answer"))
+    both = answers.join(walked, F.col("request_id") == F.col("_id"), "left")
+    return both.select("request_id", F.col("answer").eqNullSafe(F.col("walked")).alias("same"))
+
+
+def _leaf_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths to the leaves of the single tree, features by name."""
+    _, models = _tree(spark, sf_dir)
+    names = F.array(*[F.lit(x) for x in models.features.names])
+    listed = [F.array_join(F.array_sort(F.transform(x, lambda i: F.get(names, i))), ",").alias(x) for x in ("required", "forbidden")]
+    return O.leaf_paths(_nodes(spark, sf_dir, "tree")).select(*listed, F.round("value", 6).alias("value"))
+
+
+def _recorded(fitted, kind: str, name: str) -> Query:
+    """A result that training has recorded beside the models, read back."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fitted(spark, sf_dir)
+        folder = _saved(spark, sf_dir, kind).removesuffix("/models")
+        return sources.read_result(spark, f"{folder}/{name}", name)
+
+    return build
+
+
 def _salary_predictions(fitted) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, models = fitted(spark, sf_dir)
@@ -289,7 +352,7 @@ def _rounded_importances(build: Query) -> Query:
     return lambda spark, sf_dir: build(spark, sf_dir).withColumn("importance", F.round("importance", 6))
 
 
-def _what_if_forest(fitted) -> Query:
+def _what_if_scored(fitted) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, models = fitted(spark, sf_dir)
         return O.what_if(B.requests(rows), _vocabulary(rows), O.salary_scorer(models.features, models.salary))
@@ -297,6 +360,20 @@ def _what_if_forest(fitted) -> Query:
     return build
 
 
+def _what_if_walked(fitted, kind: str, order: str = "alphabetical") -> Query:
+    """``order="importance"`` tries the skills that matter most to the model first."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, models = fitted(spark, sf_dir)
+        vocabulary = _vocabulary(rows)
+        if order == "importance":
+            importances = O.feature_importances(models.salary, models.features, rows).select("feature", "importance")
+            vocabulary = vocabulary.join(importances, F.col("skill") == F.col("feature")).select("skill", "importance")
+        return O.what_if_by_walk(B.requests(rows), vocabulary, models.features, _nodes(spark, sf_dir, kind), order=order)
+
+    return build
+
+
 def _forest_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold for the full-size forests whatever trees they grew."""
     rows, models = _forests(spark, sf_dir)
@@ -387,14 +464,24 @@ def queries() -> dict[str, Query]:
         "predictions": _predictions,
         "feature_importances": _importances(_forests),
         "top_features": lambda spark, sf_dir: O.top_features(_importances(_forests)(spark, sf_dir)),
-        "what_if_forest": _what_if_forest(_forests),
+        "what_if_forest": _what_if_walked(_forests, "forests"),
+        "what_if_forest_by_importance": _what_if_walked(_forests, "forests", "importance"),
+        "forest_nodes_agree": _nodes_agree,
+        "recorded_metadata": _recorded(_forests, "forests", "metadata_options"),
         "forest_facts": _forest_facts,
         "tree_predictions": _salary_predictions(_tree),
         "tree_importances": _rounded_importances(_importances(_tree)),
         "tree_top_features": lambda spark, sf_dir: O.top_features(
             _rounded_importances(_importances(_tree))(spark, sf_dir), k=2
         ),
-        "tree_what_if": _what_if_forest(_tree),
+        "tree_what_if": _what_if_scored(_tree),
+        "tree_what_if_walk": _what_if_walked(_tree, "tree"),
+        "tree_node_predictions": lambda spark, sf_dir: _node_predictions(_tree, "tree", 2)(spark, sf_dir).drop("demand_score"),
+        "tree_leaf_paths": _leaf_paths,
+        "bagged_predictions": _salary_predictions(_bagged),
+        "bagged_node_predictions": lambda spark, sf_dir: _node_predictions(_bagged, "bagged", 2)(spark, sf_dir).drop(
+            "demand_score"
+        ),
         "skill_roadmap_repeats": _roadmap_of_some,
         "answers_rule": _answers_rule,
         "nested_role_roadmap": _nested_role_roadmap,

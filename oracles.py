@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 # One posting for each order.
 _RAW = """
 lists AS (
@@ -253,6 +255,47 @@ importances AS (
   SELECT n.feature, round(coalesce(gain, 0) / (SELECT sum(gain) FROM gains), 6) AS importance
   FROM names n LEFT JOIN gains g ON n.feature = g.feature
 )"""
+# A 32-bit draw counts once for each of these it reaches: the distribution of Poisson with mean 1.
+_POISSON = [math.floor(2**32 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(13)]
+_DRAWN = " + ".join(f"CASE WHEN u >= {step} THEN 1 ELSE 0 END" for step in _POISSON if step < 2**32 - 1)
+_BAGGED = f"""{_FEATURES},
+target AS (SELECT job_id, CAST({_premium('skills')} AS DOUBLE) AS y FROM postings),
+draws AS (
+  SELECT job_id, y, t AS tree, CAST('0x' || substr(md5(job_id || '/42/' || t), 1, 8) AS BIGINT) AS u
+  FROM target, range(3) r(t)
+),
+bag AS (SELECT * FROM (SELECT job_id, y, tree, CAST({_DRAWN} AS DOUBLE) AS w FROM draws) WHERE w > 0),
+total AS (SELECT tree, sum(w) AS n, sum(w * y) AS s FROM bag GROUP BY tree),
+first_split AS (
+  SELECT tree, feature AS f1 FROM (
+    SELECT tree, feature, sum(w) AS n1, sum(w * y) AS s1 FROM features JOIN bag USING (job_id) GROUP BY ALL)
+  JOIN total USING (tree) WHERE n1 < n
+  QUALIFY row_number() OVER (
+    PARTITION BY tree ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) - s * s / n DESC, feature) = 1
+),
+everyone AS (
+  SELECT p.job_id, t.tree, f.job_id IS NOT NULL AS side
+  FROM target p CROSS JOIN first_split t LEFT JOIN features f ON f.job_id = p.job_id AND f.feature = t.f1
+),
+sided AS (SELECT b.*, e.side FROM bag b JOIN everyone e USING (job_id, tree)),
+side_total AS (SELECT tree, side, sum(w) AS n, sum(w * y) AS s FROM sided GROUP BY ALL),
+second_split AS (
+  SELECT tree, side, feature AS f2 FROM (
+    SELECT tree, side, feature, sum(w) AS n1, sum(w * y) AS s1 FROM features JOIN sided USING (job_id) GROUP BY ALL)
+  JOIN side_total USING (tree, side) WHERE n1 < n
+  QUALIFY row_number() OVER (
+    PARTITION BY tree, side ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) - s * s / n DESC, feature) = 1
+),
+placed AS (
+  SELECT e.*, f.job_id IS NOT NULL AS second
+  FROM everyone e JOIN second_split t USING (tree, side)
+  LEFT JOIN features f ON f.job_id = e.job_id AND f.feature = t.f2
+),
+leaves AS (
+  SELECT tree, side, second, sum(w * y) / sum(w) AS mean FROM bag JOIN placed USING (job_id, tree) GROUP BY ALL
+)
+SELECT job_id AS request_id, CAST(round(CAST(sum(mean) / 3 AS DECIMAL(28,6)), 2) AS DOUBLE) AS predicted_salary
+FROM placed JOIN leaves USING (tree, side, second) GROUP BY job_id"""
 _TREE_WHAT_IF = f"""WITH {_TREE},
 skills_in_order AS (SELECT list(DISTINCT skill ORDER BY skill) AS all_skills FROM (SELECT unnest(skills) AS skill FROM postings)),
 own AS (SELECT job_id, list(feature) AS have FROM features GROUP BY job_id),
@@ -377,10 +420,28 @@ ORACLES: dict[str, str] = {
         FROM sided s JOIN second_split t USING (side)
         JOIN leaves l ON l.side = s.side
           AND l.second = (s.job_id IN (SELECT job_id FROM features f WHERE f.feature = t.f2))""",
+    "tree_node_predictions": f"""WITH {_TREE} SELECT s.job_id AS request_id,
+        CAST(round(CAST(mean AS DECIMAL(28,6)), 2) AS DOUBLE) AS predicted_salary
+        FROM sided s JOIN second_split t USING (side)
+        JOIN leaves l ON l.side = s.side
+          AND l.second = (s.job_id IN (SELECT job_id FROM features f WHERE f.feature = t.f2))""",
     "tree_importances": f"WITH {_TREE} SELECT feature, importance FROM importances",
     "tree_top_features": f"""WITH {_TREE} SELECT feature, importance FROM importances
         ORDER BY importance DESC, feature LIMIT 2""",
     "tree_what_if": _TREE_WHAT_IF,
+    "tree_what_if_walk": _TREE_WHAT_IF,
+    "tree_leaf_paths": f"""WITH {_TREE},
+        tests AS (
+          SELECT side, second, mean, CASE WHEN side THEN [f1] ELSE [] END || CASE WHEN second THEN [f2] ELSE [] END AS yes,
+            CASE WHEN side THEN [] ELSE [f1] END || CASE WHEN second THEN [] ELSE [f2] END AS no
+          FROM leaves JOIN second_split USING (side), first_split
+        )
+        SELECT array_to_string(list_sort(yes), ',') AS required, array_to_string(list_sort(no), ',') AS forbidden,
+          round(mean, 6) AS value FROM tests""",
+    "bagged_predictions": f"WITH {_BAGGED}",
+    "bagged_node_predictions": f"WITH {_BAGGED}",
+    "forest_nodes_agree": f"WITH {_CLEAN} SELECT job_id AS request_id, true AS same FROM postings",
+    "recorded_metadata": f"WITH {_VALUES} SELECT field, value FROM found",
     "skill_roadmap_repeats": f"""WITH {_SKILLS},
         known AS (SELECT DISTINCT customer, skill FROM (SELECT customer, unnest(skills) AS skill FROM postings)),
         few AS (

@@ -1,3 +1,4 @@
+from .bagging import fit_bagged_demand, fit_bagged_salary
 from .clean import clean, rejected
 from .evaluate import accuracy, classification_report, regression_report
 from .features import FeatureModel, category_lists, category_values, features_long, fit_features, split, with_split
@@ -28,6 +29,7 @@ from .profiles import by_profile
 from .roadmap import frameworks_table, nested_roadmap, role_roadmap, skill_roadmap
 from .rules import DemandRules, PayRules, pay_scorer, with_demand, with_expected_salary, with_skill_premium
 from .search import search_postings
+from .trees import forest_nodes, leaf_paths, predict_by_nodes, what_if_by_walk
 from .what_if import predict_with_boosts, what_if
 
 __all__ = [
@@ -43,18 +45,23 @@ __all__ = [
     "clean",
     "feature_importances",
     "features_long",
+    "fit_bagged_demand",
+    "fit_bagged_salary",
     "fit_demand",
     "fit_features",
     "fit_salary",
+    "forest_nodes",
     "frameworks_table",
     "group_stats",
     "industry_metrics",
+    "leaf_paths",
     "load_models",
     "market_tally",
     "nested_roadmap",
     "overall_stats",
     "pay_scorer",
     "predict",
+    "predict_by_nodes",
     "predict_with_boosts",
     "regression_report",
     "rejected",
@@ -71,6 +78,7 @@ __all__ = [
     "top_features",
     "top_skills",
     "what_if",
+    "what_if_by_walk",
     "with_band",
     "with_demand",
     "with_expected_salary",

@@ -61,6 +61,19 @@ class FeatureModel:
         """Adds ``features`` and nothing else."""
         return self.stages.transform(df).select(*df.columns, FEATURES)
 
+    def levels(self) -> dict[tuple[str, str], int]:
+        """Slot of each known (column, value); skills stand under the skills column."""
+        out: dict[tuple[str, str], int] = {}
+        for stage in self.stages.stages:
+            if isinstance(stage, StringIndexerModel):
+                known = [(stage.getInputCol(), label) for label in stage.labels]
+            elif isinstance(stage, CountVectorizerModel):
+                known = [(self.skills_col, skill) for skill in stage.vocabulary]
+            else:
+                continue
+            out.update(zip(known, range(len(out), len(out) + len(known))))
+        return out
+
     def save(self, path: str) -> None:
         self.stages.write().overwrite().save(path)
 

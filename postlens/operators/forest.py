@@ -17,7 +17,7 @@ from ..functions.money import round_money
 from ..schema import COLUMNS
 from .features import FEATURES, FeatureModel
 
-_LABEL, _WEIGHT = "_label", "_weight"
+LABEL, WEIGHT = "_label", "_weight"
 
 
 @dataclass(frozen=True)
@@ -37,26 +37,28 @@ def _averaged(rows: DataFrame, keys: list[str], skills_col: str, blocks: int, id
     profile = [F.col(x) for x in keys]
     skills = F.array_compact(F.coalesce(skills_col, F.array()))
     profile.append(F.array_sort(F.array_distinct(skills)).alias(skills_col))
-    keyed = rows.select(*profile, F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("_block"), _LABEL)
+    keyed = rows.select(*profile, F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("_block"), LABEL)
     groups = [*keys, skills_col, "_block"]
     if by_label:
-        return keyed.groupBy(*groups, _LABEL).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
-    return keyed.groupBy(*groups).agg(F.avg(_LABEL).alias(_LABEL), F.count(F.lit(1)).cast("double").alias(_WEIGHT))
+        return keyed.groupBy(*groups, LABEL).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    return keyed.groupBy(*groups).agg(F.avg(LABEL).alias(LABEL), F.count(F.lit(1)).cast("double").alias(WEIGHT))
 
 
-def _training_rows(
-    df: DataFrame, features: FeatureModel, label, blocks: int | None, id_col: str, by_label: bool
-) -> DataFrame:
-    rows = df.withColumn(_LABEL, label).filter(F.col(_LABEL).isNotNull())
+def training_rows(
+    df: DataFrame, features: FeatureModel, label, blocks: int | None = None, id_col: str = "", by_label: bool = False,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Features, label and weight of the rows that have a label, and, without ``blocks``, columns to ``keep``."""
+    rows = df.withColumn(LABEL, label).filter(F.col(LABEL).isNotNull())
     if blocks:
         rows = _averaged(rows, list(features.cols), features.skills_col, blocks, id_col, by_label)
     else:
-        rows = rows.withColumn(_WEIGHT, F.lit(1.0))
+        rows = rows.withColumn(WEIGHT, F.lit(1.0))
     # Declared binary, every feature has one known split. Spark would otherwise look for split
     # points in a sample, where a rare skill may not occur at all.
     slots = [{"idx": i, "name": name} for i, name in enumerate(features.names)]
     meta = {"ml_attr": {"attrs": {"binary": slots}, "num_attrs": len(slots)}}
-    return features.transform(rows).select(FEATURES, _LABEL, _WEIGHT).withMetadata(FEATURES, meta)
+    return features.transform(rows).select(FEATURES, LABEL, WEIGHT, *keep).withMetadata(FEATURES, meta)
 
 
 def fit_salary(
@@ -75,11 +77,11 @@ def fit_salary(
     ``blocks`` trains on one weighted row per profile and block of ids instead of one per posting
     (see ``_averaged``): far fewer rows where profiles repeat. ``params`` go to the estimator.
     """
-    rows = _training_rows(df, features, F.col(label).cast("double"), blocks, id_col, by_label=False)
+    rows = training_rows(df, features, F.col(label).cast("double"), blocks, id_col, by_label=False)
     forest = RandomForestRegressor(
         featuresCol=FEATURES,
-        labelCol=_LABEL,
-        weightCol=_WEIGHT,
+        labelCol=LABEL,
+        weightCol=WEIGHT,
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
@@ -100,11 +102,11 @@ def fit_demand(
     **params,
 ) -> RandomForestClassificationModel:
     """Classification forest over Low, Medium and High; rows with another label are left out."""
-    rows = _training_rows(df, features, demand_code(F.col(label)), blocks, id_col, by_label=True)
+    rows = training_rows(df, features, demand_code(F.col(label)), blocks, id_col, by_label=True)
     forest = RandomForestClassifier(
         featuresCol=FEATURES,
-        labelCol=_LABEL,
-        weightCol=_WEIGHT,
+        labelCol=LABEL,
+        weightCol=WEIGHT,
         numTrees=trees,
         maxDepth=depth,
         seed=seed,

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_open_scopes: list[list[str]] = []
+# Of this thread or task alone: plans that run side by side do not see each other's tables.
+_open_scope: ContextVar[list[str] | None] = ContextVar("open_scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,8 +42,9 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    scope = _open_scope.get()
+    if scope is not None:
+        scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -54,11 +57,11 @@ def _remove(spark: SparkSession, path: str) -> None:
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Removes, at the end, the tables that were stored inside."""
     made: list[str] = []
-    _open_scopes.append(made)
+    token = _open_scope.set(made)
     try:
         yield
     finally:
-        _open_scopes.remove(made)
+        _open_scope.reset(token)
         for path in made:
             _remove(spark, path)
 
