@@ -2,10 +2,10 @@
 
 Texts are cut into pre-tokens ("words") by a pattern. A block of documents keeps, for every document,
 the numbers of its words in order of position, and each distinct word of the block with its number.
-The words of all blocks are exploded and shuffled; equal ones meet, are encoded once, and their ids go
-back to the blocks, where every document is put together by position. Only a block's distinct words
-travel, so a word that fills a third of the corpus is one small row for each block. Blocks are stored
-in buckets by their key, so that they need not move when the ids come back.
+The words of all blocks are spread over shards by a hash, so that equal ones meet in one task and are
+encoded once; their ids go back to the blocks, where every document is put together by position. Only
+a block's distinct words travel, compressed, so a word that fills a third of the corpus is one entry for
+each block. Blocks are stored in buckets by their key and need not move when the ids come back.
 """
 
 from __future__ import annotations
@@ -110,7 +110,37 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-_BLOCK = "block long, doc_ids array<long>, counts array<long>, positions binary, words array<string>"
+_BLOCK = "block long, doc_ids array<long>, counts array<long>, words long, positions binary, dictionary binary"
+
+
+def _packed(numbers: np.ndarray, pieces: list[bytes] = ()) -> bytes:
+    """Numbers, one byte plane after the other since the high ones are nearly all zero, and pieces."""
+    import zstandard
+
+    sizes = np.fromiter(map(len, pieces), np.uint32, len(pieces))
+    head = np.array([len(numbers), len(sizes)], "<u8").tobytes()
+    planes = [(x >> (8 * i)).astype(np.uint8).tobytes() for x in (numbers, sizes) for i in range(4)]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, *planes, *pieces]))
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """(numbers, sizes of the pieces, all pieces as one)."""
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    lengths, at, out = np.frombuffer(raw, "<u8", 2), 16, []
+    for n in map(int, lengths):
+        values = np.zeros(n, np.uint32)
+        for i in range(4):
+            values |= np.frombuffer(raw, np.uint8, n, at).astype(np.uint32) << np.uint32(8 * i)
+            at += n
+        out.append(values)
+    return out[0], out[1], raw[at:]
+
+
+def _split(sizes: np.ndarray, joined: bytes) -> list[bytes]:
+    ends = np.cumsum(sizes, dtype=np.int64).tolist()
+    return [joined[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
 
 class _Numbers(dict):
@@ -123,22 +153,19 @@ class _Numbers(dict):
 
 def _blocks(patterns: tuple[str, str, str], block_chars: int, block_docs: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
         from pyspark import TaskContext
 
         words_of = word_finder(*patterns)
-        pack = zstandard.ZstdCompressor(level=1).compress
         # Unique in the stored table: the task's number and that of the block in it.
         block = TaskContext.get().partitionId() << 32
         number, ids, counts, parts, held = _Numbers(), [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            numbers = np.concatenate([*parts, np.empty(0, np.uint32)])
-            # One byte plane after the other: the high ones are nearly all zero.
-            planes = b"".join((numbers >> (8 * i)).astype(np.uint8).tobytes() for i in range(4))
-            columns = ([block], [ids], [counts], [pack(planes)], [list(number)])
-            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.string()))
-            names = ["block", "doc_ids", "counts", "positions", "words"]
+            positions = _packed(np.concatenate([*parts, np.empty(0, np.uint32)]))
+            dictionary = _packed(np.empty(0, np.uint32), [w.encode() for w in number])
+            columns = ([block], [ids], [counts], [len(number)], [positions], [dictionary])
+            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary())
+            names = [field.split()[0] for field in _BLOCK.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=names)
 
         for batch in batches:
@@ -158,40 +185,45 @@ def _blocks(patterns: tuple[str, str, str], block_chars: int, block_docs: int):
     return run
 
 
-def _encoder(table, rows: int = 1 << 18):
-    """Ids of words that come sorted, so that each distinct word is encoded once, gathered by block."""
+def _shards(shards: int):
+    """The words of each block by shard, with their numbers."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = dict(zip(*table.value))
-        last, ids = None, b""
-        blocks, numbers, pieces = [], [], []
-
-        def gathered() -> pa.RecordBatch:
-            key = np.concatenate(blocks)
-            order = np.argsort(key, kind="stable")
-            key, number = key[order], np.concatenate(numbers)[order].astype("<u4")
-            length = np.fromiter((len(pieces[i]) // 4 for i in order), "<u4", len(order))
-            cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-            spans = list(zip(cuts[:-1], cuts[1:]))
-            columns = [
-                pa.array(key[cuts[:-1]], pa.int64()),
-                pa.array([number[x:y].tobytes() for x, y in spans], pa.binary()),
-                pa.array([length[x:y].tobytes() for x, y in spans], pa.binary()),
-                pa.array([b"".join(pieces[i] for i in order[x:y]) for x, y in spans], pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, names=["key", "numbers", "lengths", "ids"])
+        import xxhash
 
         for batch in batches:
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(merge_bytes(word.encode(), ranks), "<u4").tobytes()
-                pieces.append(ids)
-            blocks.append(batch.column("block").to_numpy()), numbers.append(batch.column("number").to_numpy())
-            if len(pieces) >= rows:
-                yield gathered()
-                blocks, numbers, pieces = [], [], []
-        if pieces:
-            yield gathered()
+            for block, dictionary in zip(batch.column("block").to_pylist(), batch.column("dictionary")):
+                _, sizes, joined = _unpacked(dictionary.as_py())
+                words = _split(sizes, joined)
+                shard = np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in words), np.int64, len(words))
+                order = np.argsort(shard, kind="stable")
+                shard = shard[order]
+                cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else []
+                spans = list(zip(cuts[:-1], cuts[1:]))
+                data = [_packed(order[a:b].astype(np.uint32), [words[i] for i in order[a:b]]) for a, b in spans]
+                columns = [pa.array([block] * len(spans), pa.int64()), pa.array([shard[a] for a, _ in spans], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(data, pa.binary())], names=["block", "shard", "words"])
+
+    return run
+
+
+def _encoder(table):
+    """Ids in place of words. Shards come one after the other, and each distinct word of a shard is encoded once."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, last, known = dict(zip(*table.value)), None, {}
+        for batch in batches:
+            keys, out = batch.column("block"), []
+            for shard, data in zip(batch.column("shard").to_pylist(), batch.column("words")):
+                if shard != last:
+                    last, known = shard, {}
+                numbers, sizes, joined = _unpacked(data.as_py())
+                words = _split(sizes, joined)
+                for word in words:
+                    if word not in known:
+                        known[word] = np.array(merge_bytes(word, ranks), "<u4").tobytes()
+                out.append(_packed(numbers, [known[word] for word in words]))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(out, pa.binary())], names=["key", "ids"])
 
     return run
 
@@ -211,19 +243,15 @@ def _runs(pieces: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _assemble(blocks: pa.Table, words: pa.Table) -> pa.Table:
-    import zstandard
-
-    def column(name: str) -> np.ndarray:
-        return np.frombuffer(b"".join(words.column(name).to_pylist()), "<u4")
-
-    number, length, store = column("numbers"), column("lengths").astype(np.int64), column("ids")
+    parts = [_unpacked(x.as_py()) for x in words.column("ids")]
+    store = np.frombuffer(b"".join(p[2] for p in parts), "<u4")
+    number, length = (np.concatenate([np.empty(0, np.uint32), *(p[i] for p in parts)]) for i in (0, 1))
+    length = length.astype(np.int64) // 4
     starts, lengths = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
     starts[number], lengths[number] = np.cumsum(length) - length, length
     out_ids, out = [], []
     for row in range(blocks.num_rows):
-        raw = zstandard.ZstdDecompressor().decompress(blocks.column("positions")[row].as_py())
-        planes = np.frombuffer(raw, np.uint8).reshape(4, -1).astype(np.uint32)
-        symbols = planes[0] | planes[1] << 8 | planes[2] << 16 | planes[3] << 24
+        symbols = _unpacked(blocks.column("positions")[row].as_py())[0]
         ends = np.cumsum(blocks.column("counts")[row].values.to_numpy())
         out_ids += blocks.column("doc_ids")[row].as_py()
         out += [spell(symbols[a:b], starts, lengths, store).tobytes() for a, b in zip([0, *ends[:-1]], ends)]
@@ -248,15 +276,17 @@ def encode_documents(
     pattern: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    block_chars: int = 32 << 20,
+    block_chars: int = 16 << 20,
     block_docs: int = 100_000,
+    shard_words: int = 500_000,
 ) -> DataFrame:
     """(doc_id, ids) for every row of ``docs``; ``ids`` holds unsigned 32-bit integers, lowest byte first.
 
     ``path`` is a rank file and ``pattern`` cuts a text into pre-tokens, each of which is encoded by
     itself, without special tokens. A null or empty text has no ids. Rows are independent, so rows that repeat an
     id, or have none, give a row each; an empty table gives none; other columns are not looked at. A task
-    holds one block: ``block_chars`` characters and ``block_docs`` rows, or a single longer text.
+    holds one block, ``block_chars`` characters and ``block_docs`` rows or a single longer text, and the
+    words of one shard, about ``shard_words``.
     """
     spark = docs.sparkSession
     tokens, ids = token_table(path)
@@ -264,9 +294,12 @@ def encode_documents(
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     cut = _blocks((pattern, *library_pattern(pattern)), block_chars, block_docs)
     blocks = _bucketed(named.mapInArrow(cut, _BLOCK), "block")
-    places = blocks.select("block", F.posexplode("words").alias("number", "word"))
-    met = places.repartition("word").sortWithinPartitions("word")
-    back = met.mapInArrow(_encoder(table), "key long, numbers binary, lengths binary, ids binary")
+    # As many shards as keep the words of one in a task's memory.
+    total = blocks.agg(F.sum("words")).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // shard_words + 1)
+    words = blocks.select("block", "dictionary").mapInArrow(_shards(shards), "block long, shard long, words binary")
+    met = words.repartition(shards, "shard").sortWithinPartitions("shard")
+    back = met.mapInArrow(_encoder(table), "key long, ids binary")
     texts = blocks.select("block", "doc_ids", "counts", "positions")
     return texts.groupBy("block").cogroup(back.groupBy("key")).applyInArrow(_assemble, "doc_id long, ids binary")
 
