@@ -276,7 +276,7 @@ def encode_documents(
     pattern: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    block_chars: int = 16 << 20,
+    block_chars: int = 8 << 20,
     block_docs: int = 100_000,
     shard_words: int = 500_000,
 ) -> DataFrame:

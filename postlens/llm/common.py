@@ -14,6 +14,8 @@ import xxhash
 
 # Words remembered by a task at most; beyond it the memory is emptied and filled anew.
 REMEMBERED = 250_000
+# Longer words, in bytes, are not remembered: so what a task remembers is bounded in bytes too.
+LONG_WORD = 256
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64
 )
@@ -23,9 +25,11 @@ class WordHashes(dict):
     """64-bit hash of each word, computed once for each distinct word of a task."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONG_WORD:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:

@@ -1,8 +1,9 @@
 """Benchmark passages in documents, also reworded ones, by latent semantic retrieval.
 
-Documents are cut into overlapping passages of words. The passages' TF-IDF matrix is reduced by a
-randomised SVD that runs as three scans: document frequencies, the product of the matrix with a random
-block and back, and the search. Columns are the slots of words that the benchmark uses, since no other
+Documents are cut into overlapping passages of words. Each text is cut into words once, and the columns
+of its words are stored. The passages' TF-IDF matrix is reduced by a randomised SVD that runs as three
+scans of these columns: document frequencies, the product of the matrix with a random block and back,
+and the search. Columns are the slots of words that the benchmark uses, since no other
 word can bring a passage closer to an item. Passages near an item in the latent space are compared
 with it word by word.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import materialize
-from .common import REMEMBERED, slices
+from .common import LONG_WORD, REMEMBERED, slices
 
 _PUNCTUATION = b".,;:!?\"'()[]{}"
 _LOWER = bytes(range(256)).lower()
@@ -51,9 +52,11 @@ class _FoldedWords(dict):
     """Folded form of each word beyond ASCII, made once for each distinct word of a task."""
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = _fold(word)
+        value = _fold(word)
+        if len(word) <= LONG_WORD:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -133,11 +136,53 @@ def common_length(a: tuple[bytes, ...], b: list[bytes]) -> int:
     return len(a) - state.bit_count()
 
 
-Piece = tuple[int, int, list[bytes]]
+_STORED = "_id long, _text binary, words long, columns binary, steps binary"
 
 
-def _pieces(docs: list[list[bytes]], half: int, limit: int = 65_536) -> Iterator[list[Piece]]:
-    """Groups of (document, first word, words) of about ``limit`` words at most.
+def _prepared(columns: dict[bytes, int]):
+    """Each text with the number of its words and, for those that have one, their columns and the steps
+    from one such word to the next."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Columns(columns)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                counts, found, steps = [], [], []
+                for text in part.column("_text"):
+                    words = plain_words(text.as_py())
+                    column = known.of(words)
+                    at = np.flatnonzero(column >= 0)
+                    counts.append(len(words))
+                    found.append(column[at].astype("<u2").tobytes())
+                    steps.append(np.diff(at, prepend=0).astype("<u4").tobytes())
+                out = [*part.columns, pa.array(counts, pa.int64()), pa.array(found, pa.binary()), pa.array(steps, pa.binary())]
+                yield pa.RecordBatch.from_arrays(out, names=[f.split()[0] for f in _STORED.split(", ")])
+
+    return run
+
+
+@dataclass(frozen=True)
+class _Doc:
+    """Number of words of a stored text, and the columns and places of those that have one."""
+
+    words: int
+    columns: np.ndarray
+    places: np.ndarray
+
+
+def _docs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[dict[str, list], list[_Doc]]]:
+    for part in slices(batches):
+        columns = [np.frombuffer(x, "<u2").astype(np.int64) for x in part["columns"]]
+        places = [np.cumsum(np.frombuffer(x, "<u4"), dtype=np.int64) for x in part["steps"]]
+        yield part, [_Doc(*x) for x in zip(part["words"], columns, places)]
+
+
+Piece = tuple[int, int, int]
+
+
+def _pieces(docs: list[_Doc], half: int, limit: int = 65_536) -> Iterator[list[Piece]]:
+    """Groups of (document, first word, number of words) of about ``limit`` words at most.
 
     A longer document is cut where halves begin; its pieces share one half, so that each of its
     passages lies in exactly one of them.
@@ -145,41 +190,36 @@ def _pieces(docs: list[list[bytes]], half: int, limit: int = 65_536) -> Iterator
     step = max(half, limit // half * half)
     group: list[Piece] = []
     held = 0
-    for doc, words in enumerate(docs):
+    for number, doc in enumerate(docs):
         start = 0
         while True:
-            piece = words[start : start + step + half]
-            if group and held + len(piece) > limit:
+            size = max(0, min(step + half, doc.words - start))
+            if group and held + size > limit:
                 yield group
                 group, held = [], 0
-            group.append((doc, start, piece))
-            held += len(piece)
+            group.append((number, start, size))
+            held += size
             start += step
-            if start + half >= len(words):
+            if start + half >= doc.words:
                 break
     if group:
         yield group
 
 
-def _text_pieces(batches: Iterable[pa.RecordBatch], half: int) -> Iterator[list[Piece]]:
-    for part in slices(batches):
-        yield from _pieces([plain_words(x) for x in part["_text"]], half)
-
-
 class _Halves:
     """Half passages of a few pieces in a row; two neighbours of one piece make a passage."""
 
-    def __init__(self, known: _Columns, pieces: list[Piece], half: int):
-        docs = [words for _, _, words in pieces]
-        lengths = np.array([len(x) for x in docs], dtype=np.int64)
+    def __init__(self, docs: list[_Doc], pieces: list[Piece], half: int):
+        lengths = np.array([size for _, _, size in pieces], dtype=np.int64)
         self.per_doc = np.maximum(1, -(-lengths // half))
         self.first = np.cumsum(self.per_doc) - self.per_doc
         self.n = int(self.per_doc.sum())
-        columns = np.concatenate([known.of(x) for x in docs])
-        place = np.arange(len(columns)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        at = np.flatnonzero(columns >= 0)
-        self.columns = columns[at]
-        self.segment = (place // half + np.repeat(self.first, lengths))[at]
+        columns, segments = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for (number, start, size), first in zip(pieces, self.first):
+            doc = docs[number]
+            a, b = np.searchsorted(doc.places, (start, start + size)) if size < doc.words else (0, len(doc.places))
+            columns.append(doc.columns[a:b]), segments.append((doc.places[a:b] - start) // half + first)
+        self.columns, self.segment = np.concatenate(columns), np.concatenate(segments)
         # A passage starts at every half but the last of a document, or at the only one.
         last = np.zeros(self.n, dtype=bool)
         last[self.first + self.per_doc - 1] = True
@@ -205,11 +245,16 @@ class _Halves:
         return out
 
 
-def _frequencies(columns: dict[bytes, int], width: int, half: int):
+def _all_halves(batches: Iterable[pa.RecordBatch], half: int) -> Iterator[_Halves]:
+    for _, docs in _docs(batches):
+        for pieces in _pieces(docs, half):
+            yield _Halves(docs, pieces, half)
+
+
+def _frequencies(width: int, half: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, df = _Columns(columns), np.zeros(width, np.int64)
-        for pieces in _text_pieces(batches, half):
-            halves = _Halves(known, pieces, half)
+        df = np.zeros(width, np.int64)
+        for halves in _all_halves(batches, half):
             # A half lies in its own passage and in the one before; a word counts once in each.
             both = np.concatenate([halves.segment, halves.segment - 1])
             inside = np.concatenate([halves.starts[halves.segment], np.isin(halves.segment - 1, halves.joined)])
@@ -222,13 +267,14 @@ def _frequencies(columns: dict[bytes, int], width: int, half: int):
     return run
 
 
-def _range_finder(columns: dict[bytes, int], width: int, half: int, idf: np.ndarray, rank: int, seed: int):
+def _range_finder(width: int, half: int, idf: np.ndarray, rank: int, seed: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Columns(columns)
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
         weighted = _random_block(width, rank, seed) * idf[:, None]
         total = np.zeros((width, rank), dtype=np.float64)
-        for pieces in _text_pieces(batches, half):
-            halves = _Halves(known, pieces, half)
+        for halves in _all_halves(batches, half):
             if not len(halves.columns):
                 continue
             around = halves.around(halves.passages(weighted))
@@ -239,18 +285,32 @@ def _range_finder(columns: dict[bytes, int], width: int, half: int, idf: np.ndar
         total *= idf[:, None]
         for stripe in range(0, width, _STRIPE):
             data = total[stripe : stripe + _STRIPE].tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([stripe // _STRIPE]), pa.array([data], pa.binary())], names=["stripe", "data"])
+            columns = [pa.array([stripe // _STRIPE], pa.int64()), pa.array([task], pa.int64()), pa.array([data], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["stripe", "part", "data"])
 
     return run
 
 
-def _sum_stripes(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, dtype=np.float64) for x in table.column("data").to_pylist())
-    return pa.table({"stripe": table.column("stripe").slice(0, 1), "data": pa.array([total.tobytes()], pa.binary())})
+_STRIPES = "stripe long, part long, data binary"
+
+
+def _add_stripes(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x.as_py(), dtype=np.float64) for x in table.column("data"))
+    data = pa.array([total.tobytes()], pa.binary())
+    return pa.table({"stripe": table.column("stripe").slice(0, 1), "part": table.column("part").slice(0, 1), "data": data})
+
+
+def _sum_stripes(stripes: DataFrame, fan: int = 32) -> DataFrame:
+    """One row for each stripe: the parts of all tasks are added ``fan`` at a time, level by level."""
+    while True:
+        up = stripes.withColumn("part", F.floor(F.col("part") / fan))
+        stripes = materialize(up.groupBy("stripe", "part").applyInArrow(_add_stripes, _STRIPES), "latent")
+        if not stripes.agg(F.max("part")).first()[0]:
+            return stripes
 
 
 def _search(
-    columns: dict[bytes, int], half: int, basis: np.ndarray, items: list[Item], latent: np.ndarray, near: np.ndarray,
+    half: int, basis: np.ndarray, items: list[Item], latent: np.ndarray, near: np.ndarray,
     verbatim: float, reworded: float,
 ):
     def compare(item: Item, around: list[bytes]) -> float:
@@ -264,12 +324,11 @@ def _search(
         return ratio if ratio >= reworded and (told or not item.answer) else 0.0
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Columns(columns)
-        for part in slices(batches):
-            docs = [plain_words(x) for x in part["_text"]]
+        for part, docs in _docs(batches):
+            words: dict[int, list[bytes]] = {}
             hits: dict[tuple[int, int], tuple[float, float]] = {}
             for pieces in _pieces(docs, half):
-                halves = _Halves(known, pieces, half)
+                halves = _Halves(docs, pieces, half)
                 made = halves.passages(basis)
                 norms = np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-12)
                 cosines = (made / norms) @ latent.T
@@ -280,7 +339,9 @@ def _search(
                     item, start = items[i], offset + (place - int(halves.first[owner])) * half
                     best = hits.get((doc, item.item_id), (0.0, 0.0))
                     if best[0] < 1.0:
-                        ratio = compare(item, docs[doc][max(0, start - half) : start + 3 * half])
+                        if doc not in words:
+                            words[doc] = plain_words(part["_text"][doc])
+                        ratio = compare(item, words[doc][max(0, start - half) : start + 3 * half])
                         if ratio > 0:
                             hits[doc, item.item_id] = max(best, (ratio, float(cosines[place, i])))
             found = sorted(hits.items())
@@ -343,16 +404,17 @@ def contaminated(
         return empty
     place = {slot: i for i, slot in enumerate(sorted(set(map(_slot, used))))}
     columns, n = {w: place[_slot(w)] for w in used}, len(place)
-    counted = rows.select("_text").mapInArrow(_frequencies(columns, n, half), "column long, df long")
+    rows = materialize(rows.mapInArrow(_prepared(columns), _STORED), "prepared_texts")
+    narrow = rows.select("words", "columns", "steps")
+    counted = narrow.mapInArrow(_frequencies(n, half), "column long, df long")
     df = np.zeros(n)
     for column, total in counted.groupBy("column").agg(F.sum("df")).collect():
         df[column] = total
     # Inverse document frequency in its power form, up to a constant: columns of like length.
     idf = (1.0 / np.sqrt(df + 1.0)).astype(np.float32)
     wide = min(n, rank + oversample)
-    found = rows.select("_text").mapInArrow(_range_finder(columns, n, half, idf, wide, seed), "stripe long, data binary")
-    stripes = materialize(found.groupBy("stripe").applyInArrow(_sum_stripes, "stripe long, data binary"), "latent")
-    parts = {r[0]: np.frombuffer(bytes(r[1]), dtype=np.float64) for r in stripes.collect()}
+    stripes = _sum_stripes(narrow.mapInArrow(_range_finder(n, half, idf, wide, seed), _STRIPES))
+    parts = {r[0]: np.frombuffer(bytes(r[2]), dtype=np.float64) for r in stripes.collect()}
     if not parts:
         return empty
     back = np.concatenate([parts[i] for i in sorted(parts)]).reshape(n, wide)
@@ -365,7 +427,7 @@ def contaminated(
         latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
         level = near * np.sqrt([min(1.0, len(x.words) / width) for x in block])
         hits = rows.mapInArrow(
-            _search(columns, half, weighted, block, latent.astype(np.float32), level.astype(np.float32), verbatim, reworded),
+            _search(half, weighted, block, latent.astype(np.float32), level.astype(np.float32), verbatim, reworded),
             "doc_id long, item_id long, common double, cosine double",
         )
         out = hits if out is None else out.unionByName(hits)

@@ -178,9 +178,10 @@ def embedding_groups(
     read = materialize(rows.mapInArrow(_vectors, "id long, hi long, lo long, dim int, data binary"), "vectors")
     usable = read.filter(F.col("data").isNotNull() & F.col("id").isNotNull())
     classes = usable.groupBy("hi", "lo", "dim").agg(
-        F.min("id").alias("rep"), F.count("*").alias("weight"), F.first("data").alias("data")
+        F.min("id").alias("first_id"), F.count("*").alias("weight"), F.first("data").alias("data")
     )
-    classes = materialize(classes, "vector_classes")
+    # A class of equal vectors has a key of its own, since an id may stand for several; numbered when stored.
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "vector_classes")
     counts = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
     pivots = {}
     for dim, count in counts.items():
@@ -196,7 +197,7 @@ def embedding_groups(
     parts = dealt.groupBy("dim", "cell").agg(
         F.ceil(F.count_if("own") / query_rows).cast("int").alias("asks_in"), F.ceil(F.count("*") / index_rows).cast("int").alias("kept_in")
     )
-    sized = dealt.join(F.broadcast(parts), ["dim", "cell"])
+    sized = dealt.join(parts, ["dim", "cell"])
     spot = F.xxhash64("rep")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1))
     asking = sized.filter("own").select(
@@ -212,17 +213,19 @@ def embedding_groups(
     several = owned.groupBy("id").agg(F.collect_set("rep").alias("reps")).filter(F.size("reps") > 1)
     several = several.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b"))
     labels = connected_components(found.filter(F.col("b").isNotNull()).select("a", "b").unionByName(several))
-    per_class = classes.select("hi", "lo", "dim", "rep", "weight").join(per_class, "rep", "left").join(
+    per_class = classes.select("hi", "lo", "dim", "rep", "first_id", "weight").join(per_class, "rep", "left").join(
         labels, F.col("rep") == F.col("node"), "left"
     )
     per_class = materialize(
         per_class.select(
-            "hi", "lo", "dim",
+            "hi", "lo", "dim", "first_id",
             (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("links"),
-            F.coalesce("component", "rep").alias("root"),
+            F.coalesce("component", "rep").alias("group"),
         ),
         "vector_results",
     )
+    smallest = per_class.groupBy("group").agg(F.min("first_id").alias("root"))
+    per_class = per_class.join(smallest, "group").select("hi", "lo", "dim", "links", "root")
     linked = F.col("id").isNotNull() & F.col("links").isNotNull()
     component = F.when(linked, F.col("root")).otherwise(F.col("id"))
     return read.drop("data").join(per_class, ["hi", "lo", "dim"], "left").select(

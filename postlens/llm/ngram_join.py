@@ -267,15 +267,15 @@ def t_occurrence(sets: list[np.ndarray], queries: np.ndarray, percent: int) -> l
 
 def _search(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        rows = table.select(["doc", "asks", "data"]).to_pydict()
-        asks: dict[int, bool] = {}
-        data: dict[int, bytes] = {}
-        for doc, ask, raw in zip(rows["doc"], rows["asks"], rows["data"]):
-            asks[doc] = asks.get(doc, False) or ask
-            data[doc] = raw
-        docs = sorted(data)
-        sets = [np.frombuffer(data[d], dtype="<u8") for d in docs]
-        queries = np.array([i for i, d in enumerate(docs) if asks[d]], dtype=np.int64)
+        # A class comes once for being named and once for asking; its set is the same both times.
+        keys = table.column("doc").to_numpy()
+        asking = table.column("asks").to_numpy()
+        docs, first = np.unique(keys, return_index=True)
+        asks = dict.fromkeys(keys[asking].tolist(), True)
+        docs = docs.tolist()
+        data = table.column("data").take(pa.array(first))
+        sets = [np.frombuffer(x.as_py(), dtype="<u8") for x in data]
+        queries = np.array([i for i, d in enumerate(docs) if d in asks], dtype=np.int64)
         links = t_occurrence(sets, queries, percent) if len(queries) else []
         return pa.table(
             {"a": pa.array([docs[x] for x, _ in links], pa.int64()), "b": pa.array([docs[y] for _, y in links], pa.int64())}
@@ -294,6 +294,7 @@ def ngram_groups(
     hot_share: int = 8,
     cell_queries: int = 1024,
     cell_sets: int = 4096,
+    cell_shingles: int = 1_000_000,
 ) -> DataFrame:
     """(id, n_shingles, component_id) for each row of ``docs``.
 
@@ -305,7 +306,8 @@ def ngram_groups(
     nothing and has a null component. Rows that repeat an id are one document with the links of all
     its rows. Empty tables give no rows; other columns are ignored.
 
-    ``block_shingles``, ``cell_queries`` and ``cell_sets`` bound what a task holds, not what is found.
+    ``block_shingles``, ``cell_queries``, ``cell_sets`` and ``cell_shingles`` bound what a task holds, not
+    what is found.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
@@ -316,49 +318,56 @@ def ngram_groups(
     ids = told.filter(F.col("kind") == _DOCS).select("data").mapInArrow(_unpack_docs, "doc long, n long, hi long, lo long")
     ids = materialize(ids, "ngram_ids")
     full = ids.filter((F.col("n") > 0) & F.col("doc").isNotNull())
-    classes = materialize(full.groupBy("hi", "lo").agg(F.min("doc").alias("rep")), "ngram_classes")
+    # A class of equal sets has a key of its own, since an id may stand for several; numbered when stored.
+    classes = full.groupBy("hi", "lo").agg(F.min("doc").alias("rep"))
+    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "ngram_classes")
 
     searched = told.groupBy("block").applyInArrow(
         _short_lists(percent), "token long, doc long, n int, hi long, lo long"
     )
-    member = classes.select("hi", "lo", F.col("rep").alias("doc"))
-    entries = materialize(searched.join(member, ["hi", "lo", "doc"], "left_semi").distinct(), "ngram_entries")
-    lists = entries.groupBy("token").agg(F.count_distinct("hi", "lo").alias("c"), F.min("doc").alias("lead"))
+    member = classes.select("hi", "lo", F.col("rep").alias("doc"), "class")
+    entries = searched.join(member, ["hi", "lo", "doc"]).select("token", "class", F.col("doc").alias("rep"), "n", "hi", "lo")
+    entries = materialize(entries.distinct(), "ngram_entries")
+    lists = entries.groupBy("token").agg(F.count_distinct("class").alias("c"), F.min("class").alias("lead"))
     lists = materialize(lists.filter(F.col("c") > 1).select("token", "lead"), "ngram_leads")
-    shared = materialize(entries.join(lists, "token").select("token", "doc", "hi", "lo", "lead"), "ngram_shared")
-
-    # Cells: documents with the same lead stay together, small groups share a cell.
-    groups = shared.groupBy("doc").agg(F.min("lead").alias("lead"))
-    sizes = materialize(groups.groupBy("lead").agg(F.count("*").alias("c")), "ngram_sizes")
-    cells = max(1, -(-groups.count() // cell_queries))
-    split = F.ceil(F.col("c") / cell_queries).cast("bigint")
+    shared = materialize(entries.join(lists, "token"), "ngram_shared")
+
+    # Cells: classes with the same lead stay together, small groups share a cell.
+    groups = shared.groupBy("class").agg(F.min("lead").alias("lead"), F.max("n").cast("bigint").alias("n"))
+    sizes = materialize(groups.groupBy("lead").agg(F.count("*").alias("c"), F.sum("n").alias("s")), "ngram_sizes")
+    total, held = sizes.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0))).first()
+    cells = max(1, -(-total // cell_queries), -(-held // cell_shingles))
+    split = F.greatest(F.ceil(F.col("c") / cell_queries), F.ceil(F.col("s") / cell_shingles)).cast("bigint")
     small = F.xxhash64(F.lit("small"), F.pmod(F.xxhash64("lead"), F.lit(cells)))
-    large = F.xxhash64("lead", F.pmod(F.xxhash64("doc"), split))
+    large = F.xxhash64("lead", F.pmod(F.xxhash64("class"), split))
     cell = F.when(split > 1, large).otherwise(small)
-    asked = materialize(groups.join(sizes, "lead").select("doc", cell.alias("cell")), "ngram_cells")
-    keyed = shared.select("token", "doc").join(asked, "doc").select("token", "cell").distinct()
+    asked = materialize(groups.join(sizes, "lead").select("class", cell.alias("cell")), "ngram_cells")
+    keyed = shared.select("token", "class").join(asked, "class").select("token", "cell").distinct()
     keyed = materialize(keyed, "ngram_cell_tokens")
-    named = keyed.join(shared.select("token", "doc"), "token").select("cell", "doc").distinct()
+    named = keyed.join(shared.select("token", "class", "n"), "token").select("cell", "class", "n").distinct()
     named = materialize(named, "ngram_named")
-    # Of a cell that names many documents, each part gets a share of them and all queries.
-    parts = named.groupBy("cell").agg(F.ceil(F.count("*") / cell_sets).cast("bigint").alias("parts"))
-    parts = materialize(parts, "ngram_parts")
+    # Of a cell that names many classes, each part gets a share of them and all queries.
+    count = F.greatest(F.ceil(F.count("*") / cell_sets), F.ceil(F.sum("n") / cell_shingles)).cast("bigint")
+    parts = materialize(named.groupBy("cell").agg(count.alias("parts")), "ngram_parts")
     looked_up = named.join(parts, "cell").select(
-        "cell", F.pmod(F.xxhash64(F.lit("part"), "doc"), "parts").alias("part"), "doc", F.lit(False).alias("asks")
+        "cell", F.pmod(F.xxhash64(F.lit("part"), "class"), "parts").alias("part"), F.col("class").alias("doc"), F.lit(False).alias("asks")
     )
     asking = asked.join(parts, "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "doc", F.lit(True).alias("asks")
+        "cell",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
+        F.col("class").alias("doc"),
+        F.lit(True).alias("asks"),
     )
 
-    wanted = shared.select(F.col("doc").alias("_doc"), "hi", "lo").distinct()
-    texts = rows.join(wanted, F.col("_id") == F.col("_doc")).select("_id", "hi", "lo", "_text")
+    wanted = shared.select("rep", "class", "hi", "lo").distinct()
+    texts = rows.join(wanted, F.col("_id") == F.col("rep")).select("class", "hi", "lo", "_text")
 
     def sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for part in slices(batches):
             made = [shingle_set(x, k, hashes) for x in part["_text"]]
             same = [i for i, x in enumerate(made) if set_digest(x) == (part["hi"][i], part["lo"][i])]
-            ids_, data = [part["_id"][i] for i in same], [made[i].tobytes() for i in same]
+            ids_, data = [part["class"][i] for i in same], [made[i].tobytes() for i in same]
             yield pa.RecordBatch.from_arrays([pa.array(ids_, pa.int64()), pa.array(data, pa.binary())], names=["doc", "data"])
 
     sets = materialize(texts.mapInArrow(sets_of, "doc long, data binary"), "ngram_sets")
@@ -367,13 +376,17 @@ def ngram_groups(
 
     # An id whose rows fall into several classes joins them.
     owned = full.join(classes, ["hi", "lo"])
-    several = owned.groupBy("doc").agg(F.collect_set("rep").alias("reps")).filter(F.size("reps") > 1)
-    several = several.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b"))
+    several = owned.groupBy("doc").agg(F.collect_set("class").alias("of")).filter(F.size("of") > 1)
+    several = several.select(F.array_min("of").alias("a"), F.explode("of").alias("b"))
     labels = connected_components(links.unionByName(several))
-    grouped = ids.join(classes, ["hi", "lo"], "left").join(labels, F.col("rep") == F.col("node"), "left")
+    placed = classes.join(labels, F.col("class") == F.col("node"), "left")
+    placed = materialize(placed.select("hi", "lo", "rep", F.coalesce("component", "class").alias("component")), "ngram_placed")
+    smallest = placed.groupBy("component").agg(F.min("rep").alias("first"))
+    named_classes = placed.join(smallest, "component").select("hi", "lo", "first")
+    grouped = ids.join(named_classes, ["hi", "lo"], "left")
     linked = (F.col("n") > 0) & F.col("doc").isNotNull()
     return grouped.select(
         F.col("doc").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(linked, F.coalesce("component", "rep")).otherwise(F.col("doc")).alias("component_id"),
+        F.when(linked, F.col("first")).otherwise(F.col("doc")).alias("component_id"),
     )

@@ -153,6 +153,50 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+NGRAM_JOIN_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]) END AS s
+    FROM words
+),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reach AS (
+    SELECT doc_id AS node, doc_id AS start FROM sets
+    UNION SELECT l.b, r.start FROM reach r JOIN links l ON l.a = r.node
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.start) AS component_id
+FROM sets s JOIN reach r ON r.node = s.doc_id GROUP BY s.doc_id, len(s.s)
+"""
+
+EMBEDDING_DEDUP_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, [v::DOUBLE for v in embedding] AS e FROM embeddings
+    WHERE len(embedding) > 0 AND len([v for v in embedding if v IS NULL OR NOT isfinite(v)]) = 0
+      AND len([v for v in embedding if v <> 0]) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a, usable b
+    WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+),
+reach AS (
+    SELECT vec_id AS node, vec_id AS start FROM embeddings
+    UNION SELECT l.b, r.start FROM reach r JOIN links l ON l.a = r.node
+),
+found AS (SELECT node AS vec_id, min(start) AS component_id FROM reach GROUP BY node)
+SELECT f.vec_id, (SELECT count(*) FROM links l WHERE l.a = f.vec_id) AS n_links, f.component_id,
+       f.vec_id = f.component_id AS kept
+FROM found f
+"""
+
 HARD_NEGATIVES_SQL = """
 WITH rows AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -193,4 +237,9 @@ QUERIES = {
     "op12_byte_bpe": byte_bpe_query,
     "op13_hard_negatives": hard_negatives_query,
 }
-ORACLES = {"op1_line_dedup": LINE_DEDUP_SQL, "op13_hard_negatives": HARD_NEGATIVES_SQL}
+ORACLES = {
+    "op1_line_dedup": LINE_DEDUP_SQL,
+    "op2_ngram_join": NGRAM_JOIN_SQL,
+    "op5_embedding_dedup": EMBEDDING_DEDUP_SQL,
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
+}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from array import array
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import REMEMBERED, slices, words_of
+from .common import LONG_WORD, REMEMBERED, slices, words_of
 
 MARK = "▁"
 Score = tuple[float, int]
@@ -40,7 +41,7 @@ class Trie:
     vocabulary pieces that end there. Pre-tokens that share a prefix share those nodes, and the node
     where a pre-token ends stores its number of tokens. Equal scores go to fewer tokens, then to the
     shorter last piece. A character that is no piece costs ``byte_score`` for each UTF-8 byte, and
-    each of these bytes is a token. Beyond ``most_nodes`` the trie starts anew.
+    each of these bytes is a token. Before it would exceed ``most_nodes`` the trie starts anew.
     """
 
     def __init__(self, scores: dict[str, float], byte_score: float, most_nodes: int = 1_000_000):
@@ -55,7 +56,9 @@ class Trie:
 
     def insert(self, word: str) -> Score:
         """(best log probability, number of tokens) of a pre-token."""
-        if len(self.tokens) > self.most_nodes:
+        if len(word) > self.most_nodes:
+            return self._alone(word)
+        if len(self.tokens) + len(word) > self.most_nodes:
             self.clear()
         edges, logs, counts = self.edges, self.log_prob, self.tokens
         scores, endings = self.scores, self.endings
@@ -86,6 +89,28 @@ class Trie:
             node = child
         return logs[node], counts[node]
 
+    def _alone(self, word: str) -> Score:
+        """The same for a word too long for the trie: only as many steps back as the longest piece
+        reaches are held."""
+        reach = max(map(len, self.scores), default=1)
+        held: deque[Score] = deque([(0.0, 0)], maxlen=reach)
+        for end, char in enumerate(word, 1):
+            best, fewest = -math.inf, 0
+            if char not in self.scores:
+                width = len(char.encode("utf-8", "replace"))
+                best, fewest = held[-1][0] + self.byte_score * width, held[-1][1] + width
+            for back in range(1, len(held) + 1):
+                piece = word[end - back : end]
+                if piece not in self.endings:
+                    break
+                gain = self.scores.get(piece)
+                if gain is not None:
+                    total, count = held[-back][0] + gain, held[-back][1] + 1
+                    if total > best or (total == best and count < fewest):
+                        best, fewest = total, count
+            held.append((best, fewest))
+        return held[-1]
+
 
 def count_tokens(
     docs: DataFrame,
@@ -100,8 +125,8 @@ def count_tokens(
     inside the task. Their best segmentation is the one of highest probability (``Trie``). A document
     has the sum over its pre-tokens; without words, null or empty, all three are 0. Repeated rows and
     rows without an id are rows like any other; other columns are ignored. Nothing is shuffled, and a
-    task forgets its trie once it has ``most_nodes`` nodes, so memory is bounded however many
-    different words there are.
+    task forgets its trie before it has more than ``most_nodes`` nodes, and a longer word is cut without
+    one, so memory is bounded however many different words there are and however long.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
 
@@ -118,9 +143,11 @@ def count_tokens(
                     for word in split:
                         score = met.get(word)
                         if score is None:
-                            if len(met) >= REMEMBERED:
-                                met.clear()
-                            score = met[word] = trie.insert(MARK + word.decode("utf-8", "replace"))
+                            score = trie.insert(MARK + word.decode("utf-8", "replace"))
+                            if len(word) <= LONG_WORD:
+                                if len(met) >= REMEMBERED:
+                                    met.clear()
+                                met[word] = score
                         found.append(score)
                     words.append(len(split))
                     tokens.append(sum(n for _, n in found))

@@ -38,6 +38,7 @@ SEEK_MAGIC = 0x8F92EAB1
 _ENTRY = np.dtype([("compressed", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 _ID = np.dtype([("known", "u1"), ("id", "<i8")])
 _REMEMBERED = 300_000
+_REMEMBERED_BYTES = 32 << 20
 MANIFEST = "shard int, path string, first_id long, docs long, tokens long, bytes long"
 INDEX = "doc_id long, shard int, pos long, n_tokens long, ids_crc32 long"
 
@@ -79,10 +80,16 @@ class _Words(dict):
     def __init__(self):
         super().__init__()
         self.fresh: list[bytes] = []
+        self.held = 0
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
         self.fresh.append(word)
+        self.held += len(word)
         return number
 
 
@@ -102,6 +109,8 @@ def word_encoder(path: str, end_id: int) -> Callable[[], Encoder]:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        # Added tokens are matched as they are written, before the library lower-cases anything.
+        marks = [x.content.encode().lower() for x in tokenizer.get_added_tokens_decoder().values()]
         model, plain, letters = tokenizer.model, _plain_bpe(path), _byte_letters()
         words, tails = _Words(), {}
         store = {"ids": np.empty(0, "<u4"), "lengths": np.empty(0, np.int64)}
@@ -130,12 +139,16 @@ def word_encoder(path: str, end_id: int) -> Callable[[], Encoder]:
             return found
 
         def encode(texts: list[str]) -> list[np.ndarray]:
-            if len(words) > _REMEMBERED:
+            if len(words) > _REMEMBERED or words.held > _REMEMBERED_BYTES:
                 words.clear()
                 store.update(ids=np.empty(0, "<u4"), lengths=np.empty(0, np.int64))
             placed = []
             for text in texts:
-                split = text.encode().lower().split()
+                raw = text.encode()
+                lowered = raw.lower()
+                split = lowered.split()
+                if any(mark in lowered for mark in marks):
+                    split = [a if any(mark in b for mark in marks) else b for a, b in zip(raw.split(), split)]
                 placed.append(np.fromiter(map(words.__getitem__, split), dtype=np.int64, count=len(split)))
             if words.fresh:
                 made = [ids_of(w) for w in words.fresh]

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import REMEMBERED, slices, words_of
+from .common import LONG_WORD, REMEMBERED, slices, words_of
 
 # Pairs of names of groups that are swapped in training texts; a score should not move with them.
 IDENTITY_PAIRS = (
@@ -75,9 +75,11 @@ class ToxicityModel:
             for word in set(words_of(text)):
                 slots = known.get(word)
                 if slots is None:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    slots = known[word] = tuple(x for x in word_features(word) if x in weight_of)
+                    slots = tuple(x for x in word_features(word) if x in weight_of)
+                    if len(word) <= LONG_WORD:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        known[word] = slots
                 if slots:
                     found.update(slots)
             total = self.bias + sum(weight_of[x] for x in sorted(found))
@@ -215,6 +217,21 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray | None]:
     return out
 
 
+def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, with all their columns.
+
+    Rows stay and go each by its own text; null and empty texts get the score of a text without words.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = model.scorer()
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
+            yield batch.filter(pa.array([score(x.as_py()) < threshold for x in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score_toxicity(
     docs: DataFrame,
     model: ToxicityModel,
