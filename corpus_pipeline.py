@@ -16,24 +16,40 @@ from postlens.sources import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; it learns from this stage's labelled documents."""
+    """Documents that the classifier rejects go; it learns from this stage's labelled documents.
+
+    Every row is judged by its own text, also one without an id or that repeats another; null and empty
+    texts are judged as texts without words. Without labels of both classes nothing is told apart.
+    """
     labels = read(spark, sf_dir, "labels").filter(~held_out())
-    model = toxicity.train_toxicity(docs, labels)
-    # All columns travel as one, so that none can clash with the score.
-    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
-    scored = toxicity.score_toxicity(packed, model, keep=("_doc",))
-    return scored.filter(F.col("predicted") == 0).select("_doc.*")
+    return toxicity.drop_toxic(docs, toxicity.train_toxicity(docs, labels))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays: five words, similarity 0.8 or more."""
-    groups = ngram_join.ngram_groups(docs, k=5, percent=80)
-    later = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(materialize(later, "near_copies"), "doc_id", "left_anti").select(docs.columns)
+    """One document of each group stays: five words, similarity 0.8 or more.
+
+    It is the one with the smallest id; one without an id stays only where no other has one. Rows count
+    each for itself, so of equal rows, or of two texts with one id that are alike, one stays. Null, empty
+    and blank texts are in no group and all stay. An empty table stays empty.
+    """
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    # Stored, so that a row keeps its number.
+    rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    groups = ngram_join.ngram_groups(rows, k=5, percent=80, id_col=key).select(F.col(key).alias("_of"), "component_id")
+    ids = rows.select(key, F.struct(F.col("doc_id").isNull(), "doc_id", key).alias("_order"))
+    first = ids.join(groups, F.col(key) == F.col("_of")).groupBy("component_id").agg(F.min("_order").alias("_first"))
+    kept = materialize(first.select(F.col(f"_first.{key}").alias(key)), "kept_rows")
+    return rows.join(kept, key, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark passage go. A key from id and text stands for ids that are null."""
+    """Documents with a benchmark passage go. A key from id and text stands for ids that are null.
+
+    Rows that repeat a leak go with it; null and empty texts hold no passage and stay, and so does
+    everything if the benchmark is empty.
+    """
     key = F.xxhash64("doc_id", "text")
     hits = decontaminate.contaminated(docs.select(key.alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
     leaks = materialize(hits.select(F.col("doc_id").alias("_leak_key")).distinct(), "leaks")
@@ -41,7 +57,11 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it: not at all, once, or more often."""
+    """Every document as often as the mix takes it: not at all, once, or more often.
+
+    Documents without words have nothing to give and go; a null source is a source of its own; rows that
+    agree in id, source and size are taken alike. An empty table stays empty.
+    """
     mixed = mixing.mix_sources(docs)
     taken = mixed.filter(F.col("copies") > 0).select(
         F.col("doc_id").alias("_mix_id"),
@@ -60,7 +80,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files; one row for each document and copy, read back from them."""
+    """Token files; one row for each document and copy, read back from them. Null and empty texts have
+    just the end id; ids may be null or repeat."""
     return token_files.token_files(docs, tokenizer_path("word_bpe_49k.json"), END_ID)
 
 
