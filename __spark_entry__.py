@@ -98,6 +98,16 @@ def _insights_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.insights(spark, run.results_dir)["skills_analysis"]
 
 
+def _republished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded twice to one place, first without the remote postings: readers see the second run."""
+    folder = f"{sources.shared_dir(spark)}/market-{uuid4().hex}"
+    raw = B.raw_postings(spark, sf_dir)
+    plans.record_market(raw.filter(F.col("job_type") != "Remote"), folder)
+    plans.record_market(raw, folder)
+    sources.remove_old_versions(spark, folder, keep=1)
+    return sources.insights(spark, folder)["industry_metrics"]
+
+
 def _json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sources.shared_dir(spark)}/postings-{uuid4().hex}"
     sources.write_result(B.raw_postings(spark, sf_dir).drop("customer"), path)
@@ -236,7 +246,7 @@ def _fit_once(kind: str, fit: Callable[[DataFrame, str], None]):
             rows_path = f"{out}/rows"
             sources.write_result(rows, rows_path, "parquet")
             fit(spark.read.parquet(rows_path), out)
-            _fitted[key] = (rows_path, f"{out}/models")
+            _fitted[key] = (rows_path, f"{sources.current_version(spark, out)}/models")
         rows_path, models = _fitted[key]
         return spark.read.parquet(rows_path), O.load_models(models)
 
@@ -416,6 +426,7 @@ def queries() -> dict[str, Query]:
         "top_skills": _on_clean(O.top_skills),
         "market_results": _market_results,
         "insights_skills": _insights_skills,
+        "republished_industries": _republished,
         "json_round_trip": _json_round_trip,
         "training_extract": _on_clean(lambda df: _flat(sources.training_extract(df))),
         "search_all": _on_raw(lambda df: _flat(O.search_postings(df, title="", industry=None))),

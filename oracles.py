@@ -366,6 +366,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'industry_metrics', industry, NULL, job_count, avg_salary, remote_percentage FROM industries
         UNION ALL SELECT 'salary_distribution', salary_band, NULL, "count", NULL, NULL FROM bands""",
     "insights_skills": f"WITH {_SKILLS} SELECT * FROM skill_stats ORDER BY frequency DESC, skill LIMIT 15",
+    "republished_industries": f"WITH {_CLEAN} {_BY_INDUSTRY}",
     "json_round_trip": f"WITH {_CLEAN} SELECT {_FLAT} FROM postings",
     "training_extract": f"""WITH {_CLEAN} SELECT job_title, location, experience_level, job_type, salary,
         array_to_string(skills, ',') AS skills, industry, demand_score FROM postings""",

@@ -1,13 +1,18 @@
 from .postings import corrupt_records, read_postings, training_extract
 from .results import insights, read_result, write_result
 from .shared import materialize, remove_tables, shared_dir, temporary_tables
+from .versions import current_version, new_version, publish, remove_old_versions
 
 __all__ = [
     "corrupt_records",
+    "current_version",
     "insights",
     "materialize",
+    "new_version",
+    "publish",
     "read_postings",
     "read_result",
+    "remove_old_versions",
     "remove_tables",
     "shared_dir",
     "temporary_tables",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import BAND_LABELS, TOP_SKILLS
 from ..functions.bands import band_rank
 from ..schema import RESULT_SCHEMAS
+from .versions import current_version
 
 MARKET_RESULTS = (
     "overall_stats",
@@ -49,8 +50,10 @@ def insights(
 ) -> dict[str, DataFrame]:
     """The five recorded results by name, skills cut to the first ``top_skills``.
 
-    Fails if one of them is missing.
+    All come from one run: the newest that is whole, also while another is being recorded. Fails if
+    one of them is missing.
     """
+    results_dir = current_version(spark, results_dir)
     bundle = {name: read_result(spark, f"{results_dir}/{name}", name, fmt) for name in MARKET_RESULTS}
     bundle["skills_analysis"] = bundle["skills_analysis"].limit(top_skills)
     return bundle

@@ -115,6 +115,7 @@ def test_importances(run):
 
 def test_saved_models_predict_the_same(spark, run, extract):
     result, out = run
+    out = sources.current_version(spark, str(out))
     loaded = O.load_models(f"{out}/models")
     assert loaded.features.names == result.models.features.names
     requests = bindings.requests(extract)

@@ -143,7 +143,7 @@ def test_plans_take_other_column_names(spark, postings, tmp_path):
     run = plans.record_market(df.withColumnsRenamed(names), str(tmp_path / "a"), c=c)
     plain = plans.record_market(df, str(tmp_path / "b"))
     for folder in ("overall_stats", "skills_analysis", "salary_distribution"):
-        read = [sorted(rows_of(spark.read.json(f"{r.results_dir}/{folder}"))) for r in (run, plain)]
+        read = [sorted(rows_of(spark.read.json(f"{r.version_dir}/{folder}"))) for r in (run, plain)]
         assert read[0] == read[1]
     trained = plans.train(spark.read.parquet(run.extract_path), trees=2, depth=2, c=c)
     assert "role_A" in trained.models.features.names
