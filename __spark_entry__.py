@@ -189,6 +189,18 @@ def _array_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(O.clean(sources.read_postings(spark, path)))
 
 
+def _any_array_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as arrays in one line, whose texts hold braces and quotes, and read without a known layout."""
+    path = f"{sources.shared_dir(spark)}/lines-{uuid4().hex}"
+    raw = B.raw_postings(spark, sf_dir).drop("customer")
+    awkward = raw.withColumn("company", F.concat(F.lit('} "{\\" ]['), "company"))
+    group = F.pmod(F.xxhash64("job_id"), F.lit(raw.count() // 4000 + 1)).alias("file")
+    arrays = awkward.select(F.to_json(F.struct(*awkward.columns)).alias("value"), group).groupBy("file")
+    text = arrays.agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
+    text.write.partitionBy("file").text(path)
+    return _flat(O.clean(sources.read_postings(spark, path, indent="any")))
+
+
 def _parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sources.shared_dir(spark)}/parquet-{uuid4().hex}"
     sources.write_result(B.raw_postings(spark, sf_dir).drop("customer"), path, "parquet")
@@ -497,6 +509,7 @@ def queries() -> dict[str, Query]:
         "answers_rule": _answers_rule,
         "nested_role_roadmap": _nested_role_roadmap,
         "array_round_trip": _array_round_trip,
+        "any_array_round_trip": _any_array_round_trip,
         "parquet_round_trip": _parquet_round_trip,
         "expected_salary_table": _expected_from_table,
         "odd_clean": _odd(_flat),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..fixed_values import EXTRACT_COLUMNS
 from ..schema import CORRUPT, RAW_SCHEMA
+from .arrays import array_records
 
 
 def read_postings(
@@ -17,15 +18,16 @@ def read_postings(
     path: str,
     fmt: str = "json",
     multi_line: bool = True,
-    indent: int | None = 2,
+    indent: int | str | None = 2,
     keep_corrupt: bool = False,
 ) -> DataFrame:
     """Postings from JSON or Parquet. A missing path fails at once.
 
     JSON comes as one array (``multi_line``) or as one object per line. An array is taken to be
     pretty-printed with ``indent`` spaces: records are told apart by the line that closes them, and a
-    large file is read by many tasks; another indent fails. ``indent=None`` reads any array, but in a
-    single task, whatever its size.
+    large file is read by many tasks; another indent fails. ``indent="any"`` reads arrays of any layout in
+    many tasks, from three scans of the text (``array_records``). ``indent=None`` reads any array once,
+    but in a single task, whatever its size.
 
     The schema is declared, so there is no inference pass; ``salary`` stays text until ``clean``.
     Records that do not parse have nulls, and their text in ``_corrupt_record`` if ``keep_corrupt``.
@@ -37,6 +39,10 @@ def read_postings(
     corrupt = [T.StructField(CORRUPT, T.StringType())] if keep_corrupt else []
     schema = T.StructType([*RAW_SCHEMA.fields, *corrupt])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if multi_line and indent == "any":
+        # Through inline(), since filters on a plain projection would be moved below it and parse again.
+        parsed = F.from_json("record", schema, options)
+        return array_records(spark, path).select(F.inline(F.array(parsed)))
     if multi_line and indent is not None:
         return _read_indented(spark, path, schema, indent, options)
     return spark.read.schema(schema).options(**options).option("multiLine", multi_line).json(path)
