@@ -464,7 +464,7 @@ ORACLES: dict[str, str] = {
         SELECT job_id AS request_id, {_pay("skills")} AS predicted_salary, demand_score, coalesce(boosts, '') AS boosts
         FROM postings LEFT JOIN listed ON job_id = request_id""",
     "array_round_trip": f"WITH {_CLEAN} SELECT {_FLAT} FROM postings",
-    "any_array_round_trip": f"""WITH {_CLEAN}, named AS (SELECT * REPLACE ('} "{{\\" ][' || company AS company) FROM postings)
+    "any_array_round_trip": f"""WITH {_CLEAN}, named AS (SELECT * REPLACE ('}} "{{\\" ][' || company AS company) FROM postings)
         SELECT {_FLAT} FROM named""",
     "parquet_round_trip": f"WITH {_CLEAN} SELECT {_FLAT} FROM postings",
     "expected_salary_table": f"WITH {_CLEAN} SELECT job_id, {_pay('skills')} AS expected_salary FROM postings",
