@@ -229,14 +229,16 @@ def test_decontamination(spark):
 
 def test_pieces_hold_every_passage_once():
     rng = np.random.default_rng(3)
-    docs = [[b"%d" % i for i in rng.integers(0, 40, n)] for n in (0, 1, 23, 24, 25, 48, 49, 500, 96, 97, 120, 3)]
-    known = decontaminate._Columns({b"%d" % i: i for i in range(30)})
+    docs = []
+    for n in (0, 1, 23, 24, 25, 48, 49, 500, 96, 97, 120, 3):
+        columns = rng.integers(-10, 30, n)
+        docs.append(decontaminate._Doc(n, columns[columns >= 0], np.flatnonzero(columns >= 0)))
     weighted = rng.standard_normal((30, 4)).astype(np.float32)
-    whole = decontaminate._Halves(known, [(i, 0, x) for i, x in enumerate(docs)], 24)
+    whole = decontaminate._Halves(docs, [(i, 0, x.words) for i, x in enumerate(docs)], 24)
     made, around = np.zeros(4), np.zeros((30, 4))
     for pieces in decontaminate._pieces(docs, 24, limit=50):
-        assert sum(len(x) for _, _, x in pieces) <= 50 + 24
-        halves = decontaminate._Halves(known, pieces, 24)
+        assert sum(size for _, _, size in pieces) <= 50 + 24
+        halves = decontaminate._Halves(docs, pieces, 24)
         made += halves.passages(weighted).sum(axis=0)
         np.add.at(around, halves.columns, halves.around(halves.passages(weighted))[halves.segment])
     expected = np.zeros((30, 4))
@@ -244,6 +246,46 @@ def test_pieces_hold_every_passage_once():
     assert np.allclose(made, whole.passages(weighted).sum(axis=0), atol=1e-3) and np.allclose(around, expected, atol=1e-3)
 
 
+def test_stripes_are_summed_level_by_level(spark):
+    parts = [(s, p, np.array([s + p / 8, 1.0]).tobytes()) for s in range(2) for p in range(75)]
+    got = decontaminate._sum_stripes(spark.createDataFrame(parts, decontaminate._STRIPES), fan=4).collect()
+    sums = {r.stripe: np.frombuffer(r.data).tolist() for r in got}
+    assert len(got) == 2 and sums == {s: [75 * s + 75 * 37 / 8, 75.0] for s in range(2)}
+    assert decontaminate._sum_stripes(spark.createDataFrame([], decontaminate._STRIPES)).count() == 0
+
+
+def test_contaminated_equals_comparing_all(spark):
+    """Against the longest common subsequence of every document's passages with every item."""
+    rng = np.random.default_rng(21)
+    word = [f"v{i}" for i in range(800)]
+    items = [(i, " ".join(rng.choice(word, int(rng.integers(20, 48))))) for i in range(25)]
+    docs = []
+    for d in range(150):
+        words = list(rng.choice(word, int(rng.integers(5, 200))))
+        leak = items[d % 25][1].split()
+        if d % 3 == 0:  # from all of the item to half of it, words left out at random
+            keep = rng.random(len(leak)) < rng.choice([1.0, 0.9, 0.8, 0.7, 0.5])
+            at = int(rng.integers(0, len(words)))
+            words[at:at] = [w for w, k in zip(leak, keep) if k]
+        docs.append((d, " ".join(words)))
+    want = set()
+    for d, text in docs:
+        words, half = decontaminate.plain_words(text.encode()), 24
+        for i, item in items:
+            part = tuple(decontaminate.plain_words(item.encode()))
+            answer = part if len(part) <= 0.75 * len(part) else part[-max(1, len(part) // 4) :]
+            for start in range(0, max(1, len(words) - half), half):
+                around = words[max(0, start - half) : start + 3 * half]
+                ratio = decontaminate.common_length(part, around) / len(part)
+                told = decontaminate.common_length(answer, around) == len(answer)
+                if ratio >= 0.75 or (ratio >= 0.6 and told):
+                    want.add((d, i))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()}
+    # The candidate search is approximate, the comparison exact.
+    assert got <= want and len(got) >= 0.9 * len(want) and len(want) > 20
+
+
 def test_answer_decides_on_reworded_passages(spark):
     rng = np.random.default_rng(10)
     words = [f"w{i}" for i in range(40)]
