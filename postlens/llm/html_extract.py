@@ -39,6 +39,12 @@ NO_TEXT_WORDS = frozenset(
     " pager footer masthead comment comments commentlist disqus respond reply replies share sharing social related"
     " recommended recommendations widget widgets toolbar search searchbox form skip".split()
 )
+# Classes by which a part is cut whatever lies in it: comments of readers.
+READER_WORDS = frozenset("comment comments commentlist comment-list comments-area comments-list disqus respond".split())
+# Classes by which an article of its own is no main text.
+ASIDE_ARTICLES = READER_WORDS | frozenset("reply ad advert advertisement sponsored promo".split())
+# Parts that hold lines of text: here a listed word must be a class of its own.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr blockquote pre figure figcaption caption em strong b i".split())
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 MAIN_WORDS = frozenset("article post entry content story main".split())
 # Opening one of these closes an open one of the same set.
@@ -46,14 +52,18 @@ _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 _SIBLINGS |= {"th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
 _WALLS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select", "datalist"}}
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_NUMBER = re.compile(r"(?<![a-z0-9])[0-9a-f]{8,}(?![a-z0-9])|[0-9]{3,}")
 _CLOSES_P = BLOCKS - {"body", "html", "option", "caption", "legend", "summary", "td", "th", "tr", "tbody", "thead", "tfoot"}
 
 
 class Node:
-    __slots__ = ("tag", "key", "children", "noise", "main")
+    """``noise`` is never main text; ``doubt`` says that a name or a form speaks against the node, which
+    holds unless the page's main article lies in it."""
 
-    def __init__(self, tag: str, key: str, noise: bool = False, main: bool = False):
-        self.tag, self.key, self.noise, self.main = tag, key, noise, main
+    __slots__ = ("tag", "key", "children", "noise", "main", "doubt")
+
+    def __init__(self, tag: str, key: str, noise: bool = False, main: bool = False, doubt: bool = False):
+        self.tag, self.key, self.noise, self.main, self.doubt = tag, key, noise, main, doubt
         self.children: list[Node | str] = []
 
 
@@ -61,11 +71,23 @@ def _node(tag: str, attrs: list[tuple[str, str | None]]) -> Node:
     named = {k: v or "" for k, v in attrs}
     marks = f"{named.get('class', '')} {named.get('id', '')}".strip()
     words = {w.lower() for w in _SPLIT.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", marks).lower())} if marks else set()
+    classes = set(named.get("class", "").lower().split())
     role = named.get("role", "").lower()
+    article = tag in ("article", "main") or role in ("main", "article")
     hidden = "hidden" in named or named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "")
-    main = tag in ("article", "main") or role in ("main", "article") or bool(words & MAIN_WORDS)
-    noise = tag in NO_TEXT or role in NO_TEXT_ROLES or hidden or (tag not in ("body", "html") and bool(words & NO_TEXT_WORDS))
-    return Node(tag, tag + ("." + "-".join(marks.lower().split()) if marks else ""), noise, main and not noise)
+    noise = (tag in NO_TEXT and tag != "form") or role in NO_TEXT_ROLES or hidden
+    doubt = tag == "form"
+    if tag not in ("body", "html") and marks:
+        if article:
+            noise = noise or bool(classes & ASIDE_ARTICLES)
+        elif tag in TEXT_TAGS:
+            noise = noise or bool(classes & NO_TEXT_WORDS)
+        else:
+            noise = noise or bool((classes | {named.get("id", "").lower()}) & READER_WORDS)
+            doubt = doubt or bool(words & NO_TEXT_WORDS)
+    main = (article or bool(words & MAIN_WORDS)) and not noise and not doubt
+    # Long numbers and digests differ from page to page where the style is one; short ones tell columns apart.
+    return Node(tag, tag + ("." + _NUMBER.sub("#", "-".join(marks.lower().split())) if marks else ""), noise, main, doubt)
 
 
 class Dom(HTMLParser):
@@ -75,8 +97,13 @@ class Dom(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root", "")
         self.open = [self.root]
+        self.wrapped = False
         self.feed(html)
         self.close()
+        if self.wrapped:
+            _settle(self.root)
+        else:
+            _reject(self.root)
 
     def _shut(self, tags: set[str] | frozenset[str], walls: set[str]) -> None:
         for at in range(len(self.open) - 1, 0, -1):
@@ -93,6 +120,9 @@ class Dom(HTMLParser):
             self._shut(_SIBLINGS[tag], _WALLS.get(tag, {"table"}))
         node = _node(tag, attrs)
         self.open[-1].children.append(node)
+        # Only where text of weight lies in a doubtful part is there something to weigh.
+        if tag in ("article", "main", "p") and any(x.doubt for x in self.open):
+            self.wrapped = True
         if tag not in VOID:
             self.open.append(node)
 
@@ -107,6 +137,42 @@ class Dom(HTMLParser):
         self.open[-1].children.append(data)
 
 
+def _nodes(root: Node) -> Iterator[tuple[Node, list[Node]]]:
+    """Every node outside noise with those around it."""
+    todo: list[tuple[Node, list[Node]]] = [(root, [])]
+    while todo:
+        node, above = todo.pop()
+        if node.noise:
+            continue
+        yield node, above
+        inner = [*above, node]
+        todo.extend((x, inner) for x in reversed(node.children) if not isinstance(x, str))
+
+
+def _reject(root: Node) -> None:
+    for node, _ in _nodes(root):
+        node.noise = node.doubt
+
+
+def _settle(root: Node) -> None:
+    """Doubts become noise, but not around the page's main article: the largest one, if it has a quarter
+    of the page's text. Without one, a form that holds half of the text is the page itself."""
+
+    def size(node: Node) -> int:
+        return len(_text_of(node))
+
+    whole = size(root)
+    articles = [(node, above) for node, above in _nodes(root) if node.main and (node.tag in ("article", "main"))]
+    if articles:
+        best, around = max(articles, key=lambda x: size(x[0]))
+        cleared = around if 4 * size(best) >= whole else []
+    else:
+        cleared = [node for node, _ in _nodes(root) if node.tag == "form" and 2 * size(node) >= whole]
+    for node in cleared:
+        node.doubt = False
+    _reject(root)
+
+
 def parse(html: str | None) -> Node:
     return Dom(html or "").root
 
@@ -116,7 +182,7 @@ def _is_noise(node: Node, inside: bool) -> bool:
     return node.noise or (node.tag == "header" and not inside)
 
 
-def _text_of(node: Node, cut: Callable[[Node], bool] = lambda x: x.tag in NO_TEXT) -> str:
+def _text_of(node: Node, cut: Callable[[Node], bool] = lambda x: x.noise) -> str:
     parts, todo = [], [node]
     while todo:
         item = todo.pop()
@@ -233,8 +299,15 @@ def main_text(root: Node, weak: frozenset[str] = frozenset()) -> str:
         return "\n\n".join(x for x in lines if x)
 
     tests = (lambda x: x.tag == "article", lambda x: x.tag == "main" or x.main, lambda x: x is root)
+    held, around = (
+        sum(len(_text_of(node)) for _, node in outermost(lambda x, t=tag: x.tag == t, frozenset()))
+        for tag in ("article", "main")
+    )
+    # Small articles in a main part are teasers: there the part itself is the text.
+    if 2 * held < around:
+        tests = tests[1:]
     for test in tests:
-        marked = test is tests[0]
+        marked = test(_ARTICLE)
         places = outermost(test, frozenset() if marked else weak)
         if any(_text_of(node) for _, node in places):
             for path, node in places:
@@ -246,6 +319,9 @@ def main_text(root: Node, weak: frozenset[str] = frozenset()) -> str:
     return joined()
 
 
+_ARTICLE = Node("article", "article")
+
+
 def _stats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         roots = [parse(x) for x in part["_html"]]
@@ -261,10 +337,9 @@ def _stats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=["host", "copy", "styles"])
 
 
-def _extract(keep: list[str], min_pages: int, noise_below: float, site_from: float):
+def _extract(keep: list[str], noise_below: float, site_from: float):
     def run(pages: pd.DataFrame, styles: pd.DataFrame) -> pd.DataFrame:
-        rows = styles[styles["pages"] >= min_pages]
-        scores = importances(zip(rows["path"], rows["pages"], rows["value"], rows["kind"]))
+        scores = importances(zip(styles["path"], styles["pages"], styles["value"], styles["kind"]))
         # A site whose pages are all alike says nothing about what is noise.
         known = max(scores.values(), default=0.0) >= site_from
         weak = frozenset(x for x, value in scores.items() if known and value < noise_below)
@@ -293,7 +368,8 @@ def extract_pages(
     (``importances``); branches on at least ``min_pages`` pages of a host whose importance is below
     ``noise_below`` are cut out of each page, unless no node of the site reaches ``site_from``. Parts
     that name themselves as menus, adverts, forms, comments and so on are cut on every host and are
-    no nodes of the tree. Pages of a host with the same main text, before branches are cut, count as
+    no nodes of the tree, unless the page's main article lies in them: names are evidence against a part,
+    never against the article. Articles that hold less than half of a main part are teasers in it. Pages of a host with the same main text, before branches are cut, count as
     one page. A marked article is never cut as a whole, nor all its text.
 
     Null html is empty; a page without main text gets an empty text. Pages without a host share one
@@ -320,7 +396,8 @@ def extract_pages(
     # Stored, so that its size is known and pages need not be dealt by host alone.
     sizes = rows.groupBy("_host").agg(F.ceil(F.count("*") / group_pages).cast("int").alias("_salts"))
     sizes = materialize(sizes, "site_sizes")
-    styles = nodes.select("host", "path", "kind", "pages", spread.alias("value"))
+    # Rare paths decide nothing, so only frequent ones are copied to the host's groups.
+    styles = nodes.filter(F.col("pages") >= min_pages).select("host", "path", "kind", "pages", spread.alias("value"))
     styles = styles.join(sizes, F.col("host") == F.col("_host")).select(
         F.col("host").alias("_host"), F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"), "path", "kind", "pages", "value"
     )
@@ -330,6 +407,6 @@ def extract_pages(
     made = (
         dealt.groupBy("_host", "_salt")
         .cogroup(styles.groupBy("_host", "_salt"))
-        .applyInPandas(_extract(["_id", "_url"], min_pages, noise_below, site_from), schema)
+        .applyInPandas(_extract(["_id", "_url"], noise_below, site_from), schema)
     )
     return made.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text", "n_chars")
