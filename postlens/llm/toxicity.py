@@ -59,11 +59,13 @@ def swapped(text: bytes | None, pairs: Sequence[tuple[str, str]] = IDENTITY_PAIR
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights of a few thousand slots at most."""
+    """Weights of a few thousand slots at most; ``counterparts`` is the number of training texts that name
+    a group, whose swapped form the fit was held to. Without any, the penalty had nothing to act on."""
 
     slots: np.ndarray
     weights: np.ndarray
     bias: float
+    counterparts: int = 0
 
     def scorer(self):
         """Function from a text to a score in [0, 1]; remembers words inside a task."""
@@ -157,7 +159,7 @@ def fit_model(
         first, second = 0.9 * first + 0.1 * full, 0.999 * second + 0.001 * full**2
         move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
         weights, bias = weights - move[:-1], bias - move[-1]
-    return ToxicityModel(kept.astype(np.int32), weights, float(bias))
+    return ToxicityModel(kept.astype(np.int32), weights, float(bias), m)
 
 
 def train_toxicity(

@@ -321,6 +321,11 @@ def test_swapped_terms_move_the_score_less():
         return abs(score(b"all women here") - score(b"all men here"))
 
     assert gap(50.0) < 0.1 < gap(0.0)
+    plain = toxicity.fit_model(slots, labels, twins)
+    assert plain.counterparts == sum(x is not None for x in twins) > 500
+    score = plain.scorer()
+    assert abs(score(b"all women here") - score(b"all men here")) < 0.05 * gap(0.0)
+    assert score(b"all women here") < 0.7 and score(b"all men here") < 0.7
     assert toxicity.swapped(b"no such term") is None
     assert toxicity.swapped(b"The Women, and men.") == b"the men, and women."
 
