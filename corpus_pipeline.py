@@ -2,7 +2,8 @@
 leaks go, sources are mixed to their target weights, and what is left is written as token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes every stage's result as
-Parquet and reads it back as the next one's documents. All but the last return the columns they got.
+Parquet and reads it back as the next one's documents. What a stage stores on its way, but for what its
+result is read from, is gone when it returns. All but the last return the columns they got.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from postlens.llm import decontaminate, mixing, ngram_join, token_files, toxicity
 from postlens.llm.queries import END_ID, held_out, read, tokenizer_path
-from postlens.sources import materialize
+from postlens.sources import materialize, temporary_tables
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +38,11 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         key += "_"
     # Stored, so that a row keeps its number.
     rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
-    groups = ngram_join.ngram_groups(rows, k=5, percent=80, id_col=key).select(F.col(key).alias("_of"), "component_id")
-    ids = rows.select(key, F.struct(F.col("doc_id").isNull(), "doc_id", key).alias("_order"))
-    first = ids.join(groups, F.col(key) == F.col("_of")).groupBy("component_id").agg(F.min("_order").alias("_first"))
-    kept = materialize(first.select(F.col(f"_first.{key}").alias(key)), "kept_rows")
+    with temporary_tables(spark):
+        groups = ngram_join.ngram_groups(rows, k=5, percent=80, id_col=key).select(F.col(key).alias("_of"), "component_id")
+        ids = rows.select(key, F.struct(F.col("doc_id").isNull(), "doc_id", key).alias("_order"))
+        first = ids.join(groups, F.col(key) == F.col("_of")).groupBy("component_id").agg(F.min("_order").alias("_first"))
+        kept = materialize(first.select(F.col(f"_first.{key}").alias(key)), "kept_rows", lasting=True)
     return rows.join(kept, key, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -51,25 +53,28 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     everything if the benchmark is empty.
     """
     key = F.xxhash64("doc_id", "text")
-    hits = decontaminate.contaminated(docs.select(key.alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
-    leaks = materialize(hits.select(F.col("doc_id").alias("_leak_key")).distinct(), "leaks")
+    with temporary_tables(spark):
+        hits = decontaminate.contaminated(docs.select(key.alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
+        leaks = materialize(hits.select(F.col("doc_id").alias("_leak_key")).distinct(), "leaks", lasting=True)
     return docs.join(leaks, key == leaks["_leak_key"], "left_anti").select([docs[c] for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: not at all, once, or more often.
 
-    Documents without words have nothing to give and go; a null source is a source of its own; rows that
+    Documents without words are taken as often as the whole part of their source's share says, and cost no
+    words; a null source is a source of its own; rows that
     agree in id, source and size are taken alike. An empty table stays empty.
     """
-    mixed = mixing.mix_sources(docs)
-    taken = mixed.filter(F.col("copies") > 0).select(
-        F.col("doc_id").alias("_mix_id"),
-        F.col("source").alias("_mix_source"),
-        F.col("size").alias("_mix_size"),
-        F.col("copies").cast("int").alias("_mix_copies"),
-    )
-    taken = materialize(taken.distinct(), "mix_copies")
+    with temporary_tables(spark):
+        mixed = mixing.mix_sources(docs)
+        taken = mixed.filter(F.col("copies") > 0).select(
+            F.col("doc_id").alias("_mix_id"),
+            F.col("source").alias("_mix_source"),
+            F.col("size").alias("_mix_size"),
+            F.col("copies").cast("int").alias("_mix_copies"),
+        )
+        taken = materialize(taken.distinct(), "mix_copies", lasting=True)
     same = (
         docs["doc_id"].eqNullSafe(taken["_mix_id"])
         & docs["source"].eqNullSafe(taken["_mix_source"])

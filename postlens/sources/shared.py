@@ -32,18 +32,18 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{context.applicationId}"
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", lasting: bool = False) -> DataFrame:
     """Writes ``df`` once and reads it back.
 
     What is read later does not depend on any executor that took part in the work, and the file sizes
     tell Catalyst how large the table is, so it broadcasts the table only if that fits. Inside
-    ``temporary_tables`` the files are removed at its end; otherwise they stay until
-    ``remove_tables``, since a result that is not computed yet may read them.
+    ``temporary_tables`` the files are removed at its end, unless the table is ``lasting``; otherwise they
+    stay until ``remove_tables``, since a result that is not computed yet may read them.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     scope = _open_scope.get()
-    if scope is not None:
+    if scope is not None and not lasting:
         scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
