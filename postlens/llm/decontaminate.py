@@ -30,6 +30,8 @@ _LOWER = bytes(range(256)).lower()
 _ASCII = bytes(range(128))
 _SLOTS = 1 << 16
 _STRIPE = 1024
+_COMMON = 256
+_NONE = np.empty(0, np.int64)
 
 
 def _fold(text: bytes) -> bytes:
@@ -181,7 +183,7 @@ def _docs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[dict[str, list],
 Piece = tuple[int, int, int]
 
 
-def _pieces(docs: list[_Doc], half: int, limit: int = 65_536) -> Iterator[list[Piece]]:
+def _pieces(docs: list[_Doc], half: int, limit: int = 16_384) -> Iterator[list[Piece]]:
     """Groups of (document, first word, number of words) of about ``limit`` words at most.
 
     A longer document is cut where halves begin; its pieces share one half, so that each of its
@@ -220,6 +222,7 @@ class _Halves:
             a, b = np.searchsorted(doc.places, (start, start + size)) if size < doc.words else (0, len(doc.places))
             columns.append(doc.columns[a:b]), segments.append((doc.places[a:b] - start) // half + first)
         self.columns, self.segment = np.concatenate(columns), np.concatenate(segments)
+        self.parted = None
         # A passage starts at every half but the last of a document, or at the only one.
         last = np.zeros(self.n, dtype=bool)
         last[self.first + self.per_doc - 1] = True
@@ -227,17 +230,44 @@ class _Halves:
         self.joined = np.flatnonzero(~last)
         self.starts = ~last | alone
 
-    def passages(self, weighted: np.ndarray) -> np.ndarray:
-        """Sum of the words' rows over the passage that starts at each half; zeros where none does."""
-        sums = np.zeros((self.n, weighted.shape[1]), dtype=np.float32)
-        if len(self.columns):
-            runs = np.flatnonzero(np.concatenate([[True], self.segment[1:] != self.segment[:-1]]))
-            sums[self.segment[runs]] = np.add.reduceat(weighted[self.columns], runs, axis=0)
+    def split(self, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(counts of the ``common`` columns in each half, columns and segments of all other words)."""
+        if self.parted is not None and self.parted[0] is common:
+            return self.parted[1]
+        place = np.full(int(max(common.max(initial=0), self.columns.max(initial=0))) + 1, -1)
+        place[common] = np.arange(len(common))
+        at = place[self.columns]
+        inside = at >= 0
+        cells = np.bincount(self.segment[inside] * len(common) + at[inside], minlength=self.n * len(common))
+        counts = cells.reshape(self.n, len(common)).astype(np.float32)
+        self.parted = (common, (counts, self.columns[~inside], self.segment[~inside]))
+        return self.parted[1]
+
+    def passages(self, weighted: np.ndarray, common: np.ndarray = _NONE) -> np.ndarray:
+        """Sum of the words' rows over the passage that starts at each half; zeros where none does.
+
+        A few ``common`` columns hold most words: they are counted and multiplied as a dense matrix.
+        """
+        counts, columns, segment = self.split(common)
+        sums = counts @ weighted[common].astype(np.float32)
+        if len(columns):
+            runs = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
+            sums[segment[runs]] += np.add.reduceat(weighted[columns], runs, axis=0)
         made = sums.copy()
         made[self.joined] += sums[self.joined + 1]
         made[~self.starts] = 0
         return made
 
+    def columns_times(self, rows: np.ndarray, total: np.ndarray, common: np.ndarray = _NONE) -> None:
+        """Adds to ``total``, for each column, the ``rows`` of the halves its words lie in."""
+        counts, columns, segment = self.split(common)
+        total[common] += counts.T @ rows
+        if len(columns):
+            order = np.argsort(columns, kind="stable")
+            column = columns[order]
+            runs = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
+            total[column[runs]] += np.add.reduceat(rows[segment[order]], runs, axis=0)
+
     def around(self, made: np.ndarray) -> np.ndarray:
         """Sum of the passages that each half lies in."""
         out = made.copy()
@@ -267,7 +297,7 @@ def _frequencies(width: int, half: int):
     return run
 
 
-def _range_finder(width: int, half: int, idf: np.ndarray, rank: int, seed: int):
+def _range_finder(width: int, half: int, idf: np.ndarray, common: np.ndarray, rank: int, seed: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -275,13 +305,8 @@ def _range_finder(width: int, half: int, idf: np.ndarray, rank: int, seed: int):
         weighted = _random_block(width, rank, seed) * idf[:, None]
         total = np.zeros((width, rank), dtype=np.float64)
         for halves in _all_halves(batches, half):
-            if not len(halves.columns):
-                continue
-            around = halves.around(halves.passages(weighted))
-            order = np.argsort(halves.columns, kind="stable")
-            column = halves.columns[order]
-            runs = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
-            total[column[runs]] += np.add.reduceat(around[halves.segment[order]], runs, axis=0)
+            if len(halves.columns):
+                halves.columns_times(halves.around(halves.passages(weighted, common)), total, common)
         total *= idf[:, None]
         for stripe in range(0, width, _STRIPE):
             data = total[stripe : stripe + _STRIPE].tobytes()
@@ -310,7 +335,7 @@ def _sum_stripes(stripes: DataFrame, fan: int = 32) -> DataFrame:
 
 
 def _search(
-    half: int, basis: np.ndarray, items: list[Item], latent: np.ndarray, near: np.ndarray,
+    half: int, basis: np.ndarray, common: np.ndarray, items: list[Item], latent: np.ndarray, near: np.ndarray,
     verbatim: float, reworded: float,
 ):
     def compare(item: Item, around: list[bytes]) -> float:
@@ -329,7 +354,7 @@ def _search(
             hits: dict[tuple[int, int], tuple[float, float]] = {}
             for pieces in _pieces(docs, half):
                 halves = _Halves(docs, pieces, half)
-                made = halves.passages(basis)
+                made = halves.passages(basis, common)
                 norms = np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-12)
                 cosines = (made / norms) @ latent.T
                 places, which = np.nonzero(cosines >= near[None, :])
@@ -412,8 +437,9 @@ def contaminated(
         df[column] = total
     # Inverse document frequency in its power form, up to a constant: columns of like length.
     idf = (1.0 / np.sqrt(df + 1.0)).astype(np.float32)
+    common = np.sort(np.argsort(-df, kind="stable")[:_COMMON])
     wide = min(n, rank + oversample)
-    stripes = _sum_stripes(narrow.mapInArrow(_range_finder(n, half, idf, wide, seed), _STRIPES))
+    stripes = _sum_stripes(narrow.mapInArrow(_range_finder(n, half, idf, common, wide, seed), _STRIPES))
     parts = {r[0]: np.frombuffer(bytes(r[2]), dtype=np.float64) for r in stripes.collect()}
     if not parts:
         return empty
@@ -427,7 +453,7 @@ def contaminated(
         latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
         level = near * np.sqrt([min(1.0, len(x.words) / width) for x in block])
         hits = rows.mapInArrow(
-            _search(half, weighted, block, latent.astype(np.float32), level.astype(np.float32), verbatim, reworded),
+            _search(half, weighted, common, block, latent.astype(np.float32), level.astype(np.float32), verbatim, reworded),
             "doc_id long, item_id long, common double, cosine double",
         )
         out = hits if out is None else out.unionByName(hits)

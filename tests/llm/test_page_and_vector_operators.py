@@ -236,11 +236,12 @@ def test_pieces_hold_every_passage_once():
     weighted = rng.standard_normal((30, 4)).astype(np.float32)
     whole = decontaminate._Halves(docs, [(i, 0, x.words) for i, x in enumerate(docs)], 24)
     made, around = np.zeros(4), np.zeros((30, 4))
+    common = np.array([3, 7, 8, 29])
     for pieces in decontaminate._pieces(docs, 24, limit=50):
         assert sum(size for _, _, size in pieces) <= 50 + 24
         halves = decontaminate._Halves(docs, pieces, 24)
-        made += halves.passages(weighted).sum(axis=0)
-        np.add.at(around, halves.columns, halves.around(halves.passages(weighted))[halves.segment])
+        made += halves.passages(weighted, common).sum(axis=0)
+        halves.columns_times(halves.around(halves.passages(weighted)), around, common)
     expected = np.zeros((30, 4))
     np.add.at(expected, whole.columns, whole.around(whole.passages(weighted))[whole.segment])
     assert np.allclose(made, whole.passages(weighted).sum(axis=0), atol=1e-3) and np.allclose(around, expected, atol=1e-3)
