@@ -84,6 +84,17 @@ def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def url_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the url filter that do not depend on what is learned."""
+    return url_filter_query(spark, sf_dir).select("page_id", "host", "path", "rule")
+
+
+def source_targets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the mix that do not depend on draws."""
+    mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
 def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return token_files.token_files(docs, tokenizer_path("word_bpe_49k.json"), END_ID)
@@ -197,6 +208,44 @@ SELECT f.vec_id, (SELECT count(*) FROM links l WHERE l.a = f.vec_id) AS n_links,
 FROM found f
 """
 
+URL_RULES_SQL = """
+WITH rests AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests
+),
+rules(rule, rule_host, rule_path) AS (
+    VALUES ('net/', 'net', '/'), ('example.net/en/', 'example.net', '/en/'), ('example.com/de/', 'example.com', '/de/'), ('org/fr/', 'org', '/fr/')
+)
+SELECT page_id, any_value(host) AS host, any_value(path) AS path, arg_max(rule, length(rule)) AS rule
+FROM parts LEFT JOIN rules
+  ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+GROUP BY page_id
+"""
+
+# Sources are filled to their limit in the order in which a rising water level meets it.
+SOURCE_TARGETS_SQL = r"""
+WITH sizes AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+),
+sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
+    FROM sizes GROUP BY source
+),
+levels AS (
+    SELECT *, 2 * source_size / weight AS level,
+           coalesce(sum(2 * source_size) OVER w, 0)::DOUBLE AS full_before, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS weight_left,
+           1.5 * sum(source_size) OVER () AS total
+    FROM sources WINDOW w AS (ORDER BY 2 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+water AS (SELECT min((total - full_before) / weight_left) AS height FROM levels WHERE (total - full_before) / weight_left <= level)
+SELECT s.doc_id, s.size, l.source_size, round(least(2.0 * l.source_size, l.weight * coalesce(height, 1e300)), 3) AS target
+FROM sizes s JOIN levels l ON s.source IS NOT DISTINCT FROM l.source, water
+"""
+
 HARD_NEGATIVES_SQL = """
 WITH rows AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -236,10 +285,14 @@ QUERIES = {
     "op11_whitening": whitening_query,
     "op12_byte_bpe": byte_bpe_query,
     "op13_hard_negatives": hard_negatives_query,
+    "url_rules": url_rules_query,
+    "source_targets": source_targets_query,
 }
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op2_ngram_join": NGRAM_JOIN_SQL,
     "op5_embedding_dedup": EMBEDDING_DEDUP_SQL,
+    "url_rules": URL_RULES_SQL,
+    "source_targets": SOURCE_TARGETS_SQL,
     "op13_hard_negatives": HARD_NEGATIVES_SQL,
 }
