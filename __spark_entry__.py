@@ -25,6 +25,8 @@ from postlens.functions import decode_demand, encode_demand, parse_skill_list, r
 # Equal profiles are averaged into this many weighted rows before the full-size forests are trained.
 BLOCKS = 8
 _fitted: dict[tuple[str, str], tuple[str, str]] = {}
+# Loaded once as well: reading fifty deep trees takes longer than asking them.
+_loaded: dict[str, O.Models] = {}
 
 try:
     import corpus_pipeline
@@ -108,6 +110,27 @@ def _republished(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.insights(spark, folder)["industry_metrics"]
 
 
+def _market_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Industries from three batches of postings, one of them sent twice, the first time only in part."""
+    folder = f"{sources.shared_dir(spark)}/batches-{uuid4().hex}"
+    postings = _stored(spark, sf_dir)
+    number = F.pmod(F.xxhash64("job_id"), F.lit(3))
+    plans.add_batch(postings.filter((number == 1) & (F.col("job_type") != "Remote")), folder, "1")
+    for i in range(3):
+        plans.add_batch(postings.filter(number == i), folder, str(i))
+    return plans.market_so_far(spark, folder)["industry_metrics"]
+
+
+def _median_of_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    medians = O.group_medians(_stored(spark, sf_dir), ["job_title", "experience_level"], out="median_salary")
+    return medians.withColumn("median_salary", F.round("median_salary", 4))
+
+
+def _median_of_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = sources.materialize(_clean(spark, sf_dir).select(F.explode("skills").alias("skill"), "salary"), "skill_pay")
+    return O.group_medians(each, ["skill"], out="median_salary").withColumn("median_salary", F.round("median_salary", 4))
+
+
 def _json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sources.shared_dir(spark)}/postings-{uuid4().hex}"
     sources.write_result(B.raw_postings(spark, sf_dir).drop("customer"), path)
@@ -260,7 +283,9 @@ def _fit_once(kind: str, fit: Callable[[DataFrame, str], None]):
             fit(spark.read.parquet(rows_path), out)
             _fitted[key] = (rows_path, f"{sources.current_version(spark, out)}/models")
         rows_path, models = _fitted[key]
-        return spark.read.parquet(rows_path), O.load_models(models)
+        if models not in _loaded:
+            _loaded[models] = O.load_models(models)
+        return spark.read.parquet(rows_path), _loaded[models]
 
     return load
 
@@ -413,7 +438,7 @@ def drop_stored(spark: SparkSession) -> None:
     """Removes what queries have stored for themselves; models that were fitted are fitted anew."""
     sources.remove_tables(spark)
     for key in [k for k in _fitted if k[0].startswith(spark.sparkContext.applicationId)]:
-        del _fitted[key]
+        _loaded.pop(_fitted.pop(key)[1], None)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -439,6 +464,14 @@ def queries() -> dict[str, Query]:
         "market_results": _market_results,
         "insights_skills": _insights_skills,
         "republished_industries": _republished,
+        "market_by_batches": _market_by_batches,
+        "median_by_title_exp": _median_of_titles,
+        "median_by_skill": _median_of_skills,
+        "odd_medians": _odd(
+            lambda df: O.group_medians(sources.materialize(df.select("experience_level", "salary"), "odd"), ["experience_level"]).withColumn(
+                "median", F.round("median", 5)
+            )
+        ),
         "json_round_trip": _json_round_trip,
         "training_extract": _on_clean(lambda df: _flat(sources.training_extract(df))),
         "search_all": _on_raw(lambda df: _flat(O.search_postings(df, title="", industry=None))),

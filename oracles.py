@@ -367,6 +367,13 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'salary_distribution', salary_band, NULL, "count", NULL, NULL FROM bands""",
     "insights_skills": f"WITH {_SKILLS} SELECT * FROM skill_stats ORDER BY frequency DESC, skill LIMIT 15",
     "republished_industries": f"WITH {_CLEAN} {_BY_INDUSTRY}",
+    "market_by_batches": f"WITH {_CLEAN} {_BY_INDUSTRY}",
+    "median_by_title_exp": f"""WITH {_CLEAN} SELECT job_title, experience_level, round(median(salary), 4) AS median_salary,
+        count(*) AS n FROM postings GROUP BY ALL""",
+    "median_by_skill": f"""WITH {_CLEAN}, each AS (SELECT unnest(skills) AS skill, salary FROM postings)
+        SELECT skill, round(median(salary), 4) AS median_salary, count(*) AS n FROM each GROUP BY skill""",
+    "odd_medians": f"""WITH {_ODD} SELECT experience_level, round(median(salary), 5) AS median, count(*) AS n
+        FROM postings GROUP BY experience_level""",
     "json_round_trip": f"WITH {_CLEAN} SELECT {_FLAT} FROM postings",
     "training_extract": f"""WITH {_CLEAN} SELECT job_title, location, experience_level, job_type, salary,
         array_to_string(skills, ',') AS skills, industry, demand_score FROM postings""",

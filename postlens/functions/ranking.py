@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,13 +37,25 @@ def ranked(table: DataFrame, key: str, order: list[tuple[str, bool]], carry: lis
     return materialize(placed.select(*names, rank), "ranked")
 
 
-def with_missing_ranks(people: DataFrame, ranks: DataFrame, id_col: str, own: str, key: str, n: int) -> DataFrame:
+# Up to so many ranks, the ranked keys travel inside the plan and nothing is shuffled.
+FEW_RANKS = 1000
+
+
+def with_missing_ranks(
+    people: DataFrame, ranks: DataFrame, id_col: str, own: str, key: str, n: int, few: int = FEW_RANKS
+) -> DataFrame:
     """``people`` with ``_missing``: the first ``n`` ranks that none of their ``own`` keys has.
 
-    Someone with m ranked keys finds their answer within the first n + m ranks, and keys without a
+    A short list of ``few`` ranked keys at most is a constant of the plan, and each person's answer comes
+    from two array functions. A longer one is joined: someone with m ranked keys finds their answer within the first n + m ranks, and keys without a
     rank do not lengthen it. Lists of ranks are as long as one person's list; ranks beyond the table
     are left to the join that turns them into names. ``id_col`` must be unique.
     """
+    listed = ranks.select(key, "rank").orderBy("rank").limit(few + 1).collect()
+    if len(listed) <= few and ranks.schema[key].dataType.typeName() == "string":
+        names = F.from_json(F.lit(json.dumps([r[0] for r in listed])), "array<string>")
+        lacked = F.slice(F.array_except(names, own), 1, n)
+        return people.withColumn("_missing", F.transform(lacked, lambda x: F.array_position(names, x).cast("int")))
     held = people.select(id_col, F.explode(F.array_distinct(own)).alias(key)).join(ranks.select(key, "rank"), key)
     lists = held.groupBy(F.col(id_col).alias("_holder")).agg(F.collect_set("rank").alias("_ranks"))
     have = F.coalesce("_ranks", F.array().cast("array<int>"))

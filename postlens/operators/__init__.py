@@ -13,6 +13,7 @@ from .forest import (
     save_models,
     top_features,
 )
+from .medians import group_medians
 from .metrics import (
     group_stats,
     industry_metrics,
@@ -52,6 +53,7 @@ __all__ = [
     "fit_salary",
     "forest_nodes",
     "frameworks_table",
+    "group_medians",
     "group_stats",
     "industry_metrics",
     "leaf_paths",

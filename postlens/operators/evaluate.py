@@ -12,23 +12,48 @@ from ..fixed_values import DEMAND_LABELS
 _DIGITS = 6
 
 
-def regression_report(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
+# Labels and predictions in millionths.
+_EXACT, _WHOLE, _SUM = "decimal(19,6)", "decimal(19,0)", "decimal(38,0)"
+
+
+def regression_report(df: DataFrame, label: str = "label", pred: str = "prediction", digits: int | None = _DIGITS) -> DataFrame:
     """One row (n, r2, mae) over the rows that have both values.
 
-    A constant label gives r2 1 if every prediction is exact, else 0.
+    Values count in whole millionths, below 1e13; with larger ones, or NaN, both numbers are NaN. All sums
+    are exact, so the numbers are the same on one partition and on a thousand, to the last bit if
+    ``digits`` is None. A constant label gives r2 1 if every prediction is exact, else 0.
     """
-    y, p = F.col(label).cast("double"), F.col(pred).cast("double")
-    sums = df.filter(y.isNotNull() & p.isNotNull()).agg(
+
+    def millionths(col: str):
+        return (F.col(col).try_cast(_EXACT) * 1_000_000).try_cast(_WHOLE)
+
+    def square(x):
+        return (x * x).cast(_SUM)
+
+    rows = df.filter(F.col(label).isNotNull() & F.col(pred).isNotNull()).select(millionths(label).alias("y"), millionths(pred).alias("p"))
+    sums = rows.select("y", (F.col("y") - F.col("p")).cast(_WHOLE).alias("miss")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum((y - p) * (y - p)).alias("missed"),
-        # Merged from running means, so it keeps its digits where a sum of squares would not.
-        (F.var_pop(y) * F.count(F.lit(1))).alias("spread"),
-        F.avg(F.abs(y - p)).alias("mae"),
-    )
-    r2 = F.when(F.col("spread") > 0, 1 - F.col("missed") / F.col("spread")).when(
-        F.col("n") > 0, F.when(F.col("missed") == 0, 1.0).otherwise(0.0)
+        F.count_if(F.col("miss").isNull()).alias("odd"),
+        F.sum(square(F.col("miss"))).alias("missed"),
+        F.sum(F.abs("miss")).cast(_SUM).alias("away"),
+        F.sum("y").cast(_SUM).alias("total"),
+        F.sum(square(F.col("y"))).alias("squares"),
     )
-    return sums.select("n", F.round(r2, _DIGITS).alias("r2"), F.round("mae", _DIGITS).alias("mae"))
+    # Squares around the whole part of the mean are exact, and so is what that part leaves of the sum:
+    # nothing large is subtracted from something as large in doubles.
+    mean = F.expr("total div n").cast(_WHOLE)
+    count = F.col("n").cast(_WHOLE)
+    around = (F.col("squares") - (mean * F.col("total")).cast(_SUM) * 2 + (mean * mean).cast(_SUM) * count).cast(_SUM)
+    rest = (F.col("total") - (mean * count).cast(_SUM)).cast("double")
+    spread = around.cast("double") - rest * rest / F.col("n")
+    r2 = F.when(spread > 0, 1 - F.col("missed").cast("double") / spread).otherwise(F.when(F.col("missed") == 0, 1.0).otherwise(0.0))
+    mae = F.col("away").cast("double") / 1e6 / F.col("n")
+
+    def shown(x):
+        x = F.when(F.col("odd") > 0, F.lit(float("nan"))).when(F.col("n") > 0, x)
+        return x if digits is None else F.round(x, digits)
+
+    return sums.select("n", shown(r2).alias("r2"), shown(mae).alias("mae"))
 
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:

@@ -132,6 +132,8 @@ def salary_distribution(
 # ---- all five from one scan ------------------------------------------------------------------
 
 _OVERALL, _TITLE, _INDUSTRY, _BAND, _SKILL = range(5)
+# All other columns of a tally add up.
+TALLY_KEYS = ("result", "key", "key2")
 
 
 def market_tally(
@@ -170,7 +172,7 @@ def market_tally(
         "has_id",
         "remote",
     )
-    return _tally(slots.groupBy("result", "key", "key2"), F.col("amount"), F.col("has_id"), F.col("remote"))
+    return _tally(slots.groupBy(*TALLY_KEYS), F.col("amount"), F.col("has_id"), F.col("remote"))
 
 
 def results_from_tally(
@@ -182,7 +184,7 @@ def results_from_tally(
         return tally.filter(F.col("result") == result)
 
     # The overall row is summed once more, so that no postings still give one row.
-    columns = [x for x in tally.columns if x not in ("result", "key", "key2")]
+    columns = [x for x in tally.columns if x not in TALLY_KEYS]
     sums = [F.sum(x).alias(x) for x in columns]
     overall = part(_OVERALL).agg(*sums).fillna(0, subset=[_ROWS, _IDS, _REMOTE, "pay_n", "pay_odd"])
     bands = part(_BAND).select(F.col("key").alias("salary_band"), F.col(_ROWS).alias("count"))

@@ -83,6 +83,15 @@ def current_version(spark: SparkSession, folder: str) -> str:
     return _listed(spark, folder, numbers[-1]) if numbers else folder
 
 
+def batch_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly below ``folder`` that hold a whole version."""
+    target, files = _files(spark, folder)
+    if not files.exists(target):
+        return []
+    names = sorted(x.getPath().getName() for x in files.listStatus(target) if x.isDirectory())
+    return [name for name in names if not name.startswith("_") and _numbers(spark, f"{folder}/{name}")]
+
+
 def remove_old_versions(spark: SparkSession, folder: str, keep: int = 2) -> int:
     """Removes all versions but the last ``keep``, first from the list and then their files. Returns how
     many. Keep as many as readers may still be at."""

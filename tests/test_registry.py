@@ -28,6 +28,7 @@ def test_every_oracle_has_a_query():
         "feature_importances",
         "top_features",
         "what_if_forest",
+        "what_if_forest_by_importance",
     }
 
 
