@@ -241,7 +241,7 @@ levels AS (
            1.5 * sum(source_size) OVER () AS total
     FROM sources WINDOW w AS (ORDER BY 2 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
-water AS (SELECT min((total - full_before) / weight_left) AS height FROM levels WHERE (total - full_before) / weight_left <= level)
+water AS (SELECT max((total - full_before) / weight_left) AS height FROM levels WHERE (total - full_before) / weight_left <= level)
 SELECT s.doc_id, s.size, l.source_size, round(least(2.0 * l.source_size, l.weight * coalesce(height, 1e300)), 3) AS target
 FROM sizes s JOIN levels l ON s.source IS NOT DISTINCT FROM l.source, water
 """
