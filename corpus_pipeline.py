@@ -41,9 +41,12 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     with temporary_tables(spark):
         groups = ngram_join.ngram_groups(rows, k=5, percent=80, id_col=key).select(F.col(key).alias("_of"), "component_id")
         ids = rows.select(key, F.struct(F.col("doc_id").isNull(), "doc_id", key).alias("_order"))
-        first = ids.join(groups, F.col(key) == F.col("_of")).groupBy("component_id").agg(F.min("_order").alias("_first"))
-        kept = materialize(first.select(F.col(f"_first.{key}").alias(key)), "kept_rows", lasting=True)
-    return rows.join(kept, key, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
+        placed = materialize(ids.join(groups, F.col(key) == F.col("_of")).select(key, "_order", "component_id"), "placed_rows")
+        first = placed.groupBy("component_id").agg(F.min("_order").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+        # Those that go are far fewer than those that stay.
+        later = placed.join(first, "component_id").filter(F.col("_order") != F.col("_first")).select(key)
+        later = materialize(later, "near_copies", lasting=True)
+    return rows.join(later, key, "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
