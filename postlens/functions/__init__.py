@@ -1,7 +1,7 @@
 from .bands import band, band_rank
 from .labels import decode_demand, demand_code, demand_label, encode_demand
 from .money import format_money, mean_money, money_sums, round_money, share
-from .ranking import ranked, with_missing_ranks
+from .ranking import missing_keys, ranked, with_missing_ranks
 from .skills import add_skill, has_any, owned_skills, parse_skill_list
 
 __all__ = [
@@ -15,6 +15,7 @@ __all__ = [
     "format_money",
     "has_any",
     "mean_money",
+    "missing_keys",
     "money_sums",
     "owned_skills",
     "parse_skill_list",

@@ -41,6 +41,32 @@ def ranked(table: DataFrame, key: str, order: list[tuple[str, bool]], carry: lis
 FEW_RANKS = 1000
 
 
+def _few_names(ranks: DataFrame, key: str, few: int) -> Column | None:
+    """All ranked keys in their order as a constant, if they are text and ``few`` at most."""
+    listed = ranks.select(key, "rank").orderBy("rank").limit(few + 1).collect()
+    if len(listed) > few or ranks.schema[key].dataType.typeName() != "string":
+        return None
+    return F.from_json(F.lit(json.dumps([r[0] for r in listed])), "array<string>")
+
+
+def missing_keys(
+    people: DataFrame, ranks: DataFrame, id_col: str, own: str, key: str, n: int, few: int = FEW_RANKS
+) -> DataFrame:
+    """A row for each of the first ``n`` ranked keys that a person lacks: ``people`` with ``_pos``, its
+    place among them from 0 on, and ``key``.
+
+    ``ranks`` are those of ``ranked``. A short list is a constant, so keys come straight from it; a longer
+    one is joined for the ranks and again for their names, see ``with_missing_ranks``.
+    """
+    names = _few_names(ranks, key, few)
+    if names is not None:
+        lacked = F.slice(F.array_except(names, own), 1, n)
+        return people.select("*", F.posexplode(lacked).alias("_pos", key))
+    lacked = _with_joined_ranks(people, ranks, id_col, own, key, n)
+    each = lacked.select(*people.columns, F.posexplode("_missing").alias("_pos", "rank"))
+    return each.join(ranks.select(key, "rank"), "rank").drop("rank")
+
+
 def with_missing_ranks(
     people: DataFrame, ranks: DataFrame, id_col: str, own: str, key: str, n: int, few: int = FEW_RANKS
 ) -> DataFrame:
@@ -51,11 +77,14 @@ def with_missing_ranks(
     rank do not lengthen it. Lists of ranks are as long as one person's list; ranks beyond the table
     are left to the join that turns them into names. ``id_col`` must be unique.
     """
-    listed = ranks.select(key, "rank").orderBy("rank").limit(few + 1).collect()
-    if len(listed) <= few and ranks.schema[key].dataType.typeName() == "string":
-        names = F.from_json(F.lit(json.dumps([r[0] for r in listed])), "array<string>")
+    names = _few_names(ranks, key, few)
+    if names is not None:
         lacked = F.slice(F.array_except(names, own), 1, n)
         return people.withColumn("_missing", F.transform(lacked, lambda x: F.array_position(names, x).cast("int")))
+    return _with_joined_ranks(people, ranks, id_col, own, key, n)
+
+
+def _with_joined_ranks(people: DataFrame, ranks: DataFrame, id_col: str, own: str, key: str, n: int) -> DataFrame:
     held = people.select(id_col, F.explode(F.array_distinct(own)).alias(key)).join(ranks.select(key, "rank"), key)
     lists = held.groupBy(F.col(id_col).alias("_holder")).agg(F.collect_set("rank").alias("_ranks"))
     have = F.coalesce("_ranks", F.array().cast("array<int>"))
