@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm import decontaminate, mixing, ngram_join, token_files, toxicity
+from postlens.llm.common import TASK_TEXTS
 from postlens.llm.queries import END_ID, held_out, read, tokenizer_path
-from postlens.sources import materialize, temporary_tables
+from postlens.sources import few_tasks, materialize, temporary_tables
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +39,16 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         key += "_"
     # Stored, so that a row keeps its number.
     rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    n = rows.count()
     with temporary_tables(spark):
         groups = ngram_join.ngram_groups(rows, k=5, percent=80, id_col=key).select(F.col(key).alias("_of"), "component_id")
         ids = rows.select(key, F.struct(F.col("doc_id").isNull(), "doc_id", key).alias("_order"))
-        placed = materialize(ids.join(groups, F.col(key) == F.col("_of")).select(key, "_order", "component_id"), "placed_rows")
+        placed = ids.join(groups, F.col(key) == F.col("_of")).select(key, "_order", "component_id")
+        placed = materialize(placed, "placed_rows", rows=n)
         first = placed.groupBy("component_id").agg(F.min("_order").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
         # Those that go are far fewer than those that stay.
         later = placed.join(first, "component_id").filter(F.col("_order") != F.col("_first")).select(key)
-        later = materialize(later, "near_copies", lasting=True)
+        later = materialize(later, "near_copies", lasting=True, rows=n)
     return rows.join(later, key, "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -58,7 +61,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key = F.xxhash64("doc_id", "text")
     with temporary_tables(spark):
         hits = decontaminate.contaminated(docs.select(key.alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
-        leaks = materialize(hits.select(F.col("doc_id").alias("_leak_key")).distinct(), "leaks", lasting=True)
+        leaks = materialize(hits.select(F.col("doc_id").alias("_leak_key")).distinct(), "leaks", lasting=True, rows=docs.count())
     return docs.join(leaks, key == leaks["_leak_key"], "left_anti").select([docs[c] for c in docs.columns])
 
 
@@ -77,14 +80,16 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             F.col("size").alias("_mix_size"),
             F.col("copies").cast("int").alias("_mix_copies"),
         )
-        taken = materialize(taken.distinct(), "mix_copies", lasting=True)
+        n = docs.count()
+        taken = materialize(taken.distinct(), "mix_copies", lasting=True, rows=n)
     same = (
         docs["doc_id"].eqNullSafe(taken["_mix_id"])
         & docs["source"].eqNullSafe(taken["_mix_source"])
         & (mixing.word_count(docs["text"]) == taken["_mix_size"])
     )
     row = F.struct(*[docs[c] for c in docs.columns])
-    return docs.join(taken, same).select(F.explode(F.array_repeat(row, taken["_mix_copies"])).alias("_doc")).select("_doc.*")
+    mixed = docs.join(taken, same).select(F.explode(F.array_repeat(row, taken["_mix_copies"])).alias("_doc")).select("_doc.*")
+    return few_tasks(mixed, n, TASK_TEXTS)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
+# Texts that a task writes at least, whose rows may be long.
+TASK_TEXTS = 1000
 # Words remembered by a task at most; beyond it the memory is emptied and filled anew.
 REMEMBERED = 250_000
 # Longer words, in bytes, are not remembered: so what a task remembers is bounded in bytes too.

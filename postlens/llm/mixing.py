@@ -140,11 +140,13 @@ def mix_sources(
         F.col(source_col).cast("string").alias("_source"),
         word_count(F.col(text_col)).alias("_size"),
     )
-    units = materialize(rows.groupBy("_source", "_id", "_size").agg(F.count("*").alias("_rows")), "mix_units")
+    units = rows.groupBy("_source", "_id", "_size").agg(F.count("*").alias("_rows"))
+    units = materialize(units, "mix_units", rows=docs.count())
+    n_units = units.count()
     per_source = units.groupBy("_source").agg(
         F.sum(F.col("_size") * F.col("_rows")).alias("source_size"), F.count("*").alias("_units")
     )
-    sums = materialize(per_source, "mix_sources")
+    sums = materialize(per_source, "mix_sources", rows=n_units)
     targets = source_targets(sums.select(F.col("_source").alias("source"), "source_size"), weights, share, most)
     targets = materialize(
         targets.join(sums.select(F.col("_source").alias("_s"), "_units"), F.col("source").eqNullSafe(F.col("_s")))
@@ -156,6 +158,7 @@ def mix_sources(
             F.coalesce(F.col("target") / F.nullif("source_size", F.lit(0)), F.lit(0.0)).alias("_rate"),
         ),
         "mix_targets",
+        rows=n_units,
     )
     placed = units.join(targets, F.col("_source").eqNullSafe(F.col("_s"))).select(
         "_source", "_id", "_size", "_rows",
@@ -169,7 +172,7 @@ def mix_sources(
     while True:
         last = buckets <= 1
         done = materialize(
-            placed.groupBy("_source", "_bucket").applyInPandas(_round_group(seed + level, last), _UNIT), "mix_round"
+            placed.groupBy("_source", "_bucket").applyInPandas(_round_group(seed + level, last), _UNIT), "mix_round", rows=n_units
         )
         settled.append(done.filter(~F.col("_open")))
         if last:

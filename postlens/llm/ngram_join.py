@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import materialize
-from .common import WordHashes, shingles, slices, words_of
+from ..sources import few_tasks, materialize
+from .common import TASK_TEXTS, WordHashes, shingles, slices, words_of
 from .components import connected_components
 
 _DOCS, _HOT, _LIST, _SUM, _DF = range(5)
@@ -85,7 +85,10 @@ def _pack(k: int, routes: int, block_shingles: int, hot_share: int):
             return
         owner = np.repeat(np.arange(len(sets), dtype=np.uint64), sizes)
         # 48 bits of the hash and the document's place in the block; a clash only adds a candidate.
-        keys = np.concatenate(sets) & ~_EVERY | owner
+        keys = np.concatenate(sets)
+        keys &= ~_EVERY
+        keys |= owner
+        del owner
         keys.sort()
         tokens = keys >> _IDX_BITS
         starts, lengths = _runs(tokens)
@@ -313,42 +316,52 @@ def ngram_groups(
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
     routes = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = rows.mapInArrow(_pack(k, routes, block_shingles, hot_share), _PACKED)
-    told = materialize(packed.groupBy("route").applyInArrow(_list_lengths, _PACKED), "ngram_lists")
+    texts_in = rows.count()
+    told = packed.groupBy("route").applyInArrow(_list_lengths, _PACKED)
+    told = materialize(few_tasks(told, texts_in, TASK_TEXTS), "ngram_lists")
 
     ids = told.filter(F.col("kind") == _DOCS).select("data").mapInArrow(_unpack_docs, "doc long, n long, hi long, lo long")
     ids = materialize(ids, "ngram_ids")
     full = ids.filter((F.col("n") > 0) & F.col("doc").isNotNull())
     # A class of equal sets has a key of its own, since an id may stand for several; numbered when stored.
     classes = full.groupBy("hi", "lo").agg(F.min("doc").alias("rep"))
-    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "ngram_classes")
+    n_full = full.count()
+    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "ngram_classes", rows=n_full)
+    # As in _short_lists: no set keeps more of its shingles.
+    kept = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    n_kept = full.agg(F.coalesce(F.sum(kept), F.lit(0))).first()[0]
 
     searched = told.groupBy("block").applyInArrow(
         _short_lists(percent), "token long, doc long, n int, hi long, lo long"
     )
     member = classes.select("hi", "lo", F.col("rep").alias("doc"), "class")
     entries = searched.join(member, ["hi", "lo", "doc"]).select("token", "class", F.col("doc").alias("rep"), "n", "hi", "lo")
-    entries = materialize(entries.distinct(), "ngram_entries")
+    entries = materialize(entries.distinct(), "ngram_entries", rows=n_kept)
+    n_entries = entries.count()
     lists = entries.groupBy("token").agg(F.count_distinct("class").alias("c"), F.min("class").alias("lead"))
-    lists = materialize(lists.filter(F.col("c") > 1).select("token", "lead"), "ngram_leads")
-    shared = materialize(entries.join(lists, "token"), "ngram_shared")
+    lists = materialize(lists.filter(F.col("c") > 1), "ngram_leads", rows=n_entries)
+    shared = materialize(entries.join(lists, "token"), "ngram_shared", rows=n_entries)
+    n_shared = shared.count()
 
     # Cells: classes with the same lead stay together, small groups share a cell.
     groups = shared.groupBy("class").agg(F.min("lead").alias("lead"), F.max("n").cast("bigint").alias("n"))
-    sizes = materialize(groups.groupBy("lead").agg(F.count("*").alias("c"), F.sum("n").alias("s")), "ngram_sizes")
+    sizes = materialize(groups.groupBy("lead").agg(F.count("*").alias("c"), F.sum("n").alias("s")), "ngram_sizes", rows=n_shared)
     total, held = sizes.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0))).first()
     cells = max(1, -(-total // cell_queries), -(-held // cell_shingles))
     split = F.greatest(F.ceil(F.col("c") / cell_queries), F.ceil(F.col("s") / cell_shingles)).cast("bigint")
     small = F.xxhash64(F.lit("small"), F.pmod(F.xxhash64("lead"), F.lit(cells)))
     large = F.xxhash64("lead", F.pmod(F.xxhash64("class"), split))
     cell = F.when(split > 1, large).otherwise(small)
-    asked = materialize(groups.join(sizes, "lead").select("class", cell.alias("cell")), "ngram_cells")
-    keyed = shared.select("token", "class").join(asked, "class").select("token", "cell").distinct()
-    keyed = materialize(keyed, "ngram_cell_tokens")
-    named = keyed.join(shared.select("token", "class", "n"), "token").select("cell", "class", "n").distinct()
-    named = materialize(named, "ngram_named")
+    asked = materialize(groups.join(sizes, "lead").select("class", cell.alias("cell")), "ngram_cells", rows=n_shared)
+    keyed = shared.withColumnRenamed("c", "named").select("token", "named", "class").join(asked, "class")
+    keyed = materialize(keyed.select("token", "named", "cell").distinct(), "ngram_cell_tokens", rows=n_shared)
+    most_named = keyed.agg(F.coalesce(F.sum("named"), F.lit(0))).first()[0]
+    named = keyed.select("token", "cell").join(shared.select("token", "class", "n"), "token")
+    named = named.select("cell", "class", "n").distinct()
+    named = materialize(named, "ngram_named", rows=most_named)
     # Of a cell that names many classes, each part gets a share of them and all queries.
     count = F.greatest(F.ceil(F.count("*") / cell_sets), F.ceil(F.sum("n") / cell_shingles)).cast("bigint")
-    parts = materialize(named.groupBy("cell").agg(count.alias("parts")), "ngram_parts")
+    parts = materialize(named.groupBy("cell").agg(count.alias("parts")), "ngram_parts", rows=total)
     looked_up = named.join(parts, "cell").select(
         "cell", F.pmod(F.xxhash64(F.lit("part"), "class"), "parts").alias("part"), F.col("class").alias("doc"), F.lit(False).alias("asks")
     )
@@ -370,7 +383,8 @@ def ngram_groups(
             ids_, data = [part["class"][i] for i in same], [made[i].tobytes() for i in same]
             yield pa.RecordBatch.from_arrays([pa.array(ids_, pa.int64()), pa.array(data, pa.binary())], names=["doc", "data"])
 
-    sets = materialize(texts.mapInArrow(sets_of, "doc long, data binary"), "ngram_sets")
+    sets = texts.mapInArrow(sets_of, "doc long, data binary")
+    sets = materialize(few_tasks(sets, texts_in, TASK_TEXTS), "ngram_sets")
     dealt = looked_up.unionByName(asking).join(sets, "doc")
     links = dealt.groupBy("cell", "part").applyInArrow(_search(percent), "a long, b long")
 
@@ -378,9 +392,12 @@ def ngram_groups(
     owned = full.join(classes, ["hi", "lo"])
     several = owned.groupBy("doc").agg(F.collect_set("class").alias("of")).filter(F.size("of") > 1)
     several = several.select(F.array_min("of").alias("a"), F.explode("of").alias("b"))
-    labels = connected_components(links.unionByName(several))
+    # A cell's links are fewer than its sets, so there are about as many as the rows dealt.
+    asking_rows = asked.join(parts, "cell").agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0]
+    labels = connected_components(links.unionByName(several), named.count() + asking_rows + n_full)
     placed = classes.join(labels, F.col("class") == F.col("node"), "left")
-    placed = materialize(placed.select("hi", "lo", "rep", F.coalesce("component", "class").alias("component")), "ngram_placed")
+    placed = placed.select("hi", "lo", "rep", F.coalesce("component", "class").alias("component"))
+    placed = materialize(placed, "ngram_placed", rows=n_full)
     smallest = placed.groupBy("component").agg(F.min("rep").alias("first"))
     named_classes = placed.join(smallest, "component").select("hi", "lo", "first")
     grouped = ids.join(named_classes, ["hi", "lo"], "left")

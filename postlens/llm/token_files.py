@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources import materialize, shared_dir
-from .common import slices
+from .common import TASK_TEXTS, slices
 
 SKIPPABLE_IDS = 0x184D2A50
 SKIPPABLE_SEEK = 0x184D2A5E
@@ -287,7 +287,8 @@ def write_token_files(
             names = ["shard", "path", "first_id", "docs", "tokens", "bytes"]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types)], names=names)
 
-    return materialize(ordered.mapInArrow(write, MANIFEST), "token_manifest")
+    # One row for each shard.
+    return materialize(ordered.mapInArrow(write, MANIFEST).repartition(1), "token_manifest")
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
@@ -321,8 +322,9 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
 
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.select("shard", "path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    # One task per shard: rows after the window lie in one partition.
-    spread = based.repartition(max(1, manifest.count()), "shard")
+    # Rows after the window lie in one partition. One task per shard, or for several small ones.
+    shards, texts = manifest.agg(F.count("*"), F.coalesce(F.sum("docs"), F.lit(0))).first()
+    spread = based.repartition(max(1, min(shards, -(-texts // TASK_TEXTS))))
     return spread.mapInArrow(read, INDEX + ", start long")
 
 
