@@ -15,14 +15,18 @@ frames it wants.
 from __future__ import annotations
 
 import json
+import os
+import string
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -39,13 +43,16 @@ _ENTRY = np.dtype([("compressed", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 _ID = np.dtype([("known", "u1"), ("id", "<i8")])
 _REMEMBERED = 300_000
 _REMEMBERED_BYTES = 32 << 20
+# Characters of texts that are cut at once; a longer text is cut by itself.
+_AT_ONCE = 4 << 20
 MANIFEST = "shard int, path string, first_id long, docs long, tokens long, bytes long"
 INDEX = "doc_id long, shard int, pos long, n_tokens long, ids_crc32 long"
 
 Encoder = Callable[[list[str]], list[np.ndarray]]
 
 
-_TAIL = b".,!?;:"
+# A run of these after letters is one pre-token by itself.
+_TAIL = string.punctuation
 _LETTERS = "[\\p{L}]+"
 
 
@@ -74,84 +81,119 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _spelled(words: list[str]) -> list[str]:
+    """``words``, none with a line feed, in the letters of their bytes."""
+    points = np.array([ord("\n") if b == 10 else ord(c) for b, c in sorted(_byte_letters().items())], "<u2")
+    raw = np.frombuffer("\n".join(words).encode(), np.uint8)
+    return points[raw].tobytes().decode("utf-16-le").split("\n")
+
+
+def _bounded(texts: list[str], chars: int) -> Iterator[list[str]]:
+    """``texts`` in order, in lists of at most ``chars`` characters or of one text."""
+    part, held = [], 0
+    for text in texts:
+        if part and held + len(text) > chars:
+            yield part
+            part, held = [], 0
+        part.append(text)
+        held += len(text)
+    if part:
+        yield part
+
+
 class _Words(dict):
     """Number of each word met; new words queue up until their ids are looked up."""
 
     def __init__(self):
         super().__init__()
-        self.fresh: list[bytes] = []
+        self.fresh: list[str] = []
         self.held = 0
 
     def clear(self) -> None:
         super().clear()
         self.held = 0
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
         self.fresh.append(word)
-        self.held += len(word)
+        # In bytes, at most.
+        self.held += len(word) if word.isascii() else 4 * len(word)
         return number
 
 
+@lru_cache(maxsize=2)
+def _loaded(path: str, stamp: int) -> tuple:
+    """(tokenizer, whether it is plain) of a file. Loading takes as long as a good many texts, so a Python worker
+    does it once for all of its tasks."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path), _plain_bpe(path)
+
+
 def word_encoder(path: str, end_id: int) -> Callable[[], Encoder]:
     """Encoder for a tokenizer file whose pre-tokenizer never looks across white space and that does
     not tell A-Z from a-z.
 
-    Each distinct word between ASCII white space is encoded by the library once for as long as it is
-    remembered, and the pieces are put together: the ids equal those of the whole text. Words of
-    letters only, after which a full stop or comma may stand, go to the library's model straight
-    away where the file's settings allow it (``_plain_bpe``); all others go through its pipeline.
+    Arrow cuts the texts and numbers the distinct words between ASCII white space, each of which is encoded by
+    the library once for as long as it is remembered; the pieces are put together: the ids equal those of the whole text. Words of
+    letters only, after which punctuation may stand, go to the library's model straight away where the file's settings allow it (``_plain_bpe``); all others go through its pipeline.
     """
 
     def build() -> Encoder:
         import unicodedata
 
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer, plain = _loaded(path, os.stat(path).st_mtime_ns)
         # Added tokens are matched as they are written, before the library lower-cases anything.
-        marks = [x.content.encode().lower() for x in tokenizer.get_added_tokens_decoder().values()]
-        model, plain, letters = tokenizer.model, _plain_bpe(path), _byte_letters()
+        marks = [x.content.encode().lower().decode() for x in tokenizer.get_added_tokens_decoder().values()]
+        tokenize = tokenizer.model.tokenize
         words, tails = _Words(), {}
         store = {"ids": np.empty(0, "<u4"), "lengths": np.empty(0, np.int64)}
 
-        def straight(core: bytes) -> list[int] | None:
-            if core.isalpha():
-                return [x.id for x in model.tokenize(core.decode())]
-            text = core.decode()
-            if text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text):
-                return [x.id for x in model.tokenize("".join(letters[b] for b in core))]
-            return None
-
-        def whole(word: bytes) -> list[int]:
-            return tokenizer.encode(word.decode(), add_special_tokens=False).ids
-
-        def ids_of(word: bytes) -> list[int]:
-            core = word.rstrip(_TAIL) if plain else b""
-            found = straight(core) if core else None
-            if found is None:
-                return whole(word)
-            if len(core) < len(word):
-                tail = word[len(core) :]
-                if tail not in tails and len(tails) < 10_000:
-                    tails[tail] = whole(tail)
-                found = found + (tails[tail] if tail in tails else whole(tail))
-            return found
+        def whole(word: str) -> list[int]:
+            return tokenizer.encode(word, add_special_tokens=False).ids
+
+        def ids_of(split: list[str]) -> list[list[int]]:
+            if not plain:
+                return [whole(word) for word in split]
+            cores, out = [word.rstrip(_TAIL) for word in split], []
+            for word, core, spelled in zip(split, cores, _spelled(cores)):
+                if not core.isalpha():
+                    out.append(whole(word))
+                elif not core.isascii() and not (core == core.lower() and unicodedata.is_normalized("NFC", core)):
+                    out.append(whole(word))
+                else:
+                    found = [x.id for x in tokenize(spelled)]
+                    if len(core) < len(word):
+                        tail = word[len(core) :]
+                        if tail not in tails and len(tails) < 10_000:
+                            tails[tail] = whole(tail)
+                        found += tails[tail] if tail in tails else whole(tail)
+                    out.append(found)
+            return out
 
         def encode(texts: list[str]) -> list[np.ndarray]:
+            return [ids for part in _bounded(texts, _AT_ONCE) for ids in encode_part(part)]
+
+        def encode_part(texts: list[str]) -> list[np.ndarray]:
             if len(words) > _REMEMBERED or words.held > _REMEMBERED_BYTES:
                 words.clear()
                 store.update(ids=np.empty(0, "<u4"), lengths=np.empty(0, np.int64))
-            placed = []
-            for text in texts:
-                raw = text.encode()
-                lowered = raw.lower()
-                split = lowered.split()
-                if any(mark in lowered for mark in marks):
-                    split = [a if any(mark in b for mark in marks) else b for a, b in zip(raw.split(), split)]
-                placed.append(np.fromiter(map(words.__getitem__, split), dtype=np.int64, count=len(split)))
+            # Words of all texts; an empty one, before or after white space at a text's end, has no ids.
+            raw = pa.array(texts, pa.large_string())
+            split = pc.ascii_split_whitespace(pc.ascii_lower(raw))
+            found = split.flatten()
+            for mark in marks:
+                holds = pc.match_substring(found, mark)
+                if pc.any(holds).as_py():
+                    found = pc.if_else(holds, pc.ascii_split_whitespace(raw).flatten(), found)
+            coded = found.dictionary_encode()
+            distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+            numbers = np.fromiter(map(words.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+            bounds = split.offsets.to_numpy()
+            at_all = coded.indices.to_numpy()
+            placed = (numbers[at_all[a:b]] for a, b in zip(bounds[:-1], bounds[1:]))
             if words.fresh:
-                made = [ids_of(w) for w in words.fresh]
+                made = ids_of(words.fresh)
                 words.fresh.clear()
                 lengths = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
                 flat = np.fromiter(chain.from_iterable(made), dtype="<u4", count=int(lengths.sum()))
