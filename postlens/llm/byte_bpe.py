@@ -5,7 +5,8 @@ the numbers of its words in order of position, and each distinct word of the blo
 The words of all blocks are spread over shards by a hash, so that equal ones meet in one task and are
 encoded once; their ids go back to the blocks, where every document is put together by position. Only
 a block's distinct words travel, compressed, so a word that fills a third of the corpus is one entry for
-each block. Blocks are stored in buckets by their key and need not move when the ids come back.
+each block. Blocks are stored in buckets by their key and need not move when the ids come back. A block is
+stored as several rows, whose documents are few, so that no single value is large.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import base64
 import unicodedata
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -25,6 +27,8 @@ from ..sources import shared_dir
 
 # Bounds of a rank file, which is read by the driver and sent to every executor.
 MAX_TOKENS, MAX_FILE = 1_000_000, 64 << 20
+# Words whose ids a task remembers at most, and characters whose words are one stored row.
+REMEMBERED, ROW_CHARS = 100_000, 1 << 20
 
 
 def token_table(path: str) -> tuple[list[bytes], list[int]]:
@@ -120,7 +124,7 @@ def _packed(numbers: np.ndarray, pieces: list[bytes] = ()) -> bytes:
     sizes = np.fromiter(map(len, pieces), np.uint32, len(pieces))
     head = np.array([len(numbers), len(sizes)], "<u8").tobytes()
     planes = [(x >> (8 * i)).astype(np.uint8).tobytes() for x in (numbers, sizes) for i in range(4)]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, *planes, *pieces]))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *planes, *pieces]))
 
 
 def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -151,36 +155,49 @@ class _Numbers(dict):
         return value
 
 
-def _blocks(patterns: tuple[str, str, str], block_chars: int, block_docs: int):
+def _blocks(patterns: tuple[str, str, str], block_chars: int, block_docs: int, row_chars: int = ROW_CHARS):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         words_of = word_finder(*patterns)
         # Unique in the stored table: the task's number and that of the block in it.
         block = TaskContext.get().partitionId() << 32
-        number, ids, counts, parts, held = _Numbers(), [], [], [], 0
-
-        def close() -> pa.RecordBatch:
-            positions = _packed(np.concatenate([*parts, np.empty(0, np.uint32)]))
-            dictionary = _packed(np.empty(0, np.uint32), [w.encode() for w in number])
-            columns = ([block], [ids], [counts], [len(number)], [positions], [dictionary])
-            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary())
-            names = [field.split()[0] for field in _BLOCK.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=names)
+        types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary())
+        names = [field.split()[0] for field in _BLOCK.split(", ")]
+        number, ids, counts, parts, sizes, held = _Numbers(), [], [], [], [], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            # Frequent words get small numbers, which take less room.
+            met = np.bincount(np.concatenate(parts), minlength=len(number))
+            order = np.argsort(-met, kind="stable")
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            words = list(number)
+            dictionary = _packed(np.empty(0, np.uint32), [words[i].encode() for i in order])
+            at = 0
+            while at < len(ids):
+                stop, chars = at + 1, sizes[at]
+                while stop < len(ids) and chars + sizes[stop] <= row_chars:
+                    chars += sizes[stop]
+                    stop += 1
+                positions = _packed(rank[np.concatenate(parts[at:stop])])
+                row = ([block], [ids[at:stop]], [counts[at:stop]], [0 if at else len(number)], [positions], [None if at else dictionary])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types)], names=names)
+                at = stop
 
         for batch in batches:
             for id_, text in zip(batch.column(0), batch.column(1)):
                 text = text.as_py() or ""
                 words = words_of(text)
                 found = np.fromiter(map(number.__getitem__, words), np.uint32, len(words))
-                ids.append(id_.as_py()), counts.append(len(found)), parts.append(found)
+                ids.append(id_.as_py()), counts.append(len(found)), parts.append(found), sizes.append(len(text))
                 held += len(text)
                 if held >= block_chars or len(ids) >= block_docs:
-                    yield close()
+                    yield from close()
                     block += 1
-                    number, ids, counts, parts, held = _Numbers(), [], [], [], 0
+                    number, ids, counts, parts, sizes, held = _Numbers(), [], [], [], [], 0
         if ids:
-            yield close()
+            yield from close()
 
     return run
 
@@ -208,22 +225,27 @@ def _shards(shards: int):
 
 
 def _encoder(table):
-    """Ids in place of words. Shards come one after the other, and each distinct word of a shard is encoded once."""
+    """Ids in place of words. Shards come one after the other, and each distinct word of a shard is encoded once for
+    as long as it is remembered."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, last, known = dict(zip(*table.value)), None, {}
         for batch in batches:
-            keys, out = batch.column("block"), []
+            keys, counts, out = batch.column("block"), [], []
             for shard, data in zip(batch.column("shard").to_pylist(), batch.column("words")):
                 if shard != last:
                     last, known = shard, {}
                 numbers, sizes, joined = _unpacked(data.as_py())
                 words = _split(sizes, joined)
+                if len(known) > REMEMBERED:
+                    known = {}
                 for word in words:
                     if word not in known:
-                        known[word] = np.array(merge_bytes(word, ranks), "<u4").tobytes()
-                out.append(_packed(numbers, [known[word] for word in words]))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(out, pa.binary())], names=["key", "ids"])
+                        known[word] = merge_bytes(word, ranks)
+                lengths = np.fromiter((len(known[word]) for word in words), np.uint32, len(words))
+                flat = np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.uint32, int(lengths.sum()))
+                counts.append(len(words)), out.append(_packed(np.concatenate([numbers, lengths, flat])))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64()), pa.array(out, pa.binary())], names=["key", "n", "ids"])
 
     return run
 
@@ -243,19 +265,22 @@ def _runs(pieces: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _assemble(blocks: pa.Table, words: pa.Table) -> pa.Table:
-    parts = [_unpacked(x.as_py()) for x in words.column("ids")]
-    store = np.frombuffer(b"".join(p[2] for p in parts), "<u4")
-    number, length = (np.concatenate([np.empty(0, np.uint32), *(p[i] for p in parts)]) for i in (0, 1))
-    length = length.astype(np.int64) // 4
+    number, length, store = [np.empty(0, np.uint32)], [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+    for count, data in zip(words.column("n").to_pylist(), words.column("ids")):
+        values = _unpacked(data.as_py())[0]
+        number.append(values[:count]), length.append(values[count : 2 * count].astype(np.int64)), store.append(values[2 * count :])
+    number, length, store = np.concatenate(number), np.concatenate(length), np.concatenate(store)
     starts, lengths = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
     starts[number], lengths[number] = np.cumsum(length) - length, length
-    out_ids, out = [], []
+    schema, out = pa.schema({"doc_id": pa.int64(), "ids": pa.binary()}), []
     for row in range(blocks.num_rows):
         symbols = _unpacked(blocks.column("positions")[row].as_py())[0]
         ends = np.cumsum(blocks.column("counts")[row].values.to_numpy())
-        out_ids += blocks.column("doc_ids")[row].as_py()
-        out += [spell(symbols[a:b], starts, lengths, store).tobytes() for a, b in zip([0, *ends[:-1]], ends)]
-    return pa.table({"doc_id": pa.array(out_ids, pa.int64()), "ids": pa.array(out, pa.binary())})
+        found = [spell(symbols[a:b], starts, lengths, store).astype("<u4", copy=False).tobytes() for a, b in zip([0, *ends[:-1]], ends)]
+        ids = blocks.column("doc_ids")[row].values
+        # One batch for each stored row, as small as that.
+        out.append(pa.RecordBatch.from_arrays([ids, pa.array(found, pa.binary())], schema=schema))
+    return pa.Table.from_batches(out, schema)
 
 
 def _bucketed(df: DataFrame, key: str) -> DataFrame:
@@ -276,7 +301,7 @@ def encode_documents(
     pattern: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    block_chars: int = 8 << 20,
+    block_chars: int = 6 << 20,
     block_docs: int = 100_000,
     shard_words: int = 500_000,
 ) -> DataFrame:
@@ -286,7 +311,7 @@ def encode_documents(
     itself, without special tokens. A null or empty text has no ids. Rows are independent, so rows that repeat an
     id, or have none, give a row each; an empty table gives none; other columns are not looked at. A task
     holds one block, ``block_chars`` characters and ``block_docs`` rows or a single longer text, and the
-    words of one shard, about ``shard_words``.
+    words of one shard, about ``shard_words``, of which it remembers the ids of some.
     """
     spark = docs.sparkSession
     tokens, ids = token_table(path)
@@ -297,9 +322,9 @@ def encode_documents(
     # As many shards as keep the words of one in a task's memory.
     total = blocks.agg(F.sum("words")).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // shard_words + 1)
-    words = blocks.select("block", "dictionary").mapInArrow(_shards(shards), "block long, shard long, words binary")
+    words = blocks.filter("dictionary IS NOT NULL").select("block", "dictionary").mapInArrow(_shards(shards), "block long, shard long, words binary")
     met = words.repartition(shards, "shard").sortWithinPartitions("shard")
-    back = met.mapInArrow(_encoder(table), "key long, ids binary")
+    back = met.mapInArrow(_encoder(table), "key long, n long, ids binary")
     texts = blocks.select("block", "doc_ids", "counts", "positions")
     return texts.groupBy("block").cogroup(back.groupBy("key")).applyInArrow(_assemble, "doc_id long, ids binary")
 
@@ -313,7 +338,8 @@ def _decoder(table):
         runs = _runs(pieces, "u1")
         known = np.zeros(len(pieces), bool)
         known[ids] = True
-        for batch in batches:
+        # Few rows at a time: a batch goes back twice as large.
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             column, out = batch.column(batch.schema.get_field_index("ids")), []
             for row in column:
                 raw = row.as_py()
