@@ -73,3 +73,26 @@ def test_requests_descend_without_a_join_for_each_level(spark, table, tmp_path):
     # Rows of one request have their leaves side by side, as many as there are trees for each row.
     twice = descend(requests.unionByName(requests), features, O.forest_nodes(spark, str(tmp_path / "m")), depth=5)
     assert {r[0] for r in rows_of(twice.select(F.size("leaves")))} == {6}
+
+
+@pytest.mark.parametrize("label", ["salary", "code"])
+@pytest.mark.parametrize("depth", [0, 2])
+def test_rows_of_the_deepest_nodes_go_nowhere(spark, table, tmp_path, monkeypatch, depth, label):
+    # More rows than a group may have are left in every leaf; none of them may be dealt to one.
+    monkeypatch.setattr(grow_module.Growth.__init__, "__defaults__", (1,))
+
+    def refused(*_):
+        raise AssertionError("rows of a leaf are dealt to a group")
+
+    monkeypatch.setattr(grow_module, "_dealt", refused)
+    features = O.fit_features(table, cols=("title",))
+    rows = training_rows(table, features, F.col(label))
+    kind, model_class = {
+        "salary": (RandomForestRegressor, RandomForestRegressionModel),
+        "code": (RandomForestClassifier, RandomForestClassificationModel),
+    }[label]
+    forest = kind(
+        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, numTrees=1, maxDepth=depth, seed=1, bootstrap=False, featureSubsetStrategy="all"
+    )
+    grown, fitted = fit_forest(forest, rows, model_class), forest.fit(rows)
+    assert _nodes(spark, grown, str(tmp_path / "a")) == _nodes(spark, fitted, str(tmp_path / "b"))
